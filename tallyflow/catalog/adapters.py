@@ -53,7 +53,7 @@ def event_log(t: Tables) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
         F.when(ev == "contentitem_received", "en_us").alias("agentlocale"),
         F.when(ev == "contentitem_received", pick(F.col("k"), "en_us", "fr_fr")).alias("devicelocale"),
-        F.when(ev == "contentitem_timeonpage", F.col("value") / 10).alias("timeonpage"),
+        F.when(ev == "contentitem_timeonpage", F.col("value") / 3).alias("timeonpage"),
         F.when(ev == "contentitem_pagescroll", 25 * (1 + F.col("k") % 4)).alias("scrolldepth"),
         action.alias("actionid"),
         F.when((action == "feedbackmodule") & (F.col("k") % 3 != 0), F.col("k") % 2 == 1).alias("feedbackvalue"),
@@ -74,9 +74,11 @@ def event_log(t: Tables) -> DataFrame:
     promoted = ("event", "time", "year", "messageid", "messagetype", "carriername", "programname",
                 "daysfromeulaapproval", "devicevendor", "devicemodel", "devicemodelname", "deviceostype")
     payload = [c for c in rows.columns if c not in ("event", "time", "year", "event_id")]
-    return rows.select(
+    ready = rows.select(
         *promoted, F.to_json(F.struct(F.struct(*payload).alias("properties"))).alias("properties")
     )
+    # a generator keeps the derived JSON text from being pasted into every later filter
+    return ready.select(F.inline(F.array(F.struct(*ready.columns))))
 
 
 # The same log in SQL, with the payload as plain columns.
@@ -112,7 +114,7 @@ base as (
     cast(epoch(date_trunc('second', ts)) as bigint) * 1000 as ms,
     case when event = 'contentitem_received' then 'en_us' end as agent_locale,
     case when event = 'contentitem_received' then ['en_us','fr_fr'][k % 2 + 1] end as device_locale,
-    case when event = 'contentitem_timeonpage' then value / 10 end as time_on_page,
+    case when event = 'contentitem_timeonpage' then value / 3 end as time_on_page,
     case when event = 'contentitem_pagescroll' then 25 * (1 + k % 4) end as scroll_depth,
     actionid,
     case when actionid = 'feedbackmodule' and k % 3 <> 0 then k % 2 = 1 end as feedback_value,

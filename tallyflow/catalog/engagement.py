@@ -106,7 +106,7 @@ def _(t):
     )
 
 
-@case("AG3_max_per_key", f"with {LOG_SQL} select message_id, max(time_on_page) as time_on_page from good where event = 'contentitem_timeonpage' group by 1")
+@case("AG3_max_per_key", f"with {LOG_SQL} select message_id, round(max(time_on_page), 3) as time_on_page from good where event = 'contentitem_timeonpage' group by 1")
 def _(t):
     return rt.time_on_page(event_log(t), START, END).select("message_id", F.round(F.col("time_on_page").cast("double"), 3).alias("time_on_page"))
 
@@ -232,10 +232,10 @@ def _(t):
     return ins.device_names(devices(t), "apps").groupBy("deviceId", "name").agg(F.count(F.lit(1)).alias("n"))
 
 
-@case("ARR2_frequent_names", f"""with {DEVICES_SQL}, kept as (select * from names where category is not null qualify count(*) over (partition by category) > 800)
+@case("ARR2_frequent_names", f"""with {DEVICES_SQL}, kept as (select * from names where category is not null qualify count(*) over (partition by category) > 160)
   select "deviceId", category as name, count(*) as n from kept group by 1, 2""")
 def _(t):
-    rows = ins.frequent_names(ins.device_names(devices(t), "categories"), 800)
+    rows = ins.frequent_names(ins.device_names(devices(t), "categories"), 160)
     return rows.groupBy("deviceId", "name").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -301,13 +301,6 @@ def _(t):
     return ins.with_device_features(received, totals).select("MessageId", "DeviceId", "n")
 
 
-JOB7_NAMES = ["standard_and_redandring", "large_and_smallandbolt", "medium_and_largeandbolt"]
-
-
-def top_categories_sql():
-    return ", ".join(f"""count(*) filter (category like '{p}%') as {p}""" for p in ("standard", "medium", "promo"))
-
-
 @case("JOB7_views_with_apps", PREVIEW_SQL + f""", {DEVICES_SQL}, kept as (
     select * from names where category is not null qualify count(*) over (partition by category) > 200
   ), totals as (select "deviceId", count(*) as n from kept group by 1)
@@ -580,7 +573,7 @@ def _(t):
     return out.groupBy("success").agg(F.count(F.lit(1)).alias("n"))
 
 
-@case("EV12_baseline_metrics", BASE_SQL + """, p as (select success, cast(cast(model_p as float) as double) as p from joined where days is not null)
+@case("EV12_baseline_metrics", BASE_SQL + """, p as (select success, cast(model_p as double) as p from joined where days is not null)
   select round(avg(case when success = 1 then -ln(greatest(least(p, 1 - 1e-10), 1e-10)) else -ln(1 - greatest(least(p, 1 - 1e-10), 1e-10)) end), 5) as baseline_log_loss,
   round(avg(power(success - p, 2)), 5) as baseline_mse from p""")
 def _(t):
@@ -698,21 +691,12 @@ def _(t):
     return out.withColumn("engagement_ratio", F.round("engagement_ratio", 6))
 
 
-SET4_SQL = SEPARATION_SQL
-
-
 @case("SET4_one_plan_union", f"with {SEEN_SQL} {PAIRS_SQL} select group_no, count(*) as rows_, cast(sum(count) as bigint) as total from sep group by 1")
 def _(t):
     out = sp.separation_test(seen_rows(t), "time_on_page")
     return out.groupBy("group_no").agg(F.count(F.lit(1)).alias("rows_"), F.sum("count").alias("total"))
 
 
-RAW_SQL = f"""with {LOG_SQL}, flat as (
-  select user_id, k, cast(event_id as bigint) as event_id, 'topic_' || (k % 6) as message_type, value - 20 as time_on_page, cast(k - 50 as double) as scroll_depth,
-    ts, event_type from base
-) """
-
-
 @case("JOB5_engagement_raw_data", """select cast(user_id as bigint) as device_id, event_type as message_type,
   case when value > 20 then round(value - 20, 4) else 0 end as time_on_page, case when value > 50 then round(value - 50, 4) else 0 end as scroll_depth
   from events where event_type <> 'error' and event_id % 3 <> 0 and ts >= '2024-01-10'""")

@@ -275,8 +275,9 @@ def topic_click_counts(log: DataFrame, actions: Sequence[str]) -> DataFrame:
     """Clicks per message type and action, one column per declared action, 0-filled."""
     return (
         log.where((F.col("event") == CLICK) & F.col("p.messagetype").isNotNull())
+        .withColumn("action", F.coalesce("p.actionid", F.lit("")))
         .groupBy(F.lower("p.messagetype").alias("message_type"))
-        .pivot(F.coalesce("p.actionid", F.lit("")), list(actions))
+        .pivot("action", list(actions))
         .count()
         .na.fill(0)
     )

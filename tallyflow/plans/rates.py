@@ -13,7 +13,6 @@ from tallyflow.functions.mapping import day_bin, success_flag
 from tallyflow.functions.maths import LOOSE_EPS, log_loss, posterior_mean, smoothing_weight, squared_error
 from tallyflow.operators.cleaning import fill_strings, first_per_key
 from tallyflow.operators.priors import beta_priors
-from tallyflow.sources.schemas import payload_field
 from tallyflow.streaming import with_late_outcomes
 
 # Trials a child needs, and the model id of the logged baseline.
@@ -21,16 +20,28 @@ MIN_TRIALS = 200
 BASELINE_MODEL = "waterfalltoprank"
 
 
+PAYLOAD = (
+    "properties struct<istest:string,timeonpage:string,modelid:string,installationsource:string,"
+    "modelrecommendationprobability:string>"
+)
+
+
 def _kind(events: DataFrame, kind: str, start: date, end: date) -> DataFrame:
-    """One kind of log row with year pruning; test traffic and rows without id are dropped."""
-    return events.where(
-        (F.col("event") == kind)
-        & (F.col("year") >= start.year)
-        & (F.col("year") <= end.year)
-        & (F.col("time") >= F.lit(start))
-        & (F.col("time") <= F.lit(end))
-        & (payload_field(F.col("properties"), "istest") == "false")
-        & F.col("messageid").isNotNull()
+    """One kind of log row with year pruning, payload parsed once as ``p``.
+
+    Test traffic and rows without id are dropped.
+    """
+    return (
+        events.where(
+            (F.col("event") == kind)
+            & (F.col("year") >= start.year)
+            & (F.col("year") <= end.year)
+            & (F.col("time") >= F.lit(start))
+            & (F.col("time") <= F.lit(end))
+            & F.col("messageid").isNotNull()
+        )
+        .withColumn("p", F.from_json("properties", PAYLOAD).getField("properties"))
+        .where(F.col("p.istest") == "false")
     )
 
 
@@ -38,7 +49,7 @@ def _trial_columns() -> list[Column]:
     return [
         F.col("time"),
         F.col("carriername").alias("carrier_name"),
-        F.col("daysfromeulaapproval").cast("float").alias("days_from_eula"),
+        F.col("daysfromeulaapproval").cast("double").alias("days_from_eula"),
         F.col("messageid").alias("message_id"),
         F.col("messagetype").alias("message_type"),
         F.col("devicevendor").alias("device_vendor"),
@@ -53,13 +64,12 @@ def trial_notifications(events: DataFrame, start: date, end: date) -> DataFrame:
 
 def baseline_notifications(events: DataFrame, start: date, end: date) -> DataFrame:
     """Notifications of the baseline model with its logged probability; missing strings are ``unset``."""
-    field = lambda key: payload_field(F.col("properties"), key)
-    rows = _kind(events, "contentitem_received", start, end).where(field("modelid") == BASELINE_MODEL)
+    rows = _kind(events, "contentitem_received", start, end).where(F.col("p.modelid") == BASELINE_MODEL)
     rows = rows.select(
         *_trial_columns(),
         F.col("programname").alias("program_name"),
-        field("installationsource").alias("installation_source"),
-        field("modelrecommendationprobability").try_cast("float").alias("waterfall_p"),
+        F.col("p.installationsource").alias("installation_source"),
+        F.col("p.modelrecommendationprobability").try_cast("double").alias("waterfall_p"),
         F.xxhash64("properties").alias("_tie"),
     )
     return fill_strings(first_per_key(rows, ["message_id"], ["time", "_tie"]).drop("_tie"))
@@ -75,7 +85,7 @@ def with_day_bins(items: DataFrame) -> DataFrame:
 
 
 def time_on_page(events: DataFrame, start: date, end: date) -> DataFrame:
-    seconds = payload_field(F.col("properties"), "timeonpage").try_cast("float")
+    seconds = F.col("p.timeonpage").try_cast("double")
     rows = with_late_outcomes(_kind(events, "contentitem_timeonpage", start, end + timedelta(days=2)), "time", start, end)
     return (
         rows.where(seconds.isNotNull())

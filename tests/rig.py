@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import glob
+import signal
 import math
 import os
 import sys
@@ -60,14 +61,17 @@ if __name__ == "__main__":
     con = connect(folder)
     queries, sqls = entry.queries(), entry.oracle_sql()
     failed = 0
+    signal.signal(signal.SIGALRM, lambda *_: (_ for _ in ()).throw(TimeoutError("time limit")))
     for name, build in queries.items():
         if wanted and not any(name.startswith(w) for w in wanted):
             continue
         start = time.time()
+        signal.alarm(int(os.environ.get("LIMIT", "60")))
         try:
             n, problem = compare(build(spark, folder), con, sqls.get(name))
         except Exception as error:  # noqa: BLE001
             n, problem = -1, f"{type(error).__name__}: {str(error)[:1200]}"
+        signal.alarm(0)
         failed += problem is not None
         state = "FAIL" if problem else ("ok  " if name in sqls else "rows")
         print(f"{state} {name} rows={n} {time.time() - start:.2f}s {problem or ''}", flush=True)
