@@ -590,10 +590,10 @@ def _(t):
 
 
 # separation tests: part type is the document, customer the device
-def seen_rows(t, exact=True):
+def seen_rows(t, exact=True, metrics=("time_on_page",)):
     rows = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     rows = rows.select(F.col("o_custkey").alias("device_id"), F.col("p_type").alias("message_type"), F.col("l_quantity").alias("time_on_page"), F.col("l_extendedprice").alias("scroll_depth"))
-    return sp.with_percentiles(rows, ["time_on_page"], exact=exact)
+    return sp.with_percentiles(rows, list(metrics), exact=exact)
 
 
 SEEN_SQL = """rows_ as (
@@ -685,8 +685,7 @@ def _(t):
 
 @case("SEP4_all_metrics", SEPARATION_SQL + f" union all select * from (with {SEEN_SQL.replace('time_on_page', 'scroll_depth').replace('l_quantity as scroll_depth, l_extendedprice as scroll_depth', 'l_extendedprice as scroll_depth')} {PAIRS_SQL} select d1, d2, group_no, 'scroll_depth' as metric, message_type, sum, count, round(sum / count, 6) as engagement_ratio from sep)")
 def _(t):
-    rows = seen_rows(t)
-    both = sp.with_percentiles(rows, ["scroll_depth"])
+    both = seen_rows(t, metrics=("time_on_page", "scroll_depth"))
     out = sp.separation_test(both, "time_on_page").unionByName(sp.separation_test(both, "scroll_depth"))
     return out.withColumn("engagement_ratio", F.round("engagement_ratio", 6))
 

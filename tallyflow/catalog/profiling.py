@@ -181,13 +181,13 @@ def _(t):
     return out.select("dim", "values", "mismatches")
 
 
-@case("WN4_frontier", """with p as (select p_size as x, round(p_retailprice / (p_size + 1), 2) as y from part), b as (select x, y, count(*) as copies from p group by 1, 2)
+@case("WN4_frontier", """with b as (select p_size as x, p_retailprice as y, count(*) as copies from part group by 1, 2)
   select x, y, copies from b where not exists (select 1 from b o where (o.x > b.x and o.y > b.y) or (o.x = b.x and o.y > b.y))""")
 def _(t):
-    return frontier(t.part.select("p_size", F.round(F.col("p_retailprice") / (F.col("p_size") + 1), 2).alias("y0")), "p_size", "y0")
+    return frontier(t.part, "p_size", "p_retailprice")
 
 
-@case("ORD1_global_sort", "select o_orderkey, o_orderdate::varchar[1:10] as day from orders")
+@case("ORD1_global_sort", "select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day from orders")
 def _(t):
     return t.orders.orderBy("o_orderdate", "o_orderkey").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
 

@@ -97,12 +97,12 @@ def reshape(
     return out.select(*order) if order else out
 
 
-def with_group_count(df: DataFrame, keys: Sequence[str], out: str = "count") -> DataFrame:
-    """Rows with the size of their group, by aggregate and join.
+def with_group_count(df: DataFrame, keys: Sequence[str], out: str = "count", source: DataFrame | None = None) -> DataFrame:
+    """Rows with the size of their group (in ``source`` or the rows), by aggregate and join.
 
     A window would gather a hot group in one task; the join lets the engine split it.
     """
-    sizes = df.groupBy(*[F.col(k).alias("_g_" + k) for k in keys]).agg(F.count(F.lit(1)).alias(out))
+    sizes = (source or df).groupBy(*[F.col(k).alias("_g_" + k) for k in keys]).agg(F.count(F.lit(1)).alias(out))
     on = reduce(lambda a, b: a & b, [df[k].eqNullSafe(sizes["_g_" + k]) for k in keys])
     return df.join(sizes, on).drop(*["_g_" + k for k in keys])
 
@@ -118,7 +118,7 @@ def minority_by_share(df: DataFrame, columns: Sequence[str], share: float = 0.00
     total = df.agg(F.count(F.lit(1))).scalar()
     out = df
     for c in columns:
-        kept = with_group_count(out, [c], "_n")
+        kept = with_group_count(out, [c], "_n", source=df)
         rare = F.col("_n") / total <= share
         out = kept.withColumn(c, F.when(F.col(c).isNotNull() & rare, label).otherwise(F.col(c).cast("string"))).drop("_n")
     return out

@@ -24,11 +24,11 @@ def sorted_dictionary(df: DataFrame, column: str) -> DataFrame:
     return numbered(df.where(F.col(column).isNotNull()).select(F.col(column).alias("value")).distinct(), ["value"])
 
 
-def with_index(df: DataFrame, column: str, dictionary: DataFrame, out: str) -> DataFrame:
-    """Rows with the dictionary number of a value; unknown values get the next free number."""
+def with_index(df: DataFrame, column: str, dictionary: DataFrame, out: str, unknown: bool = True) -> DataFrame:
+    """Rows with the dictionary number of a value; unknown values get the next free number, or null."""
     known = dictionary.select(F.col("value").alias("_v"), F.col("idx").alias("_i"))
-    size = dictionary.agg(F.count(F.lit(1))).scalar()
-    return df.join(known, df[column] == F.col("_v"), "left").withColumn(out, F.coalesce("_i", size)).drop("_v", "_i")
+    number = F.coalesce("_i", dictionary.agg(F.count(F.lit(1))).scalar()) if unknown else F.col("_i")
+    return df.join(known, df[column] == F.col("_v"), "left").withColumn(out, number).drop("_v", "_i")
 
 
 def embedding_widths(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -61,17 +61,17 @@ def composites(df: DataFrame, spec: Mapping[str, Sequence[str]], missing: str =
     return df.withColumns({name: F.concat_ws("_", *[part(c) for c in parts]) for name, parts in spec.items()})
 
 
-def binary_codes(df: DataFrame, column: str, out: str) -> DataFrame:
-    """0 for the smaller of two values, 1 for the larger."""
-    ends = df.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi"))).scalar()
+def binary_codes(df: DataFrame, column: str, out: str, source: DataFrame | None = None) -> DataFrame:
+    """0 for the smaller of two values, 1 for the larger; the values come from ``source`` or the rows."""
+    ends = (source or df).agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi"))).scalar()
     return df.withColumn("_e", ends).withColumn(
         out, F.when(F.col(column) == F.col("_e.lo"), 0).when(F.col(column) == F.col("_e.hi"), 1)
     ).drop("_e")
 
 
-def cyclical(df: DataFrame, column: str) -> DataFrame:
-    """Sine and cosine with the number of distinct values as period."""
-    period = df.agg(F.countDistinct(column)).scalar()
+def cyclical(df: DataFrame, column: str, source: DataFrame | None = None) -> DataFrame:
+    """Sine and cosine with the number of distinct values (of ``source`` or the rows) as period."""
+    period = (source or df).agg(F.countDistinct(column)).scalar()
     angle = F.col(column) * (2 * math.pi / period)
     return df.withColumns({column + "_sin": F.sin(angle), column + "_cos": F.cos(angle)})
 

@@ -38,14 +38,16 @@ class ClickSpec:
 
 def prepare(rows: DataFrame, spec: ClickSpec, keep: Sequence[str] = ()) -> DataFrame:
     """Dense category ids, 0/1 codes, sine and cosine columns, label and weight."""
-    out = rows.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("unknown")) for c in spec.categorical})
-    out = composites(out, spec.composite)
+    filled = rows.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("unknown")) for c in spec.categorical})
+    base = composites(filled, spec.composite)
+    # all statistics come from the base rows, so the plan grows by one branch per column
+    out = base
     for c in spec.binary:
-        out = binary_codes(out, c, c)
+        out = binary_codes(out, c, c, source=base)
     for c in spec.cyclical:
-        out = cyclical(out, c)
+        out = cyclical(out, c, source=base)
     ids = [*spec.categorical, *spec.composite]
     for c in ids:
-        out = with_index(out, c, sorted_dictionary(out, c), "_id").drop(c).withColumnRenamed("_id", c)
+        out = with_index(out, c, sorted_dictionary(base, c), "_id", unknown=False).drop(c).withColumnRenamed("_id", c)
     waves = [f"{c}_{w}" for c in spec.cyclical for w in ("sin", "cos")]
     return out.select(*keep, *ids, *spec.binary, *waves, spec.label, spec.weight)
