@@ -1 +1,206 @@
-"""x"""
+"""Fitted models and the jobs built on them; checked by invariants, not by SQL."""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.sql import functions as F
+
+from tallyflow.catalog import case
+from tallyflow.catalog.basics import scratch
+from tallyflow.catalog.features import click_rows
+from tallyflow.catalog.profiling import installs, rounded
+from tallyflow.operators import evaluation as ev
+from tallyflow.operators import models as md
+from tallyflow.plans import ablation as ab
+from tallyflow.plans import adviews as av
+from tallyflow.plans import churn as ch
+from tallyflow.plans import prices as pr
+from tallyflow.plans import tweets as tw
+from tallyflow.sources import sinks as sk
+
+CATS, NUMS = ["l_linestatus", "l_linenumber"], ["l_quantity", "l_discount", "l_tax"]
+
+
+def sold(t):
+    rows = t.lineitem.withColumn("id", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+    likely = (F.col("l_quantity") > 25).cast("int") + (F.col("l_discount") > 0.05).cast("int") + (F.col("l_returnflag") == "R").cast("int")
+    return rows.withColumns({"y": (likely >= 2).cast("int"), "l_linenumber": F.col("l_linenumber").cast("string")})
+
+
+def sold_split(t):
+    train, test = av.split_features(sold(t), "id", "y", CATS, NUMS)
+    return train.persist(), test.persist()
+
+
+def metrics(model, test):
+    out = md.classification_metrics(md.score_rows(model, test))
+    return rounded(out, *out.columns, places=4)
+
+
+def history(t, found):
+    rows = [(str(sorted(p.items())), float(m)) for p, m in found]
+    return t.spark.createDataFrame(rows, "parameters string, metric double")
+
+
+@case("MOD1_logistic_search")
+def _(t):
+    train, test = sold_split(t)
+    best, _ = md.logistic_search(train, n=3, folds=2)
+    return metrics(best, test)
+
+
+@case("MOD1_l1_path")
+def _(t):
+    train, _ = sold_split(t)
+    return history(t, md.l1_path(train, points=4, folds=2)[1])
+
+
+@case("MOD2_forest_search")
+def _(t):
+    train, test = sold_split(t)
+    return metrics(md.forest_search(train, n=2, folds=2)[0], test)
+
+
+@case("MOD3_boosting_search")
+def _(t):
+    train, test = sold_split(t)
+    return metrics(md.boosting_search(train, n=1, folds=2)[0], test)
+
+
+@case("MOD4_parameter_sweep")
+def _(t):
+    train, test = sold_split(t)
+    make = lambda **p: md.RandomForestClassifier(seed=30, **{"numTrees": 8, "maxDepth": 4, **p})
+    return md.sweep(t.spark, make, {"numTrees": [2, 8], "maxDepth": [2, 6]}, train, test)
+
+
+def priced(t):
+    train, test = pr.split_features(t.orders.withColumn("region", F.lit("Albany")), "o_orderdate", "o_orderkey", "o_totalprice",
+                                    ["o_orderpriority", "o_orderstatus", "month", "day_of_week"], ["o_custkey"], "region")
+    return train.persist(), test.persist()
+
+
+@case("MOD5_regressors")
+def _(t):
+    return rounded(md.compare_regressors(*priced(t)), "rmse", places=2)
+
+
+@case("MOD6_regression_search")
+def _(t):
+    train, _ = priced(t)
+    found = md.regression_search(md.RandomForestRegressor(seed=30), {"numTrees": [4, 8], "maxDepth": [2, 4]}, train, n=2, folds=2)
+    return history(t, found[1])
+
+
+def served(t):
+    rows = t.orders.groupBy("o_custkey").agg(F.to_date(F.min("o_orderdate")).alias("a"), F.to_date(F.max("o_orderdate")).alias("b"))
+    rows = rows.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return rows.select("o_custkey", "a", "b", "c_mktsegment", "n_name")
+
+
+@case("MOD8_model_per_label")
+def _(t):
+    rows = ch.labelled(served(t), "a", "b", months=[60, 66, 72])
+    return ch.horizon_models(rows, "o_custkey", ["c_mktsegment"], ["month_60", "month_66", "month_72"])
+
+
+@case("JOB15_churn_horizons")
+def _(t):
+    months = [48, 60, 72]
+    rows = ch.labelled(served(t), "a", "b", months)
+    return ch.horizon_models(rows, "o_custkey", ["c_mktsegment", "n_name"], [f"month_{m}" for m in months])
+
+
+def people(t):
+    return t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("c_custkey").alias("dev"), F.col("n_name").alias("carrier_name"), F.col("c_mktsegment").alias("device_model"),
+        F.col("c_nationkey").cast("string").alias("device_vendor"), (F.col("c_acctbal") > 4000).cast("int").alias("y"),
+    )
+
+
+def named_installs(t):
+    return installs(t).withColumn("app", F.concat(F.lit("com."), F.replace("app", F.lit("#"), F.lit("."))))
+
+
+def ablate(t, variants, fit):
+    return ab.ablation(named_installs(t), people(t), "dev", "y", variants=variants, fit=fit, min_devices=50, cutoff=0.75, min_app_variance=0.24)
+
+
+def quick(train):
+    return md.LogisticRegression(regParam=0.01, elasticNetParam=1.0, maxIter=20).fit(train)
+
+
+@case("MOD9_feature_set_ablation")
+def _(t):
+    return ablate(t, ab.VARIANTS, quick)
+
+
+@case("JOB11_segment_modelling")
+def _(t):
+    return ablate(t, ab.VARIANTS[:1], lambda train: md.l1_path(train, points=3, folds=2)[0])
+
+
+@case("MOD10_weighted_click_model")
+def _(t):
+    rows = click_rows(t)
+    model = md.hashed_click_model(rows, ["p_type", "p_brand", "l_linestatus"], "clicks", "impressions", buckets=256)
+    scored = md.probability(model.transform(rows))
+    pairs = ev.scored(scored, F.col("score"), F.col("clicks"), F.col("impressions"))
+    return ev.roc_auc(pairs).withColumn("calibration", ev.calibration(pairs).scalar())
+
+
+@case("MOD11_batch_scoring")
+def _(t):
+    rows = t.documents.join(t.labels, "doc_id", "left")
+    return tw.classify(rows, "doc_id", "text", "quality")[1]
+
+
+@case("JOB13_short_text_classifier")
+def _(t):
+    rows = t.documents.join(t.labels, "doc_id", "left")
+    return tw.classify(rows, "doc_id", "text", "quality")[0]
+
+
+@case("MOD12_weights_table")
+def _(t):
+    train, _ = sold_split(t)
+    return md.weights_table(quick(train), train)
+
+
+@case("SNK6_save_and_load_model")
+def _(t):
+    path = scratch(t) + "/model"
+    rows = sold(t).withColumn("label", F.col("y").cast("double"))
+    stages = [*md.feature_stages(rows, CATS, NUMS), md.LogisticRegression(regParam=0.01, maxIter=10)]
+    fitted = Pipeline(stages=stages).fit(rows)
+    sk.save_model(fitted, path)
+    again = sk.load_model(path)
+    both = fitted.transform(rows).select("id", F.col("prediction").alias("a")).join(again.transform(rows).select("id", "prediction"), "id")
+    return both.groupBy((F.col("a") == F.col("prediction")).alias("same")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@case("JOB16_price_regression")
+def _(t):
+    train, test = priced(t)
+    chosen = {k: v for k, v in md.regressors().items() if k in ("linear", "ridge", "decision_tree")}
+    return rounded(md.compare_regressors(train, test, chosen), "rmse", places=2)
+
+
+@case("JOB17_ad_views")
+def _(t):
+    rows = av.cleaned(sold(t).withColumn("ad_screen_ratio", F.try_divide("l_extendedprice", "l_quantity")), CATS, ["ad_screen_ratio"], sigmas=3)
+    train, test = av.split_features(rows, "id", "y", CATS, [*NUMS, "ad_screen_ratio"])
+    models = {"logistic": md.LogisticRegression(regParam=0.01), "forest": md.RandomForestClassifier(numTrees=10, maxDepth=5, seed=30)}
+    return av.compare(train.persist(), test.persist(), models)
+
+
+@case("JOB18_expert_routing")
+def _(t):
+    rows = av.cleaned(sold(t), CATS, NUMS, required=["l_quantity"], fills={"l_discount": 0.0})
+    train, test = av.split_features(rows, "id", "y", CATS, NUMS)
+    models = {
+        "logistic": md.LogisticRegression(regParam=0.01),
+        "forest": md.RandomForestClassifier(numTrees=8, maxDepth=5, seed=30),
+        "boosting": md.GBTClassifier(maxIter=4, maxDepth=3, seed=30),
+    }
+    return av.compare(train.persist(), test.persist(), models)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyflow.catalog import case
-from tallyflow.functions.text import keyword_flags
+from tallyflow.functions.text import TOKEN, keyword_flags
 from tallyflow.operators import marginals as mg
 from tallyflow.operators import profile as pf
 from tallyflow.operators.ordering import exact_quantiles
@@ -128,7 +128,8 @@ def _(t):
     return rounded(pf.weighted_rate(returned(t), "y", "l_quantity"), "rate", places=8)
 
 
-@case("AG28_token_counts")
+@case("AG28_token_counts", f"""select token, count(*) as cnt from (select unnest(regexp_extract_all(text, '{TOKEN.replace("'", "''")}')) as token from documents)
+  group by 1 order by cnt desc, token limit 20""")
 def _(t):
     return pf.token_counts(t.documents, "text", 20)
 

@@ -45,7 +45,7 @@ STOPS = "[" + ", ".join(f"'{q(w)}'" for w in tx.STOP_WORDS) + "]"
 
 
 def clean_sql(text: str) -> str:
-    kept = f"array_to_string(list_filter(regexp_split_to_array(lower({text}), '\\s+'), x -> not list_contains({STOPS}, x)), ' ')"
+    kept = f"array_to_string(list_filter(regexp_split_to_array(lower({text}), '\\s+'), lambda x: not list_contains({STOPS}, x)), ' ')"
     return f"trim(regexp_replace({kept}, '[^a-z]+', ' ', 'g'))"
 
 

@@ -130,7 +130,8 @@ def quantile_bins(rows: DataFrame, step: int = 5) -> DataFrame:
     cuts = exact_quantiles(rows, "score", [i / 100 for i in range(0, 101, step)])
     edges = cuts.agg(F.array_sort(F.collect_list("q"))).scalar()
     return (
-        rows.withColumn("bin", _below(edges, F.col("score")))
+        rows.withColumn("_edges", edges)
+        .withColumn("bin", _below(F.col("_edges"), F.col("score")))
         .where(F.col("bin") > 0)
         .groupBy("bin")
         .agg(F.avg("label").alias("label"), F.avg("score").alias("pred"), F.count(F.lit(1)).alias("n"))
