@@ -8,13 +8,13 @@ from tallyflow.catalog import case
 from tallyflow.catalog.profiling import rounded
 from tallyflow.operators import evaluation as ev
 
-SCORE = F.col("l_quantity") / 100 + F.col("l_discount") * 4
 S_SQL = "with s as (select l_quantity / 100 + l_discount * 4 as score, cast(l_returnflag = 'R' as integer) as label, l_quantity as weight, l_orderkey * 10 + l_linenumber as id from lineitem)"
 
 
 def scored(t, weighted=False):
     label = (F.col("l_returnflag") == "R").cast("int")
-    return ev.scored(t.lineitem, SCORE, label, F.col("l_quantity") if weighted else None)
+    score = F.col("l_quantity") / 100 + F.col("l_discount") * 4
+    return ev.scored(t.lineitem, score, label, F.col("l_quantity") if weighted else None)
 
 
 @case("EV1_score_label_pairs", S_SQL + " select round(score, 6) as score, cast(label as double) as label from s")

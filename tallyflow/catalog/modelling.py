@@ -123,11 +123,11 @@ def named_installs(t):
 
 
 def ablate(t, variants, fit):
-    return ab.ablation(named_installs(t), people(t), "dev", "y", variants=variants, fit=fit, min_devices=50, cutoff=0.75, min_app_variance=0.24)
+    return ab.ablation(named_installs(t), people(t), "dev", "y", variants=variants, fit=fit, min_devices=50, cutoff=0.75, min_app_variance=0.2)
 
 
 def quick(train):
-    return md.LogisticRegression(regParam=0.01, elasticNetParam=1.0, maxIter=20).fit(train)
+    return md.LogisticRegression(regParam=0.01, elasticNetParam=1.0, maxIter=10).fit(train)
 
 
 @case("MOD9_feature_set_ablation")

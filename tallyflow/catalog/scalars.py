@@ -11,25 +11,29 @@ from tallyflow.functions import maths as m
 from tallyflow.functions import scoring as sc
 from tallyflow.functions import text as tx
 
-TS_TEXT = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
-SOME_TEXT = F.when(F.col("event_id") % 9 == 0, "").when(F.col("event_id") % 9 == 1, "no date").otherwise(TS_TEXT)
+def some_text():
+    """Timestamp text with empty and unreadable values among it."""
+    good = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    return F.when(F.col("event_id") % 9 == 0, "").when(F.col("event_id") % 9 == 1, "no date").otherwise(good)
+
+
 SOME_SQL = "case when event_id % 9 = 0 then '' when event_id % 9 = 1 then 'no date' else strftime(ts, '%Y-%m-%d %H:%M:%S') end"
 
 
 @case("DT1_weekday_hour", "select event_id, case when event_id % 9 > 1 then isodow(ts) - 1 end as weekday, case when event_id % 9 > 1 then hour(ts) end as hour from events")
 def _(t):
-    weekday, hour = d.weekday_and_hour(SOME_TEXT)
+    weekday, hour = d.weekday_and_hour(some_text())
     return t.events.select("event_id", weekday.alias("weekday"), hour.alias("hour"))
 
 
 @case("DT2_epoch_millis", "select event_id, case when event_id % 9 > 1 then cast(epoch(date_trunc('second', ts)) as bigint) * 1000 end as ms from events")
 def _(t):
-    return t.events.select("event_id", d.epoch_millis(SOME_TEXT).alias("ms"))
+    return t.events.select("event_id", d.epoch_millis(some_text()).alias("ms"))
 
 
 @case("DT3_date_text", "select event_id, case when event_id % 9 = 0 then '' when event_id % 9 > 1 then strftime(ts, '%Y-%m-%d') end as day from events")
 def _(t):
-    return t.events.select("event_id", d.date_text(SOME_TEXT).alias("day"))
+    return t.events.select("event_id", d.date_text(some_text()).alias("day"))
 
 
 @case("DT4_calendar_spines", """select h.hour, lpad(cast(h.hour as varchar), 2, '0') as hour_label, w.weekday, count(event_id) as n
@@ -84,7 +88,8 @@ def _(t):
     return service(t).select("o_custkey", *[d.horizon_label(days, 6 * k).alias(f"month_{6 * k}") for k in range(1, 13)])
 
 
-NUMBER = F.when(F.col("event_id") % 5 == 0, "n/a").otherwise(F.col("event_id").cast("string"))
+def number_text():
+    return F.when(F.col("event_id") % 5 == 0, "n/a").otherwise(F.col("event_id").cast("string"))
 
 
 @case("STR1_to_list", "select doc_id, len(string_split(text, ',')) as n from documents")
@@ -95,7 +100,7 @@ def _(t):
 @case("STR2_safe_numbers", "select event_id, case when event_id % 5 <> 0 then event_id end as whole, case when event_id % 7 <> 0 then value end as real_ from events")
 def _(t):
     real = F.when(F.col("event_id") % 7 == 0, "x").otherwise(F.col("value").cast("string"))
-    return t.events.select("event_id", tx.to_int(NUMBER).alias("whole"), tx.to_float(real).alias("real_"))
+    return t.events.select("event_id", tx.to_int(number_text()).alias("whole"), tx.to_float(real).alias("real_"))
 
 
 @case("STR3_to_bool", "select event_id, case event_id % 3 when 0 then true when 1 then false end as flag from events")
@@ -159,25 +164,34 @@ def label_table(table):
     return "map {" + ", ".join(f"'{k}': {v}::double" for k, v in table.items()) + "}"
 
 
-def label_list(table, key):
-    names = [*table, "Z: unknown"]
-    return "[" + ", ".join(f"'{n}'" for n in names) + f"][{key} % {len(names)} + 1]", F.element_at(F.array(*[F.lit(n) for n in names]), (F.col(key) % len(names) + 1).cast("int"))
+def label_names(table):
+    return [*table, "Z: unknown"]
 
 
-RANGES = {name: (label_list(table, "c_custkey"), table) for name, table in mp.RANGE_LABELS.items()}
+def range_sql():
+    parts = []
+    for name, table in mp.RANGE_LABELS.items():
+        names = label_names(table)
+        listed = "[" + ", ".join(f"'{n}'" for n in names) + f"][c_custkey % {len(names)} + 1]"
+        parts.append(f"{label_table(table)}[{listed}] as {name}")
+    return "select c_custkey, " + ", ".join(parts) + " from customer"
 
 
-@case("MAP2_range_midpoints", "select c_custkey, " + ", ".join(f"{label_table(table)}[{sql}] as {name}" for name, ((sql, _), table) in RANGES.items()) + " from customer")
+@case("MAP2_range_midpoints", range_sql())
 def _(t):
-    return t.customer.select("c_custkey", *[mp.midpoint(label, table).alias(name) for name, ((_, label), table) in RANGES.items()])
-
-
-DEPTH = F.element_at(F.array(*[F.lit(x) for x in ("25", "50.0", "75", "100", "110")]), (F.col("event_id") % 5 + 1).cast("int"))
+    made = []
+    for name, table in mp.RANGE_LABELS.items():
+        names = label_names(table)
+        label = F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("c_custkey") % len(names) + 1).cast("int"))
+        made.append(mp.midpoint(label, table).alias(name))
+    return t.customer.select("c_custkey", *made)
 
 
 @case("SCO1_scroll_score", "select event_id, [2.5, 5.0, 7.5, 10.0, 0.0][event_id % 5 + 1]::double as score from events")
 def _(t):
-    return t.events.select("event_id", sc.scroll_score(DEPTH).alias("score"))
+    texts = F.array(*[F.lit(x) for x in ("25", "50.0", "75", "100", "110")])
+    depth = F.element_at(texts, (F.col("event_id") % 5 + 1).cast("int"))
+    return t.events.select("event_id", sc.scroll_score(depth).alias("score"))
 
 
 @case("SCO2_reading_score", "select event_id, cast(case when value * 5 / w >= 0.1 and value > 0 then least(ceil(value * 5 / w * 10), 10) else 0 end as double) as score from (select *, event_id % 400 + 40 as w from events)")

@@ -89,7 +89,7 @@ def one_per_text(t):
 
 @case("SIM4_similar_pairs", PAIR_SQL + " select a, b, round(similarity, 6) as similarity from s where similarity >= 0.7")
 def _(t):
-    vectors = sm.unit(sm.tf_idf(one_per_text(t), "doc_id", "text"), "doc_id")
+    vectors = sm.unit(sm.tf_idf(one_per_text(t), "doc_id", "text", cleaned=True), "doc_id")
     return rounded(sm.similar_pairs(vectors, "doc_id", 0.7), "similarity")
 
 

@@ -24,16 +24,21 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right["_o_" + k]) for k in keys])
 
 
-def with_pieces(df: DataFrame, order: Sequence[str | Column], depth: int = DEPTH) -> DataFrame:
+def with_pieces(
+    df: DataFrame, order: Sequence[str | Column], depth: int = DEPTH, measures: Sequence[str] = ()
+) -> DataFrame:
     """Add ``_piece``, an ordered split into ``2**depth`` parts, the same on every run.
 
     The cut points are the order keys with the smallest hashes, so the split does not
     depend on partitioning and may be computed twice. A row finds its piece by halving.
+    ``measures`` are read along with the keys, so that the sample shares the shuffle that
+    aggregated them instead of reading the input again.
     """
     cols = _cols(order)
     key = cols[0] if len(cols) == 1 else F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)])
     points = (
-        df.select(key.alias("k"))
+        df.where(reduce(lambda a, b: a & b, [F.col(m) >= float("-inf") for m in measures], F.lit(True)))
+        .select(key.alias("k"))
         .orderBy(F.xxhash64("k"), "k")
         .limit(2**depth - 1)
         .agg(F.sort_array(F.collect_list("k")).alias("p"))
@@ -85,7 +90,7 @@ def running_totals(
 
     ``df`` holds one row per order key and group, i.e. it is already aggregated.
     """
-    parts = with_pieces(df, order, depth)
+    parts = with_pieces(df, order, depth, sums)
     joined = _with_offsets(parts, {c: F.sum(c) for c in sums}, group)
     inside = (
         Window.partitionBy(*group, "_piece")

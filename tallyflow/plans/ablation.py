@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import CountVectorizer
@@ -48,8 +48,8 @@ VARIANTS = (
 
 
 def feature_rows(
-    v: Variant, installs: DataFrame, people: DataFrame, train_people: DataFrame, key: str, prop: Sequence[str], min_devices: int, cutoff: float,
-    min_app_variance: float, min_model_variance: float,
+    v: Variant, installs: DataFrame, people: DataFrame, train_people: DataFrame, key: str, prop: Sequence[str],
+    tops: Mapping[str, DataFrame], min_app_variance: float, min_model_variance: float,
 ) -> DataFrame:
     """(key, feature) of one variant; every screen is learned on the training devices."""
     apps = installs
@@ -59,8 +59,7 @@ def feature_rows(
         apps = fe.without_name_tokens(apps, "app", tokens.union(system), "token", SYSTEM_PARTS)
     if v.preinstalled:
         for p in prop:
-            top = top_by_property(installs.join(train_people.select(key), key), train_people, key, p, "app", min_devices, cutoff)
-            apps = fe.without_preinstalled(apps, people, key, p, "app", top)
+            apps = fe.without_preinstalled(apps, people, key, p, "app", tops[p])
     if v.common_apps:
         kept = fe.varying_names(apps.join(train_people.select(key), key), train_people, key, "app", min_app_variance)
         apps = apps.join(kept.select("app"), "app", "left_semi")
@@ -79,7 +78,10 @@ def vectors(rows: DataFrame, people: DataFrame, key: str, label: str, clean_rows
     ready = joined.withColumn("names", F.coalesce("names", F.array().cast("array<string>")))
     if clean_rows:
         ready = ready.where((F.size("names") > 0) | (F.col("part") == "test"))
+    ready = ready.persist()
     model = CountVectorizer(inputCol="names", outputCol="features", binary=True, minDF=1).fit(ready.where("part = 'train'"))
+    if not model.vocabulary:
+        raise ValueError("no feature passes the screens of this variant")
     return model.transform(ready).drop("names")
 
 
@@ -100,13 +102,18 @@ def ablation(
     """(variant, average_precision) on the stratified test devices. ``installs`` holds (key, app)."""
     fit = fit or (lambda train: md.l1_path(train)[0])
     placed = stratified(people, [key], label, test_share).persist()
-    train_people = placed.where("part = 'train'")
-    out = None
+    train_people = placed.where("part = 'train'").drop("part").persist()
+    installs = installs.distinct().persist()
+    tops = {
+        p: top_by_property(installs.join(train_people.select(key), key), train_people, key, p, "app", min_devices, cutoff).persist()
+        for p in prop
+    }
+    results = []
     for v in variants:
-        rows = feature_rows(v, installs, placed, train_people, key, prop, min_devices, cutoff, min_app_variance, min_model_variance)
+        rows = feature_rows(v, installs, placed, train_people, key, prop, tops, min_app_variance, min_model_variance)
         data = vectors(rows, placed, key, label, v.clean_rows).persist()
         model = fit(data.where("part = 'train'"))
-        result = ev.average_precision(md.score_rows(model, data.where("part = 'test'")))
-        row = result.select(F.lit(v.name).alias("variant"), "average_precision")
-        out = row if out is None else out.unionByName(row)
-    return out
+        found = ev.average_precision(md.score_rows(model, data.where("part = 'test'"))).first()
+        results.append((v.name, found["average_precision"]))
+        data.unpersist()
+    return people.sparkSession.createDataFrame(results, "variant string, average_precision double")

@@ -43,9 +43,8 @@ def split_features(df: DataFrame, key: str, label: str, categorical: Sequence[st
 
 def compare(train: DataFrame, test: DataFrame, models: Mapping[str, object]) -> DataFrame:
     """(model, metrics...) of fitted models on the test rows."""
-    out = None
+    found = []
     for name, estimator in models.items():
         fitted = estimator.fit(train)
-        row = md.classification_metrics(md.score_rows(fitted, test)).select(F.lit(name).alias("model"), "*")
-        out = row if out is None else out.unionByName(row)
-    return out
+        found.append({"model": name, **md.classification_metrics(md.score_rows(fitted, test)).first().asDict()})
+    return md.metric_rows(train.sparkSession, found, "model")

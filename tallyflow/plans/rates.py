@@ -13,6 +13,7 @@ from tallyflow.functions.mapping import day_bin, success_flag
 from tallyflow.functions.maths import LOOSE_EPS, log_loss, posterior_mean, smoothing_weight, squared_error
 from tallyflow.operators.cleaning import fill_strings, first_per_key
 from tallyflow.operators.priors import beta_priors
+from tallyflow.session import cut_lineage
 from tallyflow.streaming import with_late_outcomes
 
 # Trials a child needs, and the model id of the logged baseline.
@@ -158,9 +159,10 @@ def rate_model(
     """Node table with the prior of each node's parent and the posterior probability.
 
     Nodes below the trial threshold still get a probability when their parent has a prior;
-    a parent without prior has no child rows. The root keeps its plain rate.
+    a parent without prior has no child rows. The root keeps its plain rate. The node
+    table is checkpointed, because every later step reads it: the trials are read once.
     """
-    nodes = node_table(daily, hierarchy)
+    nodes = cut_lineage(node_table(daily, hierarchy))
     parent = ["level", *["p_" + k for k in hierarchy]]
     priors = fit(prior_candidates(nodes, hierarchy, min_trials, min_children), parent)
     children = nodes.where(F.col("level") > 0).select("*", *_parents(hierarchy))

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tallyflow.functions.mapping import positive_or_zero
 from tallyflow.operators.ordering import exact_quantiles
+from tallyflow.session import cut_lineage
 from tallyflow.sources.readers import sql_job
 
 # Percentiles of the engagement metrics.
@@ -116,9 +117,10 @@ def separation_test(rows: DataFrame, metric: str, user: str = "device_id", doc:
         count(d1, d2, group 1, d3) = single(d1, d3) - both(d1, d2, d3)
 
     where ``single`` and ``both`` are sums over the documents one user has seen. Users are
-    first merged by what they saw and liked, so equal users are counted once.
+    first merged by what they saw and liked, so equal users are counted once. The rows
+    are aggregated to (user, document) once and checkpointed.
     """
-    seen = per_user_and_document(rows, metric, user, doc)
+    seen = cut_lineage(per_user_and_document(rows, metric, user, doc))
     # documents per user are bounded by the document list
     one = F.struct("doc", "n", "engaged")
     profiles = (
