@@ -10,7 +10,7 @@ from tallyflow.catalog import Tables
 
 def event_log(t: Tables) -> DataFrame:
     """Raw log with a JSON payload; one row of ``events`` yields one or two log rows."""
-    e = t.events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    e = t.spread("events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     pick = lambda i, *names: F.element_at(F.array(*[F.lit(n) for n in names]), (i % len(names) + 1).cast("int"))
     kind = F.col("event_type")
     kinds = F.concat(
@@ -133,7 +133,7 @@ base as (
 def lines(t: Tables) -> DataFrame:
     """Line items with order, customer, nation and part attributes."""
     return (
-        t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        t.spread("lineitem").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t.part, F.col("l_partkey") == F.col("p_partkey"))
         .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))

@@ -214,7 +214,7 @@ def devices(t):
         F.lower(F.concat(F.lit("com."), F.regexp_replace("p_brand", "#", "."), F.when(F.col("p_size") == 1, ".vpl").otherwise(""))).alias("package"),
         F.when(F.col("p_size") != 2, F.concat("p_type", F.lit("_y_"), F.replace("p_name", F.lit(" "), F.lit("&amp;")))).alias("category"),
     )
-    rows = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    rows = t.spread("lineitem").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     return rows.groupBy(F.col("o_custkey").cast("string").alias("deviceId")).agg(F.collect_list(one).alias("packages"))
 
 
@@ -309,8 +309,9 @@ def _(t):
 def _(t):
     out = ins.views_with_apps(devices(t), event_log(t), START, threshold=200)
     fixed = {"CarrierName", "DeviceId", "DaysFromEulaApproval", "ProgramName", "MessageId", "MessageType", "DeviceVendor", "PreviewClicked"}
-    total = sum((F.col(f"`{c}`") for c in out.columns if c not in fixed), F.lit(0))
-    return out.select("MessageId", "PreviewClicked", total.cast("long").alias("apps"))
+    counts = F.array(*[F.col(f"`{c}`") for c in out.columns if c not in fixed])
+    total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
+    return out.select("MessageId", "PreviewClicked", total.alias("apps"))
 
 
 @case("AG14_latest_per_device", f"""with {LOG_SQL} select device_id as "deviceId", days as "daysFromEulaApproval", strftime(time, '%Y-%m-%d') as date
@@ -335,7 +336,7 @@ def telemetry(t):
         F.col("l_partkey").alias("LastUpdateTime"), F.col("p_name").alias("Name"), F.col("p_brand").alias("PackageName"),
         F.col("l_linenumber").cast("long").alias("VersionCode"), F.lit("1.0").alias("VersionName"),
     )
-    rows = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    rows = t.spread("lineitem").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     body = F.struct(
         (F.col("o_orderkey") % 10 == 0).alias("IsTest"), F.lit("sprint").alias("CarrierName"),
         F.col("o_custkey").cast("string").alias("DeviceId"), F.array(app).alias("InstalledApps"),
@@ -591,7 +592,7 @@ def _(t):
 
 # separation tests: part type is the document, customer the device
 def seen_rows(t, exact=True, metrics=("time_on_page",)):
-    rows = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    rows = t.spread("lineitem").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     rows = rows.select(F.col("o_custkey").alias("device_id"), F.col("p_type").alias("message_type"), F.col("l_quantity").alias("time_on_page"), F.col("l_extendedprice").alias("scroll_depth"))
     return sp.with_percentiles(rows, list(metrics), exact=exact)
 

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyflow.functions.maths import digamma
@@ -21,13 +22,19 @@ MAX_ITERATIONS = 900
 GROUP_ROWS = 1_000_000
 
 
+def _same(parent: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col("_k_" + p)) for p in parent])
+
+
 def eligible_children(nodes: DataFrame, parent: Sequence[str], child: str, min_trials: float, min_children: int = 5) -> DataFrame:
     """Children with more than ``min_trials`` trials whose parent has more than ``min_children`` distinct ones."""
     busy = nodes.where(F.col("trial") > min_trials)
     distinct = busy.select(*parent, child).distinct()
-    sizes = distinct.groupBy(*parent).agg(F.count(F.lit(1)).alias("num_types"))
-    on = [busy[p].eqNullSafe(sizes[p]) for p in parent]
-    wide = busy.join(sizes, on).drop(*[sizes[p] for p in parent]) if parent else busy.withColumn("num_types", sizes.scalar())
+    sizes = distinct.groupBy(*[F.col(p).alias("_k_" + p) for p in parent]).agg(F.count(F.lit(1)).alias("num_types"))
+    if parent:
+        wide = busy.join(sizes, _same(parent)).drop(*["_k_" + p for p in parent])
+    else:
+        wide = busy.withColumn("num_types", sizes.scalar())
     return wide.where(F.col("num_types") > min_children)
 
 
@@ -67,16 +74,16 @@ def _fit_in_tasks(children: DataFrame, parent: Sequence[str]) -> DataFrame:
 
 def _fit_by_sums(children: DataFrame, parent: Sequence[str], every: int = 5) -> DataFrame:
     """The same fixed point for all large groups at once; each step is one aggregation."""
-    state = children.select(*parent).distinct().withColumns(
+    children = cut_lineage(children)
+    keys = [F.col(p).alias("_k_" + p) for p in parent]
+    state = children.select(*keys).distinct().withColumns(
         {"alpha": F.lit(START), "beta": F.lit(START), "n_iter": F.lit(0), "done": F.lit(False)}
     )
-    same = lambda s: [children[p].eqNullSafe(s[p]) for p in parent]
     a, b, n, s = F.col("alpha"), F.col("beta"), F.col("trial"), F.col("success")
     for step in range(1, MAX_ITERATIONS + 2):
         gain = lambda x, p: F.sum(F.when(p > 0, digamma(x + p) - digamma(p)).otherwise(0.0))
         moved = (
-            children.join(state, same(state))
-            .drop(*[children[p] for p in parent])
+            children.join(state, _same(parent))
             .groupBy(*parent, "alpha", "beta", "n_iter", "done")
             .agg(gain(s, a).alias("ga"), gain(n - s, b).alias("gb"), gain(n, a + b).alias("g"))
             .withColumns({"na": a * F.try_divide(F.col("ga"), F.col("g")), "nb": b * F.try_divide(F.col("gb"), F.col("g"))})
@@ -84,7 +91,7 @@ def _fit_by_sums(children: DataFrame, parent: Sequence[str], every: int = 5) ->
         halt = F.col("done") | ~(F.col("g") > 0)
         close = (F.abs(F.col("na") - a) < TOLERANCE) & (F.abs(F.col("nb") - b) < TOLERANCE)
         state = moved.select(
-            *parent,
+            *keys,
             F.when(halt, a).otherwise(F.col("na")).alias("alpha"),
             F.when(halt, b).otherwise(F.col("nb")).alias("beta"),
             F.when(halt, F.col("n_iter")).otherwise(step).alias("n_iter"),
@@ -94,7 +101,7 @@ def _fit_by_sums(children: DataFrame, parent: Sequence[str], every: int = 5) ->
             state = cut_lineage(state)
             if state.where(~F.col("done")).isEmpty():
                 break
-    return state.drop("done")
+    return state.select(*[F.col("_k_" + p).alias(p) for p in parent], "alpha", "beta", "n_iter")
 
 
 def beta_priors(children: DataFrame, parent: Sequence[str], group_rows: int = GROUP_ROWS) -> DataFrame:
