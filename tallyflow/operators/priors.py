@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,9 @@ from tallyflow.functions.maths import digamma
 from tallyflow.operators.cleaning import with_group_count
 from tallyflow.session import cut_lineage
 
+# The fit travels to the tasks by value, so workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Start, stopping rule and iteration limit of the fixed point.
 START = 0.5
 TOLERANCE = 1e-3
