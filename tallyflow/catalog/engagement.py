@@ -782,7 +782,7 @@ def _(t):
 
 
 def id_map(t):
-    return t.customer.where("c_custkey % 4 <> 3").select(F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("mobileuid"), F.concat(F.lit("s"), F.col("c_custkey").cast("string")).alias("subid"))
+    return t.customer.where("c_acctbal > 0").select(F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("mobileuid"), F.concat(F.lit("s"), F.col("c_custkey").cast("string")).alias("subid"))
 
 
 def demographics(t):
@@ -790,7 +790,7 @@ def demographics(t):
         F.concat(F.lit("s"), F.col("c_custkey").cast("string")).alias("source_dfx_id"), F.col("n_name").alias("state"), F.col("c_mktsegment").alias("dwelling_type"))
 
 
-ENRICH_SQL = SEGMENT_SQL + """, app as (select cast(o_custkey as varchar) as dev, count(*) as orders from orders group by 1), ids as (select 'u' || c_custkey as mobileuid, 's' || c_custkey as subid from customer where c_custkey % 4 <> 3),
+ENRICH_SQL = SEGMENT_SQL + """, app as (select cast(o_custkey as varchar) as dev, count(*) as orders from orders group by 1), ids as (select 'u' || c_custkey as mobileuid, 's' || c_custkey as subid from customer where c_acctbal > 0),
   dgx as (select 's' || c_custkey as source_dfx_id, n_name as state, c_mktsegment as dwelling_type from customer join nation on c_nationkey = n_nationkey)
   select device_id, user_id, score, interest, subid, state, dwelling_type, app.orders as app_orders from users left join ids on user_id = mobileuid
   left join dgx on subid = source_dfx_id left join app on device_id = dev"""

@@ -122,10 +122,10 @@ def _(t):
     return fe.without_preinstalled(installs(t), people(t), "dev", "c_nationkey", "app", top).select("dev", "app")
 
 
-@case("FE14_without_name_tokens", INSTALLS_SQL + " select dev, 'com.' || replace(app, '#', '.') as app from d where split_part(app, '#', 2) not in (select cast(n_nationkey as varchar) from nation where n_nationkey < 20) and app not like '%21%'")
+@case("FE14_without_name_tokens", INSTALLS_SQL + " select dev, 'com.' || replace(app, '#', '.') as app from d where split_part(app, '#', 2) not in (select cast(r_regionkey as varchar) from region) and app not like '%21%'")
 def _(t):
     named = installs(t).withColumn("app", F.concat(F.lit("com."), F.replace("app", F.lit("#"), F.lit("."))))
-    tokens = t.nation.where("n_nationkey < 20").select(F.col("n_nationkey").cast("string").alias("token"))
+    tokens = t.region.select(F.col("r_regionkey").cast("string").alias("token"))
     return fe.without_name_tokens(named, "app", tokens, "token", ["21"]).select("dev", "app")
 
 
