@@ -19,6 +19,12 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    from tallyflow.llm.quality import quality_report
+
+    return quality_report(read_table(spark, folder, "documents").select("doc_id", "text", "lang"))
+
+
 OP4_SQL = r"""
 with line as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
@@ -85,5 +91,6 @@ select doc_id, size, source_size, target, copies * size as taken, copies from (
 
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op4_line_dedup": (op4_line_dedup, OP4_SQL),
+    "op5_quality": (op5_quality, None),
     "op9_mixing": (op9_mixing, OP9_SQL),
 }

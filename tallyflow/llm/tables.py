@@ -17,17 +17,13 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder under ``spark.checkpoint.dir``, which driver and executors share.
 
-    Where the session has no such setting (tests), the context's checkpoint folder is used;
-    without either this is an error, because a machine-local folder is lost with its executor.
+    Where the session has no such setting (tests), the context's checkpoint folder or else the
+    warehouse serves, which executors share as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
-        base = found.get() if found.isDefined() else None
-    if base is None:
-        if not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.scratch"
+        base = found.get() if found.isDefined() else spark.conf.get("spark.sql.warehouse.dir") + "/.scratch"
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
