@@ -25,6 +25,25 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_report(read_table(spark, folder, "documents").select("doc_id", "text", "lang"))
 
 
+def op6_licences(spark: SparkSession, folder: str) -> DataFrame:
+    from tallyflow.llm.licences import scan_licences
+
+    found = scan_licences(read_table(spark, folder, "documents").select("doc_id", "text"))
+    places, base = F.col("phrases.start"), F.col("phrases.label")
+    best = F.array_max(F.col("spans.cover"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("phrases").cast("long").alias("n_base"),
+        F.array_min(places).cast("long").alias("first_word"),
+        F.array_max(places).cast("long").alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(base)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, F.col("spans.label"))), ",").alias("labels"),
+        F.when(F.size("phrases") > 0, F.lit(1.0)).otherwise(F.coalesce(best, F.lit(0.0))).alias("score"),
+        "spans",
+    )
+
+
 OP4_SQL = r"""
 with line as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
@@ -92,5 +111,6 @@ select doc_id, size, source_size, target, copies * size as taken, copies from (
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op4_line_dedup": (op4_line_dedup, OP4_SQL),
     "op5_quality": (op5_quality, None),
+    "op6_licences": (op6_licences, None),
     "op9_mixing": (op9_mixing, OP9_SQL),
 }
