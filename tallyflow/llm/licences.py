@@ -49,8 +49,6 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 )
 
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[65:91] += 32
 WORD = spans.byte_set([*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)])
 LEAST_MATCH = 3
 MAX_GAP = 4
@@ -204,7 +202,7 @@ def licence_column():
             rows = []
             for start, stop in spans.slices(column):
                 data, offsets = spans.flat(column[start:stop])
-                data = LOWER[data]
+                data = spans.LOWER[data]
                 starts, ends, ranges = spans.word_spans(data, offsets, WORD)
                 digests = spans.SpanDigests(data)(starts, ends)
                 at = np.minimum(np.searchsorted(keys, digests), len(keys) - 1)

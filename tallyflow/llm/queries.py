@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.llm.tables import read_table
+from tallyflow.llm.tables import read_table, scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,23 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op1_token_store(spark: SparkSession, folder: str) -> DataFrame:
+    from tallyflow.llm.token_store import read_token_store, write_token_store
+
+    path = scratch_folder(spark)
+    write_token_store(read_table(spark, folder, "documents").select("doc_id", "text"), path, end_id=1)
+    stored = read_token_store(spark, path)
+    return stored.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    from tallyflow.llm.packing import pack_documents
+
+    pieces = pack_documents(read_table(spark, folder, "documents").select("doc_id", "text"), end_id=2)
+    crc = F.crc32("ids").alias("ids_crc32")
+    return pieces.select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset")
+
+
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     from tallyflow.llm.quality import quality_report
 
@@ -109,6 +126,8 @@ select doc_id, size, source_size, target, copies * size as taken, copies from (
 
 
 QUERIES: dict[str, tuple[Query, str | None]] = {
+    "op1_token_store": (op1_token_store, None),
+    "op7_packing": (op7_packing, None),
     "op4_line_dedup": (op4_line_dedup, OP4_SQL),
     "op5_quality": (op5_quality, None),
     "op6_licences": (op6_licences, None),

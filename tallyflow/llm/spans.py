@@ -26,6 +26,9 @@ def byte_set(inside: bytes | range | list[int]) -> np.ndarray:
 
 WHITE_BYTES = byte_set(b" \t\n\x0b\f\r")
 WORD_BYTES = ~WHITE_BYTES
+#: Each byte with A-Z lower-cased.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
