@@ -61,6 +61,12 @@ def op6_licences(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    from tallyflow.llm.order_minhash import fingerprint_report
+
+    return fingerprint_report(read_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 OP4_SQL = r"""
 with line as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
@@ -132,4 +138,5 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op5_quality": (op5_quality, None),
     "op6_licences": (op6_licences, None),
     "op9_mixing": (op9_mixing, OP9_SQL),
+    "op10_order_minhash": (op10_order_minhash, None),
 }
