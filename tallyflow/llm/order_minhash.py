@@ -21,7 +21,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 K = 2
 PICK = 2
 TUPLES = 64
-UNIT_BYTES = 24
+UNIT_BYTES = 4
 FEATURE_CHUNK = 1 << 15
 
 
