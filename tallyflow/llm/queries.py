@@ -67,6 +67,12 @@ def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint_report(read_table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op8_prob_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    from tallyflow.llm.prob_minhash import near_duplicates
+
+    return near_duplicates(read_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 OP4_SQL = r"""
 with line as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
@@ -137,6 +143,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op4_line_dedup": (op4_line_dedup, OP4_SQL),
     "op5_quality": (op5_quality, None),
     "op6_licences": (op6_licences, None),
+    "op8_prob_minhash": (op8_prob_minhash, None),
     "op9_mixing": (op9_mixing, OP9_SQL),
     "op10_order_minhash": (op10_order_minhash, None),
 }
