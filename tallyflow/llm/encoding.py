@@ -44,7 +44,7 @@ class CachedEncoder:
     are kept between texts, up to ``most`` pieces or ``most_bytes``; then the store begins anew.
     """
 
-    def __init__(self, path: str | None = None, most: int = 600_000, most_bytes: int = 32 << 20):
+    def __init__(self, path: str | None = None, most: int = 300_000, most_bytes: int = 32 << 20):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or default_path())

@@ -73,6 +73,13 @@ def op8_prob_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(read_table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from tallyflow.llm.toxicity import toxicity_scores
+
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    return toxicity_scores(docs, read_table(spark, folder, "labels"))
+
+
 OP4_SQL = r"""
 with line as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
@@ -140,6 +147,7 @@ select doc_id, size, source_size, target, copies * size as taken, copies from (
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_token_store": (op1_token_store, None),
     "op7_packing": (op7_packing, None),
+    "op3_toxicity": (op3_toxicity, None),
     "op4_line_dedup": (op4_line_dedup, OP4_SQL),
     "op5_quality": (op5_quality, None),
     "op6_licences": (op6_licences, None),

@@ -12,7 +12,7 @@ from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 BASE = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 _POWERS: dict[str, np.ndarray] = {}
