@@ -15,55 +15,56 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import ArrowUDFType, arrow_udf
 
 from tallyflow.llm import spans
-from tallyflow.llm.quality import _class_table
 from tallyflow.llm.tables import staged, text_or_empty
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Bounds of the fit: labelled rows of each class (by digest of the id), candidate terms, terms kept.
-TOXIC_ROWS = 5_000
-CLEAN_ROWS = 10_000
-CANDIDATES = 4_000
-LEXICON = 400
-STEM_LENGTHS = (4, 5, 6)
+TOXIC_ROWS = 4_000
+CLEAN_ROWS = 6_000
+CANDIDATES = 6_000
+LEXICON = 500
+STEM_LENGTHS = (3, 4, 5, 6, 7, 8)
 LEAST_DOCS = 4
-LEAST_ODDS = 3.0
+LEAST_ODDS = 1.5
 WINDOW = 10
-OTHER = 27
-CLASSES = 28
+FUZZY_VALUE = 0.6
 #: Marks that stand for letters in disguised words.
 DISGUISES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a"}
 QUOTES = "\"“”„«»‘’"
-FEATURES = ("abuse", "quoted", "dense", "window", "fuzzy", "share")
+CONTEXT = ("quoted", "dense", "window", "fuzzy")
 
 
-def letter_table() -> np.ndarray:
-    """Class of a code point: 1-26 letters without case and accents, 27 any other, 0 white space."""
-    table = _class_table()
-    table = np.where(table <= 26, table, np.where(table == 27, 0, OTHER)).astype(np.uint8)
+def letter_table(alphabet: str) -> np.ndarray:
+    """Class of a code point: 0 what parts words, 1 letters outside the alphabet, 2 and on its letters in either case."""
+    known = {c: k + 2 for k, c in enumerate(alphabet)}
+    table = np.zeros(1 << 16, np.uint8)
+    for point in range(1 << 16):
+        letter = chr(point)
+        if letter.isalpha():
+            table[point] = known.get(letter.lower(), 1)
     for mark, letter in DISGUISES.items():
-        table[ord(mark)] = ord(letter) - 96
-    table[0] = OTHER
-    for c in range(9, 14):
-        table[c] = 0
+        table[ord(mark)] = known.get(letter, 1)
     return table
 
 
 def allowed_edits(term: str, stem: bool) -> int:
     """Edits that a misspelling of the term may have."""
     if stem:
-        return 1 if len(term) >= 7 else 0
+        return 0
     return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
 
 
 @dataclass
 class Automaton:
-    """Tables of the deterministic automaton: next state by class, and what a word that ends there is."""
+    """Tables of the deterministic automaton: the next state by class, and the terms (or -1) that a
+    word has as its beginning, or is, when it comes to a state."""
 
+    alphabet: str
     step: np.ndarray
-    weight: np.ndarray
+    stem: np.ndarray
+    word: np.ndarray
     fuzzy: np.ndarray
-    absorbing: np.ndarray
 
 
 def build_automaton(terms: Sequence[tuple[str, bool, float]]) -> Automaton:
@@ -72,16 +73,18 @@ def build_automaton(terms: Sequence[tuple[str, bool, float]]) -> Automaton:
     A state is a set of (trie node, edits so far, letter owed by a swap). A letter moves along a
     branch, or with one more edit stands for another letter, is extra, was left out, or is swapped
     with the next. Only nodes above a term that allows so many edits are followed, so the subsets
-    stay few. A stem is found as soon as it is complete; whole words need the word to end.
+    stay few.
     """
+    alphabet = "".join(sorted({c for term, _, _ in terms for c in term}))
+    classes = len(alphabet) + 2
     children: list[dict[int, int]] = [{}]
-    ends: list[list[tuple[int, float, bool]]] = [[]]
+    ends: list[list[tuple[int, int]]] = [[]]
     most = [0]
-    for term, stem, weight in terms:
+    for number, (term, stem, _) in enumerate(terms):
         node, edits = 0, allowed_edits(term, stem)
         most[0] = max(most[0], edits)
         for letter in term:
-            code = ord(letter) - 96
+            code = alphabet.index(letter) + 2
             if code not in children[node]:
                 children.append({})
                 ends.append([])
@@ -89,7 +92,7 @@ def build_automaton(terms: Sequence[tuple[str, bool, float]]) -> Automaton:
                 children[node][code] = len(children) - 1
             node = children[node][code]
             most[node] = max(most[node], edits)
-        ends[node].append((edits, weight, stem))
+        ends[node].append((edits, number))
 
     def closed(found: dict[tuple[int, int], int]) -> frozenset:
         """With left-out letters; for each node and owed letter the fewest edits."""
@@ -124,26 +127,28 @@ def build_automaton(terms: Sequence[tuple[str, bool, float]]) -> Automaton:
             put(node, 0, e + 1)
         return closed(found)
 
-    def verdict(state: frozenset) -> tuple[float, bool, bool]:
-        best = (0.0, True, False)
+    def verdict(state: frozenset) -> tuple[int, int, bool]:
+        """The likeliest stem and whole word here, and whether the word is misspelled."""
+        stem, word, rank = -1, -1, (False, -1.0)
         for node, owed, e in state:
-            for edits, weight, stem in ends[node]:
-                if not owed and e <= edits and (e == 0, weight) > (not best[1], best[0]):
-                    best = (weight, e > 0, stem)
-        return best
+            for edits, number in ends[node]:
+                if owed or e > edits:
+                    continue
+                if terms[number][1]:
+                    stem = number if stem < 0 or terms[number][2] > terms[stem][2] else stem
+                elif (e == 0, terms[number][2]) > rank:
+                    word, rank = number, (e == 0, terms[number][2])
+        return stem, word, word >= 0 and not rank[0]
 
     start = closed({(0, 0): 0})
     numbers = {frozenset(): 0, start: 1}
-    queue, rows, results = deque([start]), {0: [0] * CLASSES}, {0: (0.0, False, False)}
+    queue, rows, results = deque([start]), {0: [0] * classes}, {0: (-1, -1, False)}
     while queue:
         state = queue.popleft()
         at = numbers[state]
-        results[at] = result = verdict(state)
-        if result[0] and result[2]:
-            rows[at] = [at] * CLASSES
-            continue
+        results[at] = verdict(state)
         row = []
-        for code in range(CLASSES):
+        for code in range(classes):
             after = moved(state, code)
             if after not in numbers:
                 numbers[after] = len(numbers)
@@ -151,40 +156,48 @@ def build_automaton(terms: Sequence[tuple[str, bool, float]]) -> Automaton:
             row.append(numbers[after])
         rows[at] = row
     n = len(numbers)
-    step = np.array([rows[k] for k in range(n)], np.int32)
-    weight, fuzzy, stem = zip(*[results[k] for k in range(n)], strict=True)
-    return Automaton(step, np.array(weight), np.array(fuzzy), np.array(weight).astype(bool) & np.array(stem))
+    stem, word, fuzzy = zip(*[results[k] for k in range(n)], strict=True)
+    return Automaton(alphabet, np.array([rows[k] for k in range(n)], np.int32), np.array(stem), np.array(word), np.array(fuzzy))
 
 
-def find_terms(automaton: Automaton, classes: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-    """State of the automaton after each word; all words take their next letter together."""
+def find_terms(automaton: Automaton, odds: np.ndarray, classes: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+    """For each word its likeliest term or -1, and whether misspelled. All words take their next letter together."""
+    rank = np.append(odds, -np.inf)  # at -1: no term
     state = np.ones(len(starts), np.int32)
+    term = np.full(len(starts), -1)
     active = np.arange(len(starts))
     place = starts.copy()
     while len(active):
-        state[active] = automaton.step[state[active], classes[place[active]]]
+        now = automaton.step[state[active], classes[place[active]]]
+        state[active] = now
         place[active] += 1
-        on = (state[active] != 0) & ~automaton.absorbing[state[active]] & (place[active] < ends[active])
-        active = active[on]
-    return state
+        stem = automaton.stem[now]
+        better = rank[stem] > rank[term[active]]
+        term[active[better]] = stem[better]
+        active = active[(now != 0) & (place[active] < ends[active])]
+    word = np.where(place == ends, automaton.word[state], -1)
+    whole = (word >= 0) & (rank[word] >= rank[term])
+    return np.where(whole, word, term), whole & automaton.fuzzy[state]
 
 
-def text_features(automaton: Automaton, data: np.ndarray, offsets: np.ndarray, table: np.ndarray, quotes: np.ndarray) -> np.ndarray:
-    """FEATURES of each text. A hit counts as quoted if an odd number of quotation marks stands before
-    it in its window of words and one more follows; others are abuse."""
+def text_features(automaton: Automaton, odds: np.ndarray, data: np.ndarray, offsets: np.ndarray, table: np.ndarray, quotes: np.ndarray):
+    """(text, term, value) of the different terms of each text outside quotations, and its CONTEXT.
+
+    A hit counts as quoted if an odd number of quotation marks stands before it in its window of
+    words and one more follows. ``quoted`` sums such hits, ``dense`` is about the others per word, ``window``
+    about the most hits in one window, ``fuzzy`` about misspelled ones.
+    """
     points, cuts = spans.code_points(data, offsets)
     limited = np.minimum(points, 0xFFFF)
     classes = table[limited]
-    letters = (classes > 0) & (classes < OTHER)
-    flags = np.zeros(256, bool)
-    flags[1] = True
-    starts, ends, ranges = spans.word_spans(letters.astype(np.uint8), cuts, flags)
-    state = find_terms(automaton, classes, starts, ends)
-    weight = automaton.weight[state]
-    hits = np.flatnonzero(weight)
-    out = np.zeros((len(offsets) - 1, len(FEATURES)))
+    starts, ends, ranges = spans.word_spans(classes, cuts, np.arange(256) > 0)
+    term, fuzzy = find_terms(automaton, odds, classes, starts, ends)
+    hits = np.flatnonzero(term >= 0)
+    texts = len(offsets) - 1
+    out = np.zeros((texts, len(CONTEXT)))
     if not len(hits):
-        return out
+        none = np.zeros(0, np.int64)
+        return (none, none, np.zeros(0)), out
     text = np.searchsorted(ranges, hits, "right") - 1
     marks = np.zeros(len(points) + 1, np.int64)
     np.cumsum(quotes[limited], out=marks[1:])
@@ -193,35 +206,69 @@ def text_features(automaton: Automaton, data: np.ndarray, offsets: np.ndarray, t
     before = marks[starts[hits]] - marks[starts[low]]
     after = marks[ends[high]] - marks[ends[hits]]
     quoted = (before % 2 == 1) & (after > 0)
-    fuzzy = automaton.fuzzy[state[hits]]
-    value = weight[hits] * np.where(fuzzy, 0.5, 1.0)
     near = np.searchsorted(hits, high, "right") - np.searchsorted(hits, low, "left")
     words = np.maximum(np.diff(ranges), 1)
-    np.add.at(out[:, 0], text, value * ~quoted)
-    np.add.at(out[:, 1], text, value * quoted)
-    counts = np.bincount(text[~quoted], minlength=len(out))
-    np.maximum.at(out[:, 3], text, near * ~quoted)
-    np.add.at(out[:, 4], text, fuzzy.astype(float))
-    out[:, 2] = np.sqrt(100.0 * counts / words)
-    out[:, 5] = counts > 0
-    return np.column_stack([np.log1p(out[:, 0]), np.log1p(out[:, 1]), out[:, 2], np.log1p(out[:, 3]), np.log1p(out[:, 4]), out[:, 5]])
+    np.add.at(out[:, 0], text, quoted.astype(float))
+    out[:, 1] = np.sqrt(100.0 * np.bincount(text[~quoted], minlength=texts) / words)
+    np.maximum.at(out[:, 2], text, near * ~quoted)
+    np.add.at(out[:, 3], text, fuzzy[hits].astype(float))
+    for k in (0, 2, 3):
+        out[:, k] = np.log1p(out[:, k])
+    value = np.where(fuzzy[hits], FUZZY_VALUE, 1.0)[~quoted]
+    pair = (text * len(odds) + term[hits])[~quoted]
+    found, which = np.unique(pair, return_inverse=True)
+    best = np.zeros(len(found))
+    np.maximum.at(best, which, value)
+    return (found // len(odds), found % len(odds), best), out
+
+
+def _batch_features(automaton: Automaton, odds: np.ndarray) -> object:
+    """A function from a text column to the text_features of its slices, with their first rows."""
+    table = letter_table(automaton.alphabet)
+    quotes = np.zeros(1 << 16, bool)
+    quotes[[ord(c) for c in QUOTES]] = True
+
+    def of(column: pa.Array) -> Iterator[tuple]:
+        for start, stop in spans.slices(column):
+            yield text_features(automaton, odds, *spans.flat(column[start:stop]), table, quotes)
+
+    return of
+
+
+def sparse_column(automaton: Automaton, odds: np.ndarray):
+    """A column function: text -> struct<terms:array<int>,values:array<double>,context:array<double>>."""
+    shape = "struct<terms:array<int>,values:array<double>,context:array<double>>"
+
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        kind = pa.struct([("terms", pa.list_(pa.int32())), ("values", pa.list_(pa.float64())), ("context", pa.list_(pa.float64()))])
+        features = _batch_features(automaton, odds)
+        for column in batches:
+            rows = []
+            for (text, term, value), context in features(column):
+                cuts = np.searchsorted(text, np.arange(len(context) + 1))
+                for k in range(len(context)):
+                    a, b = cuts[k], cuts[k + 1]
+                    rows.append({"terms": term[a:b], "values": value[a:b], "context": context[k]})
+            yield pa.array(rows, kind)
+
+    return arrow_udf(score, shape, ArrowUDFType.SCALAR_ITER)
 
 
-def feature_column(automaton: Automaton):
-    """A column function: text -> array<double> of FEATURES."""
+def score_column(model: ToxicityModel):
+    """A column function: text -> probability."""
 
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        table = letter_table()
-        quotes = np.zeros(1 << 16, bool)
-        quotes[[ord(c) for c in QUOTES]] = True
+        features = _batch_features(model.automaton, model.odds)
+        n = len(model.odds)
         for column in batches:
-            parts = [np.zeros((0, len(FEATURES)))]
-            for start, stop in spans.slices(column):
-                parts.append(text_features(automaton, *spans.flat(column[start:stop]), table, quotes))
-            found = np.concatenate(parts)
-            yield pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), len(FEATURES)).cast(pa.list_(pa.float64()))
+            parts = [np.zeros(0)]
+            for (text, term, value), context in features(column):
+                total = context @ model.beta[n:-1] + model.beta[-1]
+                np.add.at(total, text, value * model.beta[term])
+                parts.append(1 / (1 + np.exp(-np.clip(total, -50, 50))))
+            yield pa.array(np.concatenate(parts))
 
-    return arrow_udf(score, "array<double>", ArrowUDFType.SCALAR_ITER)
+    return arrow_udf(score, "double", ArrowUDFType.SCALAR_ITER)
 
 
 def _fit_logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 0.5, steps: int = 50) -> np.ndarray:
@@ -234,82 +281,80 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 0.
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
         gradient = x.T @ (w * (y - p)) - penalty * beta
         hessian = (x * (w * p * (1 - p))[:, None]).T @ x + np.diag(penalty)
-        move = np.linalg.solve(hessian, gradient)
+        move = np.clip(np.linalg.solve(hessian, gradient), -4, 4)
         beta += move
-        if np.abs(move).max() < 1e-8:
+        if np.abs(move).max() < 1e-6:
             break
     return beta
 
 
 @dataclass
 class ToxicityModel:
+    """Lexicon (term, stem?, log odds), its automaton, and the weights of terms, CONTEXT and constant."""
+
     terms: list[tuple[str, bool, float]]
     automaton: Automaton
+    odds: np.ndarray
     beta: np.ndarray
 
 
 def learn_lexicon(rows: DataFrame, toxic: str, text: str) -> list[tuple[str, bool, float]]:
     """(term, stem?, log odds): words and word beginnings that mark toxic texts.
 
-    Counted once a text, in Spark. Of the CANDIDATES most frequent in toxic texts those with log odds
-    of LEAST_ODDS are kept, beginnings before what they begin, at most LEXICON terms.
+    Counted once a text, in Spark. Of the CANDIDATES that toxic texts have most surely, a longer
+    beginning or a word is kept only if it is clearly likelier than every kept beginning of it; at most LEXICON terms.
     """
-    plain = F.regexp_replace(F.translate(F.lower(text_or_empty(text)), _ACCENTS[0], _ACCENTS[1]), "[^a-z]+", " ")
-    words = F.array_distinct(F.split(plain, " "))
-    word = rows.select(F.monotonically_increasing_id().alias("_row"), F.col(toxic).alias("_toxic"), F.explode(words).alias("_word"))
-    word = word.where(F.length("_word") >= min(STEM_LENGTHS))
-    forms = F.array(
-        F.struct(F.col("_word").alias("term"), F.lit(False).alias("stem")),
-        *[F.struct(F.substring("_word", 1, n).alias("term"), F.lit(True).alias("stem")) for n in STEM_LENGTHS],
+    words = F.array_distinct(F.split(F.regexp_replace(F.lower(text_or_empty(text)), r"[^\p{L}]+", " "), " "))
+    forms = F.transform(
+        words,
+        lambda w: F.concat(
+            F.array(F.concat(w, F.lit("$"))),
+            F.transform(
+                F.filter(F.array(*[F.lit(n) for n in STEM_LENGTHS]), lambda n: n < F.length(w)), lambda n: F.substr(w, F.lit(1), n)
+            ),
+        ),
     )
     counted = (
-        word.select("_row", "_toxic", F.explode(forms).alias("_f"))
-        .where(~F.col("_f.stem") | (F.length("_word") > F.length("_f.term")))
-        .select("_row", "_toxic", "_f.*")
-        .distinct()
-        .groupBy("term", "stem")
+        rows.select(F.col(toxic).alias("_toxic"), F.explode(F.array_distinct(F.flatten(forms))).alias("term"))
+        .groupBy("term")
         .agg(F.sum("_toxic").alias("bad"), F.sum(1 - F.col("_toxic")).alias("good"))
-        .where(F.col("bad") >= LEAST_DOCS)
+        .where((F.col("bad") >= LEAST_DOCS) & (F.length("term") >= min(STEM_LENGTHS)))
     )
     totals = rows.agg(F.sum(toxic).alias("bad"), F.sum(1 - F.col(toxic)).alias("good")).first()
     bad_all, good_all = totals["bad"] or 0, totals["good"] or 0
     odds = F.log((F.col("bad") + 0.5) / (bad_all + 1.0)) - F.log((F.col("good") + 0.5) / (good_all + 1.0))
     likely = counted.withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
-    top = likely.orderBy(F.desc("bad"), F.length("term"), "term", "stem").limit(CANDIDATES).collect()
-    kept: dict[str, tuple[str, bool, float]] = {}
-    for row in sorted(top, key=lambda r: (-r["bad"], not r["stem"], len(r["term"]), r["term"])):
+    top = likely.orderBy(F.desc(F.col("bad") * F.col("odds")), "term").limit(CANDIDATES).collect()
+    kept: dict[str, float] = {}
+    for row in sorted(top, key=lambda r: (len(r["term"]), r["term"])):
         term = row["term"]
-        if any(term[:n] in kept and kept[term[:n]][1] for n in STEM_LENGTHS if n <= len(term)):
-            continue
-        if term not in kept:
-            kept[term] = (term, row["stem"], float(row["odds"]))
-        if len(kept) == LEXICON:
-            break
-    return sorted(kept.values())
-
-
-_ACCENTS = ("àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy")
+        if all(row["odds"] > kept.get(term[:n], -9.0) + 0.5 for n in STEM_LENGTHS if n < len(term)):
+            kept[term] = float(row["odds"])
+    chosen = {r["term"]: r["bad"] * r["odds"] for r in top if r["term"] in kept}
+    best = sorted(chosen, key=lambda t: (-chosen[t], t))[:LEXICON]
+    return sorted((t.rstrip("$"), not t.endswith("$"), kept[t]) for t in best)
 
 
 def fit_toxicity(labelled: DataFrame, text: str = "text", toxic: str = "toxic") -> ToxicityModel:
-    """The model of labelled rows (text, toxic 0/1): at most TOXIC_ROWS and CLEAN_ROWS of them.
+    """The model of labelled rows (text, toxic 0/1, _order): at most TOXIC_ROWS and CLEAN_ROWS of them.
 
-    With rows of one class only, or none, the lexicon is empty and the score the share of toxic rows.
+    Without toxic or without clean rows the lexicon is empty and every score is the share of toxic rows.
     """
     counts = {r[toxic]: r["n"] for r in labelled.groupBy(toxic).agg(F.count(F.lit(1)).alias("n")).collect()}
-    rows = None
-    for label, most in ((1, TOXIC_ROWS), (0, CLEAN_ROWS)):
-        part = labelled.where(F.col(toxic) == label).orderBy("_order").limit(most)
-        rows = part if rows is None else rows.unionByName(part)
-    rows = staged(rows.select(text, toxic))
-    terms = learn_lexicon(rows, toxic, text)
+    parts = [labelled.where(F.col(toxic) == c).orderBy("_order").limit(n) for c, n in ((1, TOXIC_ROWS), (0, CLEAN_ROWS))]
+    rows = staged(parts[0].unionByName(parts[1]).select(text, toxic))
+    terms = learn_lexicon(rows, toxic, text) if len(counts) == 2 else []
     automaton = build_automaton(terms)
-    seen = rows.select(F.col(toxic).alias("y"), feature_column(automaton)(F.col(text)).alias("x")).collect()
+    odds = np.array([t[2] for t in terms])
+    seen = rows.select(F.col(toxic).alias("y"), sparse_column(automaton, odds)(F.col(text)).alias("x")).collect()
     y = np.array([r["y"] for r in seen], float)
-    x = np.array([r["x"] for r in seen], float).reshape(len(seen), len(FEATURES))
+    x = np.zeros((len(seen), len(terms) + len(CONTEXT)))
+    for k, r in enumerate(seen):
+        x[k, r["x"]["terms"]] = r["x"]["values"]
+        x[k, len(terms) :] = r["x"]["context"]
     taken = {label: max(1, int((y == label).sum())) for label in (0, 1)}
     w = np.array([counts.get(int(v), 1) / taken[int(v)] for v in y])
-    return ToxicityModel(terms, automaton, _fit_logistic(x, y, w))
+    return ToxicityModel(terms, automaton, odds, _fit_logistic(x, y, w))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> DataFrame:
@@ -326,10 +371,5 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text
     model = fit_toxicity(
         train.select(F.col(text).alias("text"), "toxic", F.md5(F.col(id).cast("string")).alias("_order"))
     )
-    features = feature_column(model.automaton)(F.col(text))
-    scored = docs.select(F.col(id), held.alias("held_out"), features.alias("_x"))
-    total = F.lit(float(model.beta[-1]))
-    for k, b in enumerate(model.beta[:-1]):
-        total = total + F.get("_x", F.lit(k)) * F.lit(float(b))
-    score = scored.select(id, "held_out", (1 / (1 + F.exp(-total))).alias("score"))
-    return score.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    scored = docs.select(F.col(id), held.alias("held_out"), score_column(model)(F.col(text)).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
