@@ -80,6 +80,13 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_scores(docs, read_table(spark, folder, "labels"))
 
 
+def op2_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    from tallyflow.llm.repeats import remove_repeats
+
+    left = remove_repeats(read_table(spark, folder, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 OP4_SQL = r"""
 with line as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
@@ -146,6 +153,7 @@ select doc_id, size, source_size, target, copies * size as taken, copies from (
 
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_token_store": (op1_token_store, None),
+    "op2_repeats": (op2_repeats, None),
     "op7_packing": (op7_packing, None),
     "op3_toxicity": (op3_toxicity, None),
     "op4_line_dedup": (op4_line_dedup, OP4_SQL),
