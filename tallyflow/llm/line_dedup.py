@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyflow.llm.tables import WHITE, lower_ascii, text_or_empty
+from tallyflow.llm.tables import WHITE, lower_ascii, text_or_empty, whole_row
 
 
 def _lines(text: str) -> Column:
@@ -59,17 +59,18 @@ def drop_common_lines(
         .agg(F.array_sort(F.collect_set("_pos")).alias("_drops"))
         .select("_id", "_text_hash", F.size("_drops").cast("long").alias("_n_dropped"), _mask("_drops").alias("_mask"))
     )
-    left = docs.withColumn("_row_hash", F.xxhash64(text_or_empty(text)))
-    joined = left.join(
-        drops, left[id].eqNullSafe(drops["_id"]) & (F.col("_row_hash") == F.col("_text_hash")), "left"
-    )
-    kept = F.filter(_lines(text), lambda line, i: ~F.coalesce(F.get(F.col("_mask"), i), F.lit(False)))
+    rows = docs.select(whole_row(docs), F.col(id).alias("_row_id"), F.col(text).alias("_text"))
+    rows = rows.withColumn("_row_hash", F.xxhash64(text_or_empty("_text")))
+    same = rows["_row_id"].eqNullSafe(drops["_id"]) & (rows["_row_hash"] == drops["_text_hash"])
+    kept = F.filter(_lines("_text"), lambda line, i: ~F.coalesce(F.get(F.col("_mask"), i), F.lit(False)))
     counts = {
-        "n_lines": F.size(_lines(text)).cast("long"),
+        "n_lines": F.size(_lines("_text")).cast("long"),
         "n_dropped": F.coalesce(F.col("_n_dropped"), F.lit(0).cast("long")),
     }
-    rest = [F.col(f"`{c}`") if c != text else F.array_join(kept, "\n").alias(text) for c in docs.columns if c not in counts]
-    return joined.select(*rest, *[c.alias(n) for n, c in counts.items()])
+    rest = [
+        (F.array_join(kept, "\n") if c == text else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns if c not in counts
+    ]
+    return rows.join(drops, same, "left").select(*rest, *[c.alias(n) for n, c in counts.items()])
 
 
 def _mask(positions: str) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyflow.llm.tables import text_or_empty
+from tallyflow.llm.tables import text_or_empty, whole_row
 
 PIECE_ROWS = 20_000
 
@@ -69,7 +69,7 @@ def with_copies(
     many as its count asks for) are counted and summed up; inside a piece rows are numbered. No
     task holds a whole source. Null ids and null sources are values like others, repeated rows
     are documents of their own, a source without words takes no words. Columns ``source_size``,
-    ``target`` and ``copies`` of the input are replaced.
+    ``target`` and ``copies`` of the input are replaced; names that begin with ``_`` are for helpers.
     """
     docs = docs.drop("source_size", "target", "copies")
     bits = F.length(F.bin("size"))
@@ -113,9 +113,11 @@ def mixed(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) ->
     Copies are decided on narrow rows and meet the documents again by a digest of the whole row,
     so the texts move once. Rows that agree in every column are numbered to share their copies.
     """
-    same = {"_a": F.xxhash64(*docs.columns), "_b": F.hash(*docs.columns)}
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(whole_row(docs), F.xxhash64(*columns).alias("_a"), F.hash(*columns).alias("_b"))
     narrow = docs.select(
-        F.col(id).alias("_id"), F.col("source"), word_count(text).alias("size"), *[c.alias(n) for n, c in same.items()]
+        F.col(id).alias("_id"), F.col("source"), word_count(text).alias("size"), F.xxhash64(*columns).alias("_a"),
+        F.hash(*columns).alias("_b"),
     )
     copies = (
         with_copies(narrow, "_id", **options)
@@ -124,6 +126,6 @@ def mixed(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) ->
         .where(F.array_max("_copies") > 0)
     )
     number = F.row_number().over(Window.partitionBy("_a", "_b").orderBy("_a"))
-    taken = docs.withColumns(same).join(copies, ["_a", "_b"]).withColumn("_n", F.element_at("_copies", number))
+    taken = rows.join(copies, ["_a", "_b"]).withColumn("_n", F.element_at("_copies", number))
     again = F.explode(F.array_repeat(F.lit(0), F.col("_n").cast("int"))).alias("_again")
-    return taken.where(F.col("_n") > 0).select(*docs.columns, again).drop("_again")
+    return taken.where(F.col("_n") > 0).select("_row", again).select("_row.*")

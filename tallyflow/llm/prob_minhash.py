@@ -250,5 +250,4 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", similar
     """
     found = near_duplicates(docs.select(id, text), id, text, similarity)
     gone = found.where(F.col(id) != F.col("class_id")).select(F.col(id).alias("_gone")).distinct()
-    kept = docs.join(gone, F.col(id) == F.col("_gone"), "left_anti")
-    return kept
+    return docs.join(gone, docs[id] == gone["_gone"], "left_anti")

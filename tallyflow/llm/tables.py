@@ -45,3 +45,8 @@ def lower_ascii(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(
         F.translate(text, upper, upper.lower())
     )
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one struct, so that helper columns beside it clash with none of them."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
