@@ -335,14 +335,18 @@ def learn_lexicon(rows: DataFrame, toxic: str, text: str) -> list[tuple[str, boo
     return sorted((t.rstrip("$"), not t.endswith("$"), kept[t]) for t in best)
 
 
-def fit_toxicity(labelled: DataFrame, text: str = "text", toxic: str = "toxic") -> ToxicityModel:
-    """The model of labelled rows (text, toxic 0/1, _order): at most TOXIC_ROWS and CLEAN_ROWS of them.
+def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", toxic: str = "toxic") -> ToxicityModel:
+    """The model of the documents (_id, text) with labels (_id, toxic 0/1): at most TOXIC_ROWS and CLEAN_ROWS.
 
-    Without toxic or without clean rows the lexicon is empty and every score is the share of toxic rows.
+    The rows are chosen among the labels, by digest of the id, so only their ids, a bounded number, go to
+    the tasks that read the texts. Without toxic or without clean rows the lexicon is empty and
+    every score is the share of toxic rows.
     """
-    counts = {r[toxic]: r["n"] for r in labelled.groupBy(toxic).agg(F.count(F.lit(1)).alias("n")).collect()}
-    parts = [labelled.where(F.col(toxic) == c).orderBy("_order").limit(n) for c, n in ((1, TOXIC_ROWS), (0, CLEAN_ROWS))]
-    rows = staged(parts[0].unionByName(parts[1]).select(text, toxic))
+    counts = {r[toxic]: r["n"] for r in labels.groupBy(toxic).agg(F.count(F.lit(1)).alias("n")).collect()}
+    order = [F.md5(F.col("_id").cast("string")), F.col("_id")]
+    parts = [labels.where(F.col(toxic) == c).orderBy(*order).limit(n) for c, n in ((1, TOXIC_ROWS), (0, CLEAN_ROWS))]
+    chosen = parts[0].unionByName(parts[1])
+    rows = staged(docs.join(F.broadcast(chosen), "_id").select(text, toxic))
     terms = learn_lexicon(rows, toxic, text) if len(counts) == 2 else []
     automaton = build_automaton(terms)
     odds = np.array([t[2] for t in terms])
@@ -367,9 +371,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text
     """
     held = F.coalesce(F.crc32(F.col(id).cast("string")) % 5 == 0, F.lit(True))
     known = labels.select(F.col(id).alias("_id"), F.col(toxic).cast("int").alias("toxic")).where(F.col(toxic).isin(0, 1))
-    train = docs.where(~held).join(known, F.col(id) == F.col("_id"))
-    model = fit_toxicity(
-        train.select(F.col(text).alias("text"), "toxic", F.md5(F.col(id).cast("string")).alias("_order"))
-    )
+    train = known.where(F.crc32(F.col("_id").cast("string")) % 5 != 0).select("_id", "toxic")
+    model = fit_toxicity(docs.select(F.col(id).alias("_id"), F.col(text).alias("text")), train)
     scored = docs.select(F.col(id), held.alias("held_out"), score_column(model)(F.col(text)).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
