@@ -20,15 +20,6 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
-    def spread(self, name: str) -> DataFrame:
-        """A table over all cores: a file that is read by fewer tasks is redistributed first.
-
-        Large inputs already have more splits than cores and are left as they are.
-        """
-        df = getattr(self, name)
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 

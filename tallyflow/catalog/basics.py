@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import os
-import tempfile
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyflow.catalog import Tables, case
 from tallyflow.catalog.adapters import LOG_SQL, event_log
 from tallyflow.functions import mapping as mp
+from tallyflow.session import shared_folder
 from tallyflow.operators import cleaning as cl
 from tallyflow.sources import readers as rd
 from tallyflow.sources import schemas as sm
@@ -19,13 +20,8 @@ from tallyflow.sources import sinks as sk
 
 
 def scratch(t: Tables) -> str:
-    """A new folder below the shared folder the cluster names, or a local one in tests."""
-    shared = t.spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not t.spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        return tempfile.mkdtemp(prefix="tallyflow-")
-    return f"{shared.rstrip('/')}/tallyflow-{os.urandom(6).hex()}"
+    """A new folder below the shared one."""
+    return f"{shared_folder(t.spark)}/tallyflow-{os.urandom(6).hex()}"
 
 
 @case("SRC1_table_scan", "select n_nationkey, n_name, n_regionkey from nation")
@@ -34,9 +30,9 @@ def _(t):
     return rd.read_table(t.spark, "tallyflow_nation")
 
 
-@case("SRC2_parquet_scan", "select o_orderkey, o_totalprice from orders where o_totalprice > 100000")
+@case("SRC2_parquet_scan", "select o_orderkey, o_totalprice from orders")
 def _(t):
-    return rd.read_parquet(t.spark, t.path("orders")).where("o_totalprice > 100000").select("o_orderkey", "o_totalprice")
+    return rd.read_parquet(t.spark, t.path("orders")).select("o_orderkey", "o_totalprice")
 
 
 @case("SRC3_json_devices", "select user_id, min(event_id) as event_id, arg_min(event_type, event_id) as event_type from events group by 1")
@@ -131,13 +127,14 @@ def _(t):
     return by_day(t.spark.read.schema("event_id bigint, value double, date string").json(path))
 
 
-@case("SNK4_gzip_csv", "select event_type, count(*) as n from events where event_type in ('click', 'view') group by 1")
+@case("SNK4_gzip_csv", "select event_type, count(*) as n, min(event_id) as first from events group by 1")
 def _(t):
     path = scratch(t) + "/csv"
-    frames = {k: t.events.where(F.col("event_type") == k).select("event_id", "event_type") for k in ("click", "view")}
-    sk.write_csv_per_metric(frames, path)
-    rows = rd.read_csv(t.spark, [f"{path}/{k}" for k in frames], "event_id bigint, event_type string")
-    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    sk.write_csv_by(t.events.select("event_id", "event_type"), path, "event_type")
+    kinds = [r["event_type"] for r in t.events.select("event_type").distinct().collect()]
+    rows = [rd.read_csv(t.spark, f"{path}/event_type={k}", "event_id bigint").withColumn("event_type", F.lit(k)) for k in kinds]
+    both = reduce(DataFrame.unionByName, rows)
+    return both.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first"))
 
 
 @case("SNK5_publish_rate_model")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyflow.catalog import Tables, case
 from tallyflow.catalog.adapters import LINES_SQL, LOG_SQL, event_log, lines
+from tallyflow.catalog.basics import scratch
 from tallyflow.operators import cleaning as cl
 from tallyflow.operators.priors import beta_priors, eligible_children, fixed_prior
 from tallyflow.plans import flatten as fl
@@ -208,13 +209,24 @@ def _(t):
     return fl.flatten_events(event_log(t), START, END).select(*FLAT_COLUMNS, action_text().alias("actions"))
 
 
+@case("JOB1_incremental_flatten", f"select * from ({FLAT_SQL}) where date < '2024-01-21'")
+def _(t):
+    path = scratch(t) + "/flat"
+    events = event_log(t)
+    # two runs: the second one finds the newest day of the first and goes on from there
+    for as_of in (date(2024, 1, 10), date(2024, 1, 21)):
+        fl.flatten_increment(events, path, as_of, START)
+    flat = t.spark.read.schema(fl.flatten_events(events.limit(0), START, END).schema).parquet(path)
+    return flat.select(*FLAT_COLUMNS, action_text().alias("actions"))
+
+
 # installed apps: a customer is a device, its ordered parts are its packages
 def devices(t):
     one = F.struct(
         F.lower(F.concat(F.lit("com."), F.regexp_replace("p_brand", "#", "."), F.when(F.col("p_size") == 1, ".vpl").otherwise(""))).alias("package"),
         F.when(F.col("p_size") != 2, F.concat("p_type", F.lit("_y_"), F.replace("p_name", F.lit(" "), F.lit("&amp;")))).alias("category"),
     )
-    rows = t.spread("lineitem").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    rows = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     return rows.groupBy(F.col("o_custkey").cast("string").alias("deviceId")).agg(F.collect_list(one).alias("packages"))
 
 
@@ -336,7 +348,7 @@ def telemetry(t):
         F.col("l_partkey").alias("LastUpdateTime"), F.col("p_name").alias("Name"), F.col("p_brand").alias("PackageName"),
         F.col("l_linenumber").cast("long").alias("VersionCode"), F.lit("1.0").alias("VersionName"),
     )
-    rows = t.spread("lineitem").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    rows = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     body = F.struct(
         (F.col("o_orderkey") % 10 == 0).alias("IsTest"), F.lit("sprint").alias("CarrierName"),
         F.col("o_custkey").cast("string").alias("DeviceId"), F.array(app).alias("InstalledApps"),
@@ -453,9 +465,9 @@ def _(t):
     return rt.published_rows(model_of(t), HIERARCHY).withColumn("probability", F.round("probability", 6))
 
 
-@case("HR1_published_rows", DAILY_SQL + PRIOR_SQL + " select level, p_brand, n_name, round(probability, 6) as probability from model where level < 2")
+@case("HR1_published_rows", DAILY_SQL + PRIOR_SQL + " select level, p_brand, n_name, round(probability, 6) as probability from model")
 def _(t):
-    return rt.published_rows(model_of(t), HIERARCHY).where("level < 2").withColumn("probability", F.round("probability", 6))
+    return rt.published_rows(model_of(t), HIERARCHY).withColumn("probability", F.round("probability", 6))
 
 
 @case("JOB2_rate_model")
@@ -592,7 +604,7 @@ def _(t):
 
 # separation tests: part type is the document, customer the device
 def seen_rows(t, exact=True, metrics=("time_on_page",)):
-    rows = t.spread("lineitem").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    rows = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     rows = rows.select(F.col("o_custkey").alias("device_id"), F.col("p_type").alias("message_type"), F.col("l_quantity").alias("time_on_page"), F.col("l_extendedprice").alias("scroll_depth"))
     return sp.with_percentiles(rows, list(metrics), exact=exact)
 
@@ -697,9 +709,16 @@ def _(t):
     return out.groupBy("group_no").agg(F.count(F.lit(1)).alias("rows_"), F.sum("count").alias("total"))
 
 
-@case("JOB5_engagement_raw_data", """select cast(user_id as bigint) as device_id, event_type as message_type,
-  case when value > 20 then round(value - 20, 4) else 0 end as time_on_page, case when value > 50 then round(value - 50, 4) else 0 end as scroll_depth
-  from events where event_type <> 'error' and event_id % 3 <> 0 and ts >= '2024-01-10'""")
+RAW_SQL = """raw as (
+  select cast(user_id as bigint) as device_id, event_type as message_type,
+    case when value > 20 then round(value - 20, 4) else 0 end as time_on_page, case when value > 50 then round(value - 50, 4) else 0 end as scroll_depth
+  from events where event_type <> 'error' and event_id % 3 <> 0 and ts >= '2024-01-10')"""
+LEVEL_SQL = ", ".join(
+    f"round(quantile_cont({c}, {p}), 6) as {n}_{c}" for c in ("time_on_page", "scroll_depth") for n, p in sp.LEVELS.items()
+)
+
+
+@case("JOB5_engagement_raw_data", f"with {RAW_SQL} select device_id, message_type, time_on_page, scroll_depth, l.* exclude (d) from raw join (select message_type as d, {LEVEL_SQL} from raw group by 1) l on d = message_type")
 def _(t):
     flat = t.events.select(
         F.col("user_id").alias("device_id"), F.col("event_type").alias("message_type"),
@@ -707,7 +726,11 @@ def _(t):
         F.round(F.col("value") - 20, 4).alias("time_on_page"), F.round(F.col("value") - 50, 4).alias("scroll_depth"),
         F.date_format("ts", "yyyy-MM-dd").alias("date"),
     )
-    return sp.raw_rows(t.spark, flat, "2024-01-10").select("device_id", "message_type", F.col("time_on_page").cast("double").alias("time_on_page"), F.col("scroll_depth").cast("double").alias("scroll_depth"))
+    metrics = ["time_on_page", "scroll_depth"]
+    rows = sp.raw_rows(t.spark, flat, "2024-01-10").withColumns({m: F.col(m).cast("double") for m in metrics})
+    out = sp.with_percentiles(rows.select("device_id", "message_type", *metrics), metrics)
+    levels = [f"{n}_{m}" for m in metrics for n in sp.LEVELS]
+    return out.withColumns({c: F.round(c, 6) for c in levels})
 
 
 # segments

@@ -13,7 +13,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEPTH = 6
+# Rows of a piece that one task orders, sampled keys for each cut, and most cuts of one split.
+PIECE_ROWS = 100_000
+SAMPLES = 8
+MOST_DEPTH = 13
 
 
 def _cols(items: Sequence[str | Column]) -> list[Column]:
@@ -24,26 +27,34 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right["_o_" + k]) for k in keys])
 
 
-def with_pieces(
-    df: DataFrame, order: Sequence[str | Column], depth: int = DEPTH, measures: Sequence[str] = ()
-) -> DataFrame:
-    """Add ``_piece``, an ordered split into ``2**depth`` parts, the same on every run.
+def piece_depth(df: DataFrame) -> int:
+    """Halvings that bring the rows, which are counted, down to PIECE_ROWS a piece."""
+    pieces = -(-df.count() // PIECE_ROWS)
+    return min(MOST_DEPTH, max(0, pieces - 1).bit_length())
+
+
+def with_pieces(df: DataFrame, order: Sequence[str | Column], measures: Sequence[str] = ()) -> DataFrame:
+    """Add ``_piece``, an ordered split into as many parts as the number of rows asks for.
 
-    The cut points are the order keys with the smallest hashes, so the split does not
-    depend on partitioning and may be computed twice. A row finds its piece by halving.
-    ``measures`` are read along with the keys, so that the sample shares the shuffle that
-    aggregated them instead of reading the input again.
+    The cut points are every SAMPLES-th of the order keys with the smallest hashes, so the split
+    is the same on every run, does not depend on partitioning and may be computed twice. A row
+    finds its piece by halving. A small input is one piece. ``measures`` are read along with the
+    keys, so that the sample shares the shuffle that aggregated them instead of reading the input again.
     """
+    depth = piece_depth(df)
+    if not depth:
+        return df.withColumn("_piece", F.lit(0))
     cols = _cols(order)
     key = cols[0] if len(cols) == 1 else F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)])
-    points = (
+    sampled = (
         df.where(reduce(lambda a, b: a & b, [F.col(m) >= float("-inf") for m in measures], F.lit(True)))
         .select(key.alias("k"))
         .orderBy(F.xxhash64("k"), "k")
-        .limit(2**depth - 1)
+        .limit(SAMPLES * 2**depth - 1)
         .agg(F.sort_array(F.collect_list("k")).alias("p"))
-        .scalar()
     )
+    every = F.sequence(F.lit(SAMPLES), F.lit(SAMPLES * (2**depth - 1)), F.lit(SAMPLES))
+    points = sampled.select(F.transform(every, lambda i: F.get("p", i - 1)).alias("p")).scalar()
     parts = df.withColumns({"_key": key, "_piece": F.lit(0)})
     for level in reversed(range(depth)):
         half = 2**level
@@ -68,10 +79,9 @@ def numbered(
     order: Sequence[str | Column],
     group: Sequence[str] = (),
     out: str = "idx",
-    depth: int = DEPTH,
 ) -> DataFrame:
     """0-based position of each row in its group under a total order."""
-    parts = with_pieces(df, order, depth)
+    parts = with_pieces(df, order)
     joined = _with_offsets(parts, {"n": F.count(F.lit(1))}, group)
     inside = Window.partitionBy(*group, "_piece").orderBy(*_cols(order))
     return joined.withColumn(
@@ -84,13 +94,12 @@ def running_totals(
     order: Sequence[str | Column],
     sums: Sequence[str],
     group: Sequence[str] = (),
-    depth: int = DEPTH,
 ) -> DataFrame:
     """Add ``<c>_before``, the sum of ``c`` over all earlier rows, for each column in ``sums``.
 
     ``df`` holds one row per order key and group, i.e. it is already aggregated.
     """
-    parts = with_pieces(df, order, depth, sums)
+    parts = with_pieces(df, order, sums)
     joined = _with_offsets(parts, {c: F.sum(c) for c in sums}, group)
     inside = (
         Window.partitionBy(*group, "_piece")
@@ -106,11 +115,11 @@ def running_totals(
 
 
 def running_max(
-    df: DataFrame, order: Sequence[str | Column], column: str, group: Sequence[str] = (), depth: int = DEPTH
+    df: DataFrame, order: Sequence[str | Column], column: str, group: Sequence[str] = ()
 ) -> DataFrame:
     """Add ``<column>_before``, the greatest value over all earlier rows; null for the first."""
     keys = [*group, "_piece"]
-    parts = with_pieces(df, order, depth)
+    parts = with_pieces(df, order)
     before = Window.partitionBy(*group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.groupBy(*keys).agg(F.max(column).alias("_t")).select(
         *[F.col(k).alias("_o_" + k) for k in keys], F.max("_t").over(before).alias("_off")
@@ -124,13 +133,20 @@ def running_max(
 
 
 def hash_key(*cols: str) -> Column:
-    """Hex digest of key columns; a stable pseudo-random order that any engine can repeat."""
-    return F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in cols]))
+    """Hex digest of key columns; a stable pseudo-random order that any engine can repeat.
+
+    One column is digested as its text. Several are told apart by their lengths, and a null from any text.
+    """
+    texts = [F.col(c).cast("string") for c in cols]
+    if len(texts) == 1:
+        return F.md5(F.coalesce(texts[0], F.lit("\0")))
+    return F.md5(F.concat(*[F.coalesce(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]))
 
 
 def numbered_by_hash(df: DataFrame, key: Sequence[str], group: Sequence[str] = (), out: str = "idx") -> DataFrame:
-    """0-based position under the hash order; the first two hex digits cut the pieces."""
-    parts = df.withColumn("_h", hash_key(*key)).withColumn("_piece", F.substring("_h", 1, 2))
+    """0-based position under the hash order; as many hex digits as the number of rows asks for cut the pieces."""
+    digits = -(-piece_depth(df) // 4)
+    parts = df.withColumn("_h", hash_key(*key)).withColumn("_piece", F.substring("_h", 1, digits))
     joined = _with_offsets(parts, {"n": F.count(F.lit(1))}, group)
     inside = Window.partitionBy(*group, "_piece").orderBy("_h", *key)
     return joined.withColumn(

@@ -12,9 +12,6 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyflow.functions.maths import digamma
-from tallyflow.operators.cleaning import with_group_count
-from tallyflow.session import cut_lineage
 
 # The fit travels to the tasks by value, so workers need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -23,9 +20,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 START = 0.5
 TOLERANCE = 1e-3
 MAX_ITERATIONS = 900
-# Sibling groups up to this size are fitted inside one task; larger ones by distributed sums.
-GROUP_ROWS = 1_000_000
-
 
 def _same(parent: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col("_k_" + p)) for p in parent])
@@ -53,13 +47,20 @@ def _psi(x: np.ndarray) -> np.ndarray:
 
 def fit_beta(trial: np.ndarray, success: np.ndarray) -> tuple[float, float, int]:
     """(alpha, beta, iterations); a parameter that reaches 0 stays 0."""
+    return _fit([np.unique(x, return_counts=True) for x in (trial, success, trial - success)])
+
+
+def _fit(counted: Sequence[tuple[np.ndarray, np.ndarray]]) -> tuple[float, float, int]:
+    """The fixed point from how often each number of trials, successes and failures occurs."""
+    (n, n_times), (s, s_times), (f, f_times) = counted
+    gain = lambda values, times, at: np.sum(times * (_psi(values + at) - _psi(np.array(at))))
     a = b = START
     for step in range(1, MAX_ITERATIONS + 2):
-        bottom = np.sum(_psi(trial + a + b) - _psi(np.array(a + b)))
+        bottom = gain(n, n_times, a + b)
         if not bottom > 0:
             break
-        new_a = a * np.sum(_psi(success + a) - _psi(np.array(a))) / bottom if a > 0 else a
-        new_b = b * np.sum(_psi(trial - success + b) - _psi(np.array(b))) / bottom if b > 0 else b
+        new_a = a * gain(s, s_times, a) / bottom if a > 0 else a
+        new_b = b * gain(f, f_times, b) / bottom if b > 0 else b
         done = abs(a - new_a) < TOLERANCE and abs(b - new_b) < TOLERANCE
         a, b = float(new_a), float(new_b)
         if done or a + b <= 0:
@@ -67,62 +68,27 @@ def fit_beta(trial: np.ndarray, success: np.ndarray) -> tuple[float, float, int]
     return a, b, step
 
 
-def _fit_in_tasks(children: DataFrame, parent: Sequence[str]) -> DataFrame:
-    schema = ",".join([f"`{f.name}` {f.dataType.simpleString()}" for f in children.select(*parent).schema])
+def beta_priors(children: DataFrame, parent: Sequence[str]) -> DataFrame:
+    """(parent..., alpha, beta, n_iter) fitted to the (trial, success) pairs of each parent's children.
+
+    The fit needs only how many children have each number of trials, of successes and of
+    failures. These are counted before the fit, so a parent's task holds its different numbers and not
+    its children: with whole numbers that is at most the root of twice its trials, three times.
+    """
+    schema = ",".join([f"`{f.name}` {f.dataType.simpleString()}" for f in children.select(*parent).schema] + ["alpha double", "beta double", "n_iter int"])
+    number = F.explode(F.array(*[
+        F.struct(F.lit(k).alias("_kind"), v.cast("double").alias("_value"))
+        for k, v in enumerate((F.col("trial"), F.col("success"), F.col("trial") - F.col("success")))
+    ])).alias("_x")
+    counted = children.select(*parent, number).select(*parent, "_x.*").groupBy(*parent, "_kind", "_value").agg(F.count(F.lit(1)).alias("_n"))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b, steps = fit_beta(pdf["trial"].to_numpy(float), pdf["success"].to_numpy(float))
+        pdf = pdf.sort_values("_value")
+        kinds = [pdf[pdf["_kind"] == k] for k in range(3)]
+        a, b, steps = _fit([(k["_value"].to_numpy(float), k["_n"].to_numpy(float)) for k in kinds])
         return pdf[list(parent)].iloc[:1].assign(alpha=a, beta=b, n_iter=steps)
 
-    return children.groupBy(*parent).applyInPandas(fit, f"{schema}, alpha double, beta double, n_iter int")
-
-
-def _fit_by_sums(children: DataFrame, parent: Sequence[str], every: int = 5) -> DataFrame:
-    """The same fixed point for all large groups at once; each step is one aggregation."""
-    children = cut_lineage(children)
-    keys = [F.col(p).alias("_k_" + p) for p in parent]
-    state = children.select(*keys).distinct().withColumns(
-        {"alpha": F.lit(START), "beta": F.lit(START), "n_iter": F.lit(0), "done": F.lit(False)}
-    )
-    a, b, n, s = F.col("alpha"), F.col("beta"), F.col("trial"), F.col("success")
-    for step in range(1, MAX_ITERATIONS + 2):
-        gain = lambda x, p: F.sum(F.when(p > 0, digamma(x + p) - digamma(p)).otherwise(0.0))
-        moved = (
-            children.join(state, _same(parent))
-            .groupBy(*parent, "alpha", "beta", "n_iter", "done")
-            .agg(gain(s, a).alias("ga"), gain(n - s, b).alias("gb"), gain(n, a + b).alias("g"))
-            .withColumns({"na": a * F.try_divide(F.col("ga"), F.col("g")), "nb": b * F.try_divide(F.col("gb"), F.col("g"))})
-        )
-        halt = F.col("done") | ~(F.col("g") > 0)
-        close = (F.abs(F.col("na") - a) < TOLERANCE) & (F.abs(F.col("nb") - b) < TOLERANCE)
-        state = moved.select(
-            *keys,
-            F.when(halt, a).otherwise(F.col("na")).alias("alpha"),
-            F.when(halt, b).otherwise(F.col("nb")).alias("beta"),
-            F.when(halt, F.col("n_iter")).otherwise(step).alias("n_iter"),
-            (halt | close).alias("done"),
-        )
-        if step % every == 0 or step == MAX_ITERATIONS + 1:
-            state = cut_lineage(state)
-            if state.where(~F.col("done")).isEmpty():
-                break
-    return state.select(*[F.col("_k_" + p).alias(p) for p in parent], "alpha", "beta", "n_iter")
-
-
-def beta_priors(children: DataFrame, parent: Sequence[str], group_rows: int = GROUP_ROWS) -> DataFrame:
-    """(parent..., alpha, beta, n_iter) fitted to the (trial, success) pairs of each parent's children.
-
-    The size of every sibling group is checked first: groups within ``group_rows`` are
-    fitted in parallel tasks, larger ones by distributed sums, so no task holds an
-    unbounded group.
-    """
-    pairs = children.select(*parent, "trial", "success")
-    sized = with_group_count(pairs, parent, "_n")
-    small = _fit_in_tasks(sized.where(F.col("_n") <= group_rows).drop("_n"), parent)
-    large = sized.where(F.col("_n") > group_rows).drop("_n")
-    if large.isEmpty():
-        return small
-    return small.unionByName(_fit_by_sums(large, parent))
+    return counted.groupBy(*parent).applyInPandas(fit, schema)
 
 
 def fixed_prior(children: DataFrame, parent: Sequence[str], alpha: float, beta: float) -> DataFrame:

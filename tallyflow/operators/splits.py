@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyflow.operators.ordering import hash_key, numbered, numbered_by_hash
@@ -50,13 +50,14 @@ def chronological(df: DataFrame, order: Sequence[str | Column], train_share: flo
 
 
 def sample_rows(df: DataFrame, key: Sequence[str], n: int) -> DataFrame:
-    """Exactly ``n`` rows (or all), uniform by hash order."""
-    return numbered_by_hash(df, key).where(F.col("idx") < n).drop("idx")
+    """Exactly ``n`` rows (or all), uniform by hash order; each task offers its ``n`` smallest hashes."""
+    return df.orderBy(hash_key(*key), *key).limit(n)
 
 
 def balanced(df: DataFrame, key: Sequence[str], label: str, n: int) -> DataFrame:
-    """``n`` positive and ``n`` negative rows."""
-    return numbered_by_hash(df.where(F.col(label).isin(0, 1)), key, [label]).where(F.col("idx") < n).drop("idx")
+    """``n`` positive and ``n`` negative rows by hash order; each task offers ``n`` of each."""
+    place = F.row_number().over(Window.partitionBy(label).orderBy(hash_key(*key), *key))
+    return df.where(F.col(label).isin(0, 1)).withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
 
 
 def labelled_union(negatives: DataFrame, positives: DataFrame, label: str = "label", shuffle_key: Sequence[str] | None = None) -> DataFrame:

@@ -1,19 +1,23 @@
 """Flatten a JSON event log into one row per sent message.
 
-The log is scanned and its payload parsed once. All scalar facets of a message come out
-of a single aggregation; only the click actions, which form a list, take a second one.
+The log is scanned and its payload parsed once: all facets of a message, its clicks
+included, come out of a single aggregation.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyflow.functions.dates import date_text, epoch_millis
 from tallyflow.functions.text import to_float, to_int
-from tallyflow.sources.schemas import payload_field
+from tallyflow.sources.readers import latest_partition
+from tallyflow.sources.schemas import conform, payload_field
+from tallyflow.sources.sinks import write_partitioned
 
 # Fixed values: (column, payload key, type, default) of a sent record.
 SENT_FIELDS = (
@@ -92,9 +96,6 @@ FEEDBACK_MODULE = "contentitem_feedbackmodule"
 CLICK = "contentitem_click"
 KINDS = (SENT, RECEIVED, DISMISS, VIEW, TIME_ON_PAGE, PAGE_SCROLL, FEEDBACK_MODULE, CLICK)
 
-# Lists longer than this continue in further rows of the action table.
-ACTIONS_PER_ROW = 10_000
-
 FACET_KEYS = (
     "messageid", "deviceid", "timestamp", "istest", "daysfromeulaapproval", "agentlocale", "devicelocale",
     "timeonpage", "scrolldepth", "actionid", "feedbackvalue", "messagetype",
@@ -233,41 +234,26 @@ def click_rows(log: DataFrame) -> DataFrame:
     )
 
 
-def click_events(log: DataFrame, per_row: int = ACTIONS_PER_ROW) -> DataFrame:
-    """Time-ordered ``actions`` per message, with repeats.
+def _click() -> Column:
+    return F.struct(epoch_millis(F.col("p.timestamp")).alias("timestamp"), F.col("p.actionid").alias("action"))
 
-    A message with more than ``per_row`` clicks continues in rows ``part`` 1, 2, ..., so no
-    row grows without bound and no click is lost.
-    """
-    rows = click_rows(log)
-    # one struct per click: a heavily repeated click is cut as well
-    slices = F.transform(
-        F.sequence(F.lit(0), F.floor((F.col("repeats") - 1) / per_row).cast("int")),
-        lambda i: F.least(F.lit(per_row).cast("long"), F.col("repeats") - i * per_row),
-    )
-    rows = rows.select("click_message_id", "action", "timestamp", F.posexplode(slices).alias("slice", "repeats"))
-    sizes = rows.groupBy(F.col("click_message_id").alias("_m")).agg(F.sum("repeats").alias("_n"))
-    parts = F.ceil(F.col("_n") / per_row)
-    placed = rows.join(sizes, F.col("click_message_id") == F.col("_m")).withColumn(
-        "part",
-        F.when(parts <= 1, 0).otherwise(F.pmod(F.xxhash64("action", "timestamp", "slice"), 2 * parts)),
+
+def _in_order(clicks: Column) -> Column:
+    ordered = F.transform(
+        F.array_sort(clicks), lambda c: F.struct(c["action"].alias("action"), c["timestamp"].alias("timestamp"))
     )
-    one = F.struct(F.col("timestamp"), F.col("action"), F.col("repeats"))
+    return F.when(F.size(clicks) > 0, ordered)
+
+
+def click_events(log: DataFrame) -> DataFrame:
+    """All clicks of a message, with repeats, as one time-ordered list ``actions``.
+
+    ``click_rows`` has the same clicks as a long table, for messages with very many.
+    """
     return (
-        placed.groupBy("click_message_id", F.col("part").cast("int").alias("part"))
-        .agg(F.array_sort(F.collect_list(one)).alias("_sorted"))
-        .select(
-            "click_message_id",
-            "part",
-            F.flatten(
-                F.transform(
-                    "_sorted",
-                    lambda s: F.array_repeat(
-                        F.struct(s["action"].alias("action"), s["timestamp"].alias("timestamp")), s["repeats"].cast("int")
-                    ),
-                )
-            ).alias("actions"),
-        )
+        log.where((F.col("event") == CLICK) & F.col("p.actionid").isNotNull())
+        .groupBy(F.col("p.messageid").alias("click_message_id"))
+        .agg(_in_order(F.collect_list(_click())).alias("actions"))
     )
 
 
@@ -299,7 +285,7 @@ def join_facet(
 
 
 def facets(log: DataFrame) -> DataFrame:
-    """Every scalar facet per message id, in one aggregation."""
+    """Every facet per message id, the clicks included, in one aggregation."""
     stamp = epoch_millis(F.col("p.timestamp"))
     first = lambda value, cond: F.min_by(F.when(cond, value), F.when(cond, F.col("rank_key")))
     kind = lambda k: F.col("event") == k
@@ -319,24 +305,47 @@ def facets(log: DataFrame) -> DataFrame:
         seen(kind(FEEDBACK_MODULE)).alias("feedback_module_impression"),
         first(stamp, kind(FEEDBACK_MODULE)).alias("feedback_module_impression_timestamp"),
         first(F.col("p.feedbackvalue").try_cast("boolean"), is_feedback_click()).alias("feedback_value"),
+        _in_order(F.collect_list(F.when(kind(CLICK) & F.col("p.actionid").isNotNull(), _click()))).alias("actions"),
     )
 
 
-def flatten_events(events: DataFrame, start, end, per_row: int = ACTIONS_PER_ROW) -> DataFrame:
-    """One row per sent message with all its facets; see ``click_events`` for ``part``."""
+def flatten_events(events: DataFrame, start, end) -> DataFrame:
+    """One row per sent message with all its facets. The log is read and parsed once."""
     log = parse_log(events, start, end)
-    flat = facets(log).where(F.col("_sent").isNotNull()).select("message_id", "_sent.*", *[
-        c for c in FACET_COLUMNS
-    ])
-    return join_facet(flat, click_events(log, per_row), "message_id", "click_message_id").withColumn(
-        "part", F.coalesce("part", F.lit(0))
-    )
+    return facets(log).where(F.col("_sent").isNotNull()).select("message_id", "_sent.*", *FACET_COLUMNS)
+
+
+def flatten_increment(events: DataFrame, path: str, as_of, start=None) -> tuple | None:
+    """Flattens the days after the newest one in ``path`` up to the day before ``as_of`` and adds them.
+
+    The rows are conformed to the job's own columns and written by date; days that a broken run has
+    left are replaced. ``start`` is the first day where nothing is written yet. Returns the
+    window, or None if there is nothing to do.
+    """
+    spark = events.sparkSession
+    target = flatten_events(events.limit(0), as_of, as_of).schema
+    try:
+        newest = latest_partition(spark.read.schema(target).parquet(path)).first()["latest"]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        newest = None
+    if newest is None and start is None:
+        raise ValueError("the first run needs a start day")
+    first = date.fromisoformat(newest) + timedelta(days=1) if newest is not None else start
+    last = as_of - timedelta(days=1)
+    if first > last:
+        return None
+    # a day ends before the next begins
+    flat = conform(flatten_events(events.where(F.col("time") < F.lit(last + timedelta(days=1))), first, as_of), target)
+    write_partitioned(flat, path, "date", mode="overwrite")
+    return first, last
 
 
 FACET_COLUMNS = (
     "agent_locale", "device_locale", "received_timestamp", "received", "dismiss", "dismiss_timestamp",
     "view", "view_timestamp", "time_on_page", "scroll_depth", "feedback_module_impression",
-    "feedback_module_impression_timestamp", "feedback_value",
+    "feedback_module_impression_timestamp", "feedback_value", "actions",
 )
 
 
@@ -360,7 +369,7 @@ def flatten_by_joins(events: DataFrame, start, end) -> DataFrame:
     )
     for facet, key, flag in steps:
         out = join_facet(out, facet, "message_id", key, flag)
-    return out.withColumn("part", F.coalesce("part", F.lit(0)))
+    return out
 
 
 def newest_event_time(events: DataFrame, since) -> DataFrame:

@@ -113,6 +113,7 @@ def sum_by(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def smoothed(daily: DataFrame, gamma: float, day: str = "receive_date") -> DataFrame:
     """Add exponentially weighted counts; the lag runs back from the newest day in the data."""
+    daily = cut_lineage(daily)
     last = daily.agg(F.max(day)).scalar()
     weight = smoothing_weight(gamma, F.col(day), last)
     return daily.withColumns({"trial_smooth": weight * F.col("trial"), "success_smooth": weight * F.col("success")})

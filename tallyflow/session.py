@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,20 +22,15 @@ def local_session(cores: str | int = 8, shuffle_partitions: int = 8) -> SparkSes
     )
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables: ``spark.checkpoint.dir``, or one in the warehouse where it is unset."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return (named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/.scratch").rstrip("/")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the cluster names.
-
-    ``spark.checkpoint.dir`` is read from the session. Only a local session without
-    it (tests) gets a folder of its own; on a cluster a missing setting is an error,
-    because a machine-local folder would not survive the loss of an executor.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    """Reliable checkpoint in the folder that the cluster, the caller or ``shared_folder`` names."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="tallyflow-checkpoint-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

@@ -40,23 +40,38 @@ def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def _conformed(value: Column, have: T.DataType, want: T.DataType, name: str) -> Column:
+    """A value as the wanted type, field by field inside structs and element by element inside arrays."""
+    if have.simpleString() == "void":
+        return F.lit(None).cast(want)
+    if isinstance(want, T.StructType) and isinstance(have, T.StructType):
+        types = {f.name: f.dataType for f in have}
+        fields = [
+            (_conformed(value.getField(f.name), types[f.name], f.dataType, f"{name}.{f.name}") if f.name in types
+             else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in want
+        ]
+        return F.when(value.isNotNull(), F.struct(*fields)).cast(want)
+    if isinstance(want, T.ArrayType) and isinstance(have, T.ArrayType):
+        if have.elementType.simpleString() == want.elementType.simpleString():
+            return value.cast(want)
+        return F.transform(value, lambda v: _conformed(v, have.elementType, want.elementType, name + "[]")).cast(want)
+    got, asked = have.simpleString(), want.simpleString()
+    if got == asked or (got, asked) in WIDENING:
+        return value.cast(want)
+    raise TypeError(f"column {name}: {got} does not conform to {asked}")
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Exactly the schema's columns: missing ones null, extra ones dropped.
+    """Exactly the schema's columns, also inside structs and arrays: missing ones null, extra ones dropped.
 
     Integers widen to doubles; every other change of type is an error at planning time.
     """
-    have = {f.name: f.dataType.simpleString() for f in df.schema}
-    out: list[Column] = []
-    for field in schema:
-        want = field.dataType.simpleString()
-        got = have.get(field.name)
-        if got is None or got == "void":
-            out.append(F.lit(None).cast(field.dataType).alias(field.name))
-        elif got == want or (got, want) in WIDENING:
-            out.append(F.col(field.name).cast(field.dataType).alias(field.name))
-        else:
-            raise TypeError(f"column {field.name}: {got} does not conform to {want}")
-    return df.select(*out)
+    have = {f.name: f.dataType for f in df.schema}
+    return df.select(*[
+        (_conformed(F.col(f"`{f.name}`"), have[f.name], f.dataType, f.name) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in schema
+    ])
 
 
 def parse_json(text: Column, schema: T.StructType, strict: bool = False) -> Column:

@@ -37,9 +37,9 @@ def write_csv_gzip(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True, compression="gzip")
 
 
-def write_csv_per_metric(frames: Mapping[str, DataFrame], path: str) -> None:
-    for metric, frame in frames.items():
-        write_csv_gzip(frame, f"{path}/{metric}")
+def write_csv_by(df: DataFrame, path: str, column: str) -> None:
+    """One folder of gzip CSV files for each value of a column, all in one job."""
+    df.write.mode("overwrite").partitionBy(column).csv(path, header=True, compression="gzip")
 
 
 def publish_rate_model(nodes: DataFrame, path: str, metadata: Mapping[str, object]) -> None:

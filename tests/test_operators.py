@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +8,7 @@ from tallyflow.operators import clustering as cu
 from tallyflow.operators import evaluation as ev
 from tallyflow.operators import marginals as mg
 from tallyflow.operators import neighbours as nb
+from tallyflow.operators import ordering as order
 from tallyflow.operators import priors as pri
 from tallyflow.operators import profile as pf
 from tallyflow.operators import similarity as sm
@@ -14,6 +16,7 @@ from tallyflow.operators import splits as spl
 from tallyflow.operators.cleaning import exclude, first_per_key, minority_by_share, within_sigmas
 from tallyflow.operators.ordering import exact_quantiles, numbered, running_max, running_totals
 from tallyflow.operators.skyline import frontier
+from tallyflow.sources import schemas
 
 
 def skewed(spark, n=3000):
@@ -154,17 +157,50 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert len(set(got.values())) == 3
 
 
-def test_priors_by_tasks_and_by_sums_agree(spark, monkeypatch):
-    # a few steps show that both ways take the same path
-    monkeypatch.setattr(pri, "MAX_ITERATIONS", 4)
+def test_priors_equal_the_plain_loop(spark):
     rng = random.Random(5)
-    rows = [(f"p{g}", 100 + i, rng.randint(10, 60)) for g in range(2) for i in range(30)]
+    rows = [(f"p{g}", 100 + i % 7, rng.randint(10, 60)) for g in range(3) for i in range(40 * (g + 1))]
     df = spark.createDataFrame(rows, "p string, trial long, success long")
-    small = {r["p"]: r for r in pri.beta_priors(df, ["p"]).collect()}
-    large = {r["p"]: r for r in pri.beta_priors(df, ["p"], group_rows=10).collect()}
-    for p in small:
-        assert small[p]["alpha"] == pytest.approx(large[p]["alpha"], rel=1e-6)
-        assert small[p]["n_iter"] == large[p]["n_iter"]
+    got = {r["p"]: r for r in pri.beta_priors(df, ["p"]).collect()}
+    for p in ("p0", "p1", "p2"):
+        n = np.array([r[1] for r in rows if r[0] == p], float)
+        s = np.array([r[2] for r in rows if r[0] == p], float)
+        a = b = pri.START
+        for step in range(1, pri.MAX_ITERATIONS + 2):
+            bottom = sum(pri._psi(x + a + b) - pri._psi(np.float64(a + b)) for x in n)
+            new_a = a * sum(pri._psi(x + a) - pri._psi(np.float64(a)) for x in s) / bottom
+            new_b = b * sum(pri._psi(x + b) - pri._psi(np.float64(b)) for x in n - s) / bottom
+            done = abs(a - new_a) < pri.TOLERANCE and abs(b - new_b) < pri.TOLERANCE
+            a, b = new_a, new_b
+            if done:
+                break
+        assert (got[p]["alpha"], got[p]["beta"]) == (pytest.approx(a, rel=1e-6), pytest.approx(b, rel=1e-6))
+        assert got[p]["n_iter"] == step
+
+
+def test_pieces_grow_in_number_and_not_in_size(spark, monkeypatch):
+    monkeypatch.setattr(order, "PIECE_ROWS", 200)
+    for rows in (1_000, 10_000):
+        df = spark.range(rows).withColumn("k", (F.col("id") * 7919) % rows)
+        sizes = [r["count"] for r in order.with_pieces(df, ["k"]).groupBy("_piece").count().collect()]
+        assert sum(sizes) == rows and max(sizes) < 4 * 200
+        got = order.numbered(df, ["k"]).where("idx != k").count()
+        assert got == 0
+
+
+def test_hash_keys_tell_nulls_and_bars_apart(spark):
+    rows = [("a", None, "b"), ("a", "b", None), ("a|b", None, None), ("a", "", "b"), (None, "a", "b"), ("", "a", "b")]
+    df = spark.createDataFrame(rows, "x string, y string, z string")
+    assert df.select(order.hash_key("x", "y", "z").alias("h")).distinct().count() == len(rows)
+
+
+def test_conforming_inside_structs_and_arrays(spark):
+    df = spark.sql("select named_struct('a', 1, 'extra', 'x') as s, array(named_struct('b', 2, 'c', null)) as l, 3 as gone")
+    target = schemas.schema_from_example({"s": {"a": 1.5, "new": "t"}, "l": [{"b": 1, "c": "t", "d": True}], "more": [1]})
+    row = schemas.conform(df, target).first().asDict(recursive=True)
+    assert row == {"l": [{"b": 2, "c": None, "d": None}], "more": None, "s": {"a": 1.0, "new": None}}
+    with pytest.raises(TypeError):
+        schemas.conform(df, schemas.schema_from_example({"s": {"a": "text"}}))
 
 
 def test_fitting_meets_both_marginals(spark):

@@ -1,7 +1,8 @@
 import contextlib
 import io
 import json
-from datetime import date, datetime
+import re
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -55,12 +56,34 @@ def test_flatten_one_plan_equals_the_joins(spark):
     assert rows["None"]["received"] == 1 and rows["None"]["actions"] is None
 
 
-def test_long_action_lists_continue_in_parts(spark):
-    rows = [event("sent", 0)] + [event("click", i % 50, actionid=f"a{i % 7}") for i in range(300)]
-    rows += [event("click", 51, actionid="same")] * 40
-    out = flatten.flatten_events(log(spark, rows), START, END, per_row=25).collect()
-    assert sum(len(r["actions"]) for r in out) == 340 and len(out) > 5
-    assert len({r["part"] for r in out}) == len(out)
+def test_a_message_with_very_many_clicks_is_one_row(spark):
+    rows = [event("sent", 0)] + [event("click", i % 50, actionid=f"a{i % 7}") for i in range(500)]
+    events = log(spark, rows)
+    many = events.where("event like '%sent'").unionByName(events.where("event like '%click'").crossJoin(spark.range(200)).drop("id"))
+    out = flatten.flatten_events(many, START, END).collect()
+    assert [len(r["actions"]) for r in out] == [100_000]
+    stamps = [a["timestamp"] for a in out[0]["actions"]]
+    assert stamps == sorted(stamps)
+    assert flatten.click_rows(flatten.parse_log(many, START, END)).agg({"repeats": "sum"}).first()[0] == 100_000
+
+
+def test_the_log_is_read_once(spark):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        flatten.flatten_events(log(spark, LOG), START, END).explain()
+    assert len(re.findall(r"Scan ExistingRDD", text.getvalue())) == 1
+
+
+def test_increment_goes_on_after_the_newest_day(spark, tmp_path):
+    events, path = log(spark, LOG), str(tmp_path / "flat")
+    with pytest.raises(ValueError):
+        flatten.flatten_increment(events, path, END)
+    assert flatten.flatten_increment(events, path, END, START) == (START, END - timedelta(days=1))
+    one = flatten.flatten_events(events, START, END)
+    written = spark.read.schema(one.schema).parquet(path)
+    assert written.count() == one.where(F.col("date") < str(END)).count() > 0
+    newest = date.fromisoformat(written.agg({"date": "max"}).first()[0])
+    assert flatten.flatten_increment(events, path, newest + timedelta(days=1)) is None
 
 
 def test_flatten_plan_has_no_python_and_no_cartesian(spark):
