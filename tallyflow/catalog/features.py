@@ -20,17 +20,21 @@ def _(t):
     return fe.with_index(t.part, "p_brand", fe.frequency_dictionary(t.part, "p_brand"), "idx_brand").select("p_partkey", "idx_brand")
 
 
-@case("FE1_string_indexer")
+def order_sql(column):
+    return f"select {column}, (row_number() over (order by count(*) desc, {column}) - 1)::double as i from part group by 1"
+
+
+@case("FE1_string_indexer", f"with b as ({order_sql('p_brand')}), y as ({order_sql('p_type')}) select p_partkey, b.i as idx_p_brand, y.i as idx_p_type from part join b using (p_brand) join y using (p_type)")
 def _(t):
     cats = ["p_brand", "p_type"]
     return md.indexers(cats).fit(t.part).transform(t.part).select("p_partkey", "idx_p_brand", "idx_p_type")
 
 
-@case("FE2_one_hot")
+@case("FE2_one_hot", f"with y as ({order_sql('p_type')}) select p_partkey, list_aggregate(list_transform(range((select count(*) + 1 from y)), lambda k: case when k = i then '1' else '0' end), 'string_agg', '') as slots from part join y using (p_type)")
 def _(t):
     stages = [md.indexers(["p_type"]), md.encoders(["p_type"])]
     out = Pipeline(stages=stages).fit(t.part).transform(t.part)
-    return out.select("p_partkey", vector_to_array("enc_p_type").alias("v")).select("p_partkey", F.aggregate("v", F.lit(0.0), lambda a, x: a + x).alias("ones"))
+    return out.select("p_partkey", vector_to_array("enc_p_type").alias("v")).select("p_partkey", F.array_join(F.transform("v", lambda x: x.cast("int").cast("string")), "").alias("slots"))
 
 
 @case("FE2_one_hot_long", "select p_partkey, p_size as \"index\", 1 as value from part")
@@ -38,10 +42,11 @@ def _(t):
     return fe.one_hot_long(t.part, "p_partkey", "p_size")
 
 
-@case("FE3_assembled_vector")
+@case("FE3_assembled_vector", "select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity::double as first, l_discount::double as second from lineitem")
 def _(t):
     out = md.assembler(["l_quantity", "l_discount"]).transform(t.lineitem)
-    return out.select("l_orderkey", "l_linenumber", vector_to_array("features")[0].alias("first"))
+    v = vector_to_array("features")
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", v[0].alias("first"), v[1].alias("second"))
 
 
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO"]
@@ -86,7 +91,10 @@ def _(t):
     return fe.embedding_widths(t.part, ["p_type", "p_brand", "p_partkey"])
 
 
-@case("FE10_hashed_categories")
+SLOT_SQL = "('0x' || substr(md5(p_name), 1, 8))::bigint % 200"
+
+
+@case("FE10_hashed_categories", f"select p_partkey, {SLOT_SQL} as slot, lpad(bin({SLOT_SQL}), 8, '0') as bits from part")
 def _(t):
     return t.part.select("p_partkey", fe.hash_index(F.col("p_name"), 200).alias("slot"), fe.hash_bits(F.col("p_name"), 200).alias("bits"))
 

@@ -16,6 +16,7 @@ from tallyflow.plans import adviews as av
 from tallyflow.plans import churn as ch
 from tallyflow.plans import prices as pr
 from tallyflow.plans import tweets as tw
+from tallyflow.session import cut_lineage
 from tallyflow.sources import sinks as sk
 
 CATS, NUMS = ["l_linestatus", "l_linenumber"], ["l_quantity", "l_discount", "l_tax"]
@@ -29,7 +30,7 @@ def sold(t):
 
 def sold_split(t):
     train, test = av.split_features(sold(t), "id", "y", CATS, NUMS)
-    return train.persist(), test.persist()
+    return cut_lineage(train), cut_lineage(test)
 
 
 def metrics(model, test):
@@ -77,7 +78,7 @@ def _(t):
 def priced(t):
     train, test = pr.split_features(t.orders.withColumn("region", F.lit("Albany")), "o_orderdate", "o_orderkey", "o_totalprice",
                                     ["o_orderpriority", "o_orderstatus", "month", "day_of_week"], ["o_custkey"], "region")
-    return train.persist(), test.persist()
+    return cut_lineage(train), cut_lineage(test)
 
 
 @case("MOD5_regressors")
@@ -92,6 +93,10 @@ def _(t):
     return history(t, found[1])
 
 
+# one label for each of twelve horizons of the given orders
+MONTHS = list(range(52, 76, 2))
+
+
 def served(t):
     rows = t.orders.groupBy("o_custkey").agg(F.to_date(F.min("o_orderdate")).alias("a"), F.to_date(F.max("o_orderdate")).alias("b"))
     rows = rows.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -100,15 +105,14 @@ def served(t):
 
 @case("MOD8_model_per_label")
 def _(t):
-    rows = ch.labelled(served(t), "a", "b", months=[60, 66, 72])
-    return ch.horizon_models(rows, "o_custkey", ["c_mktsegment"], ["month_60", "month_66", "month_72"])
+    rows = ch.labelled(served(t), "a", "b", months=MONTHS)
+    return ch.horizon_models(rows, "o_custkey", ["c_mktsegment"], [f"month_{m}" for m in MONTHS])
 
 
 @case("JOB15_churn_horizons")
 def _(t):
-    months = [48, 60, 72]
-    rows = ch.labelled(served(t), "a", "b", months)
-    return ch.horizon_models(rows, "o_custkey", ["c_mktsegment", "n_name"], [f"month_{m}" for m in months])
+    rows = ch.labelled(served(t), "a", "b", MONTHS)
+    return ch.horizon_models(rows, "o_custkey", ["c_mktsegment", "n_name"], [f"month_{m}" for m in MONTHS])
 
 
 def people(t):
@@ -167,10 +171,11 @@ def _(t):
     return md.weights_table(quick(train), train)
 
 
-@case("SNK6_save_and_load_model")
+@case("SNK6_save_and_load_model", "select true as same, count(*) as n from lineitem")
 def _(t):
     path = scratch(t) + "/model"
-    rows = sold(t).withColumn("label", F.col("y").cast("double"))
+    rows = sold(t).withColumns({"label": F.col("y").cast("double"), "id": F.monotonically_increasing_id()})
+    rows = cut_lineage(rows)
     stages = [*md.feature_stages(rows, CATS, NUMS), md.LogisticRegression(regParam=0.01, maxIter=10)]
     fitted = Pipeline(stages=stages).fit(rows)
     sk.save_model(fitted, path)
@@ -182,8 +187,7 @@ def _(t):
 @case("JOB16_price_regression")
 def _(t):
     train, test = priced(t)
-    chosen = {k: v for k, v in md.regressors().items() if k in ("linear", "ridge", "decision_tree")}
-    return rounded(md.compare_regressors(train, test, chosen), "rmse", places=2)
+    return rounded(md.compare_regressors(train, test), "rmse", places=2)
 
 
 @case("JOB17_ad_views")
@@ -191,7 +195,7 @@ def _(t):
     rows = av.cleaned(sold(t).withColumn("ad_screen_ratio", F.try_divide("l_extendedprice", "l_quantity")), CATS, ["ad_screen_ratio"], sigmas=3)
     train, test = av.split_features(rows, "id", "y", CATS, [*NUMS, "ad_screen_ratio"])
     models = {"logistic": md.LogisticRegression(regParam=0.01), "forest": md.RandomForestClassifier(numTrees=10, maxDepth=5, seed=30)}
-    return av.compare(train.persist(), test.persist(), models)
+    return av.compare(cut_lineage(train), cut_lineage(test), models)
 
 
 @case("JOB18_expert_routing")
@@ -203,4 +207,4 @@ def _(t):
         "forest": md.RandomForestClassifier(numTrees=8, maxDepth=5, seed=30),
         "boosting": md.GBTClassifier(maxIter=4, maxDepth=3, seed=30),
     }
-    return av.compare(train.persist(), test.persist(), models)
+    return av.compare(cut_lineage(train), cut_lineage(test), models)

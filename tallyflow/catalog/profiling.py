@@ -177,7 +177,7 @@ def _(t):
 def _(t):
     grouped = cells(t).groupBy(*DIMS).agg(F.sum("l_quantity").alias("l_quantity"), F.sum("l_extendedprice").alias("l_extendedprice"))
     targets = mg.marginal_totals(grouped, DIMS, "l_extendedprice")
-    weights = mg.fit_weights(grouped, DIMS, "l_quantity", targets, sweeps=12)
+    weights = mg.fit_weights(grouped, DIMS, "l_quantity", targets)
     out = mg.reconciliation(mg.fitted_totals(grouped, DIMS, "l_quantity", weights), targets)
     return out.select("dim", "values", "mismatches")
 

@@ -114,14 +114,24 @@ def minority_by_count(df: DataFrame, column: str, threshold: int, label: str = "
 
 
 def minority_by_share(df: DataFrame, columns: Sequence[str], share: float = 0.005, label: str = "minority") -> DataFrame:
-    """Replace values with at most ``share`` of all rows; null stays."""
+    """Replace values with at most ``share`` of all rows; null stays.
+
+    One aggregation counts the values of all columns. Fewer than 1 / ``share`` values of a column can
+    have more, so these go to the rows as one short list per column, without a join.
+    """
+    if share <= 0:
+        return df.withColumns({c: F.col(c).cast("string") for c in columns})
+    cells = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(c).cast("string").alias("v")) for k, c in enumerate(columns)]))
+    counts = df.select(cells.alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("n"))
     total = df.agg(F.count(F.lit(1))).scalar()
-    out = df
-    for c in columns:
-        kept = with_group_count(out, [c], "_n", source=df)
-        rare = F.col("_n") / total <= share
-        out = kept.withColumn(c, F.when(F.col(c).isNotNull() & rare, label).otherwise(F.col(c).cast("string"))).drop("_n")
-    return out
+    frequent = counts.where((F.col("n") / total > share) & F.col("x.v").isNotNull())
+    lists = frequent.agg(F.array(*[F.collect_list(F.when(F.col("x.k") == k, F.col("x.v"))) for k in range(len(columns))])).scalar()
+    rows = df.withColumn("_lists", lists)
+    kept = {
+        c: F.when(F.col(c).isNotNull() & ~F.array_contains(F.col("_lists")[k], F.col(c).cast("string")), label).otherwise(F.col(c).cast("string"))
+        for k, c in enumerate(columns)
+    }
+    return rows.withColumns(kept).drop("_lists")
 
 
 def above_threshold(df: DataFrame, column: str, threshold: int) -> DataFrame:

@@ -12,17 +12,18 @@ from pyspark.sql import functions as F
 from tallyflow.session import cut_lineage
 
 
-def components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """(vertex, cluster): connected components, named by their smallest vertex.
 
     Each round takes the smallest label among neighbours, then jumps to that label's own
-    label, so long chains need few rounds. Lineage is cut by a checkpoint per round.
+    label, so long chains need few rounds. Labels only fall, so the rounds end when none does.
+    Lineage is cut by a checkpoint per round.
     """
     both = cut_lineage(
         edges.select(F.col("a").alias("v"), F.col("b").alias("u")).union(edges.select("b", "a")).distinct()
     )
     labels = cut_lineage(vertices.select(F.col(vertices.columns[0]).alias("v")).distinct().withColumn("label", F.col("v")))
-    for _ in range(max_rounds):
+    while True:
         around = both.join(labels.select(F.col("v").alias("u"), F.col("label").alias("near")), "u")
         best = around.groupBy("v").agg(F.min("near").alias("near"))
         lower = labels.join(best, "v", "left").select("v", "label", F.least("label", "near").alias("new"))
@@ -31,7 +32,6 @@ def components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 60) -> D
         labels = moved.select("v", F.col("next").alias("label"))
         if moved.where(F.col("next") != F.col("label")).isEmpty():
             return labels.select(F.col("v").alias("vertex"), F.col("label").alias("cluster"))
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
 def cluster_numbers(clusters: DataFrame) -> DataFrame:

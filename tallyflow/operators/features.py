@@ -77,7 +77,8 @@ def cyclical(df: DataFrame, column: str, source: DataFrame | None = None) -> Dat
 
 
 def hash_index(value: Column, modulo: int) -> Column:
-    return F.pmod(F.xxhash64(value), F.lit(modulo))
+    """A slot from the first digits of the text's digest, as any engine can repeat it."""
+    return F.conv(F.substring(F.md5(value.cast("string")), 1, 8), 16, 10).cast("long") % modulo
 
 
 def hash_bits(value: Column, modulo: int, bits: int = 8) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,12 +34,13 @@ def _rescale(cells: DataFrame, dim: str, other: str, measure: str, weights: Data
 
 
 def fit_weights(
-    cells: DataFrame, dims: tuple[str, str], measure: str, targets: DataFrame, sweeps: int = 10, every: int = 2
+    cells: DataFrame, dims: tuple[str, str], measure: str, targets: DataFrame, tolerance: float = 1e-6, sweeps: int | None = None
 ) -> DataFrame:
     """(dim, value, weight): non-negative w with sum(w_i w_j cell_ij) equal to both targets.
 
-    Iterative proportional fitting: each half-step is one join and one aggregation.
-    ``targets`` holds (dim, value, total), values as text.
+    Iterative proportional fitting: each half-step is one join and one aggregation. Sweeps end when no
+    weight moves by more than ``tolerance`` of itself, or when the moves no longer fall (targets that
+    no weights can meet), or after ``sweeps`` if given. ``targets`` holds (dim, value, total), values as text.
     """
     d0, d1 = dims
     table = cut_lineage(
@@ -46,11 +49,17 @@ def fit_weights(
     goal = {d: targets.where(F.col("dim") == d) for d in dims}
     w1 = table.select(F.col(d1).alias("value")).distinct().withColumn("weight", F.lit(1.0))
     w0 = None
-    for sweep in range(1, sweeps + 1):
+    least, stale = float("inf"), 0
+    for sweep in count(1):
         w0 = _rescale(table, d0, d1, measure, w1, goal[d0])
-        w1 = _rescale(table, d1, d0, measure, w0, goal[d1])
-        if sweep % every == 0 and sweep < sweeps:
-            w1 = cut_lineage(w1)
+        new = cut_lineage(_rescale(table, d1, d0, measure, w0, goal[d1]))
+        change = F.abs(F.try_divide(F.col("weight") - F.col("_was"), F.col("_was")))
+        moved = new.join(w1.select("value", F.col("weight").alias("_was")), "value").agg(F.max(change)).first()[0] or 0.0
+        w1 = new
+        stale = 0 if moved < least * 0.99 else stale + 1
+        least = min(least, moved)
+        if moved <= tolerance or stale == 3 or sweep == sweeps:
+            break
     return w0.select(F.lit(d0).alias("dim"), "*").unionByName(w1.select(F.lit(d1).alias("dim"), "*"))
 
 

@@ -221,17 +221,20 @@ def metric_rows(spark: SparkSession, found: Sequence[Mapping[str, Any]], name: s
     """Result table of one named row of metrics per model."""
     if not found:
         return spark.createDataFrame([], f"{name} string")
-    metrics = [c for c in found[0] if c != name]
+    metrics = [c for c in max(found, key=len) if c != name]
     schema = ", ".join([f"{name} string", *[f"{m} double" for m in metrics]])
-    return spark.createDataFrame([tuple([r[name], *[r[m] for m in metrics]]) for r in found], schema)
+    return spark.createDataFrame([tuple([r[name], *[r.get(m) for m in metrics]]) for r in found], schema)
 
 
 def per_label(train: DataFrame, test: DataFrame, labels: Sequence[str], make: Callable[[], Estimator]) -> DataFrame:
-    """One model per label column; (label_name, metrics...). A label with one class only is left out."""
+    """One model per label column; (label_name, metrics...). A label with one class only has null metrics."""
     found = []
     # a label with one class only has no model
     ends = train.agg(*[F.struct(F.min(c), F.max(c)).alias(c) for c in labels]).first()
-    for name in [c for c in labels if ends[c][0] != ends[c][1]]:
+    for name in labels:
+        if ends[name][0] == ends[name][1]:
+            found.append({"label_name": name})
+            continue
         model = make().fit(train.withColumn("label", F.col(name).cast("double")))
         found.append({"label_name": name, **classification_metrics(score_rows(model, test, name)).first().asDict()})
     return metric_rows(train.sparkSession, found, "label_name")

@@ -14,6 +14,7 @@ from tallyflow.operators import features as fe
 from tallyflow.operators import models as md
 from tallyflow.operators.profile import top_by_property
 from tallyflow.operators.splits import stratified
+from tallyflow.session import cut_lineage
 
 # Screens of the ablation.
 MIN_APP_VARIANCE = 0.09
@@ -78,11 +79,13 @@ def vectors(rows: DataFrame, people: DataFrame, key: str, label: str, clean_rows
     ready = joined.withColumn("names", F.coalesce("names", F.array().cast("array<string>")))
     if clean_rows:
         ready = ready.where((F.size("names") > 0) | (F.col("part") == "test"))
-    ready = ready.persist()
-    model = CountVectorizer(inputCol="names", outputCol="features", binary=True, minDF=1).fit(ready.where("part = 'train'"))
-    if not model.vocabulary:
+    ready = cut_lineage(ready)
+    # a slot for every feature that occurs; the vectorizer would else stop at its default number
+    slots = ready.where("part = 'train'").select(F.explode("names").alias("f")).agg(F.countDistinct("f")).first()[0]
+    if not slots:
         raise ValueError("no feature passes the screens of this variant")
-    return model.transform(ready).drop("names")
+    counts = CountVectorizer(inputCol="names", outputCol="features", binary=True, minDF=1, vocabSize=slots)
+    return counts.fit(ready.where("part = 'train'")).transform(ready).drop("names")
 
 
 def ablation(
@@ -101,19 +104,18 @@ def ablation(
 ) -> DataFrame:
     """(variant, average_precision) on the stratified test devices. ``installs`` holds (key, app)."""
     fit = fit or (lambda train: md.l1_path(train)[0])
-    placed = stratified(people, [key], label, test_share).persist()
-    train_people = placed.where("part = 'train'").drop("part").persist()
-    installs = installs.distinct().persist()
+    placed = cut_lineage(stratified(people, [key], label, test_share))
+    train_people = placed.where("part = 'train'").drop("part")
+    installs = cut_lineage(installs.distinct())
     tops = {
-        p: top_by_property(installs.join(train_people.select(key), key), train_people, key, p, "app", min_devices, cutoff).persist()
+        p: cut_lineage(top_by_property(installs.join(train_people.select(key), key), train_people, key, p, "app", min_devices, cutoff))
         for p in prop
     }
     results = []
     for v in variants:
         rows = feature_rows(v, installs, placed, train_people, key, prop, tops, min_app_variance, min_model_variance)
-        data = vectors(rows, placed, key, label, v.clean_rows).persist()
+        data = cut_lineage(vectors(rows, placed, key, label, v.clean_rows))
         model = fit(data.where("part = 'train'"))
         found = ev.average_precision(md.score_rows(model, data.where("part = 'test'"))).first()
         results.append((v.name, found["average_precision"]))
-        data.unpersist()
     return people.sparkSession.createDataFrame(results, "variant string, average_precision double")

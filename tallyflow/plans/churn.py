@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyflow.functions.dates import churned, horizon_label
 from tallyflow.operators import models as md
 from tallyflow.operators.splits import random_split
+from tallyflow.session import cut_lineage
 
 
 def labelled(df: DataFrame, start: str, end: str, months: Sequence[int] = range(1, 13), horizon_days: int = 365) -> DataFrame:
@@ -25,6 +26,6 @@ def horizon_models(rows: DataFrame, key: str, dims: Sequence[str], labels: Seque
     parts = random_split(rows, [key], [0.7, 0.3])
     train, test = md.prepare(parts[0], [parts[1]], dims, [])
     keep = ["features", *labels]
-    return md.per_label(train.select(*keep).persist(), test.select(*keep).persist(), labels, estimator)
+    return md.per_label(cut_lineage(train.select(*keep)), cut_lineage(test.select(*keep)), labels, estimator)
 
 

@@ -9,6 +9,7 @@ from tallyflow.functions.text import short_text_features
 from tallyflow.operators import models as md
 from tallyflow.operators.features import interactions, min_max
 from tallyflow.operators.splits import random_split
+from tallyflow.session import cut_lineage
 
 FEATURES = (
     "tweet_length", "got_link", "num_of_hashtags", "num_of_user_tags", "exclamation_mark_count",
@@ -31,7 +32,7 @@ def feature_columns() -> list[str]:
 def classify(df: DataFrame, key: str, text: str, label: str, estimator=None):
     """(metrics of the hold-out rows, predictions of the unlabelled rows)."""
     ready = md.assembler(feature_columns()).transform(featured(df, text)).select(key, label, "features")
-    ready = ready.withColumnRenamed(label, "label").persist()
+    ready = cut_lineage(ready.withColumnRenamed(label, "label"))
     train, test = random_split(ready.where("label is not null"), [key], [0.7, 0.3])
     model = (estimator or md.RandomForestClassifier(numTrees=20, maxDepth=6, seed=30)).fit(train)
     unlabelled = md.probability(model.transform(ready.where("label is null"))).select(key, "score", "prediction")

@@ -39,12 +39,10 @@ def read_delimited(
     sep: str = "\t",
     header: bool = False,
     timestamp_format: str | None = None,
-    rows: int | None = None,
 ) -> DataFrame:
-    """Delimited text, plain or gzip; ``rows`` is the reader's own row limit."""
+    """Delimited text, plain or gzip."""
     options: dict[str, Any] = {"timestampFormat": timestamp_format} if timestamp_format else {}
-    df = spark.read.options(**options).csv(path, schema=schema, sep=sep, header=header)
-    return df if rows is None else df.limit(rows)
+    return spark.read.options(**options).csv(path, schema=schema, sep=sep, header=header)
 
 
 def read_csv_with(
