@@ -94,7 +94,7 @@ def test_merged_transforms():
             symbols[np.cumsum(sizes) - 1] = 0
             parts.append((symbols, sizes))
         shards = [Shard(s, n, depth) for s, n in parts]
-        from_second, shared = merge(*shards, depth)
+        rows, block = merge(*shards, depth, prune=3)
 
         def rotation(which, place):
             symbols, sizes = parts[which]
@@ -102,14 +102,17 @@ def test_merged_transforms():
             k = int(np.searchsorted(ends, place, "right"))
             own = symbols[ends[k] - sizes[k] : ends[k]].tolist()
             at = place - (ends[k] - sizes[k])
-            return ((own[at:] + own[:at]) * (depth // len(own) + 2))[:depth]
-
-        taken = [iter(shards[0].rows.tolist()), iter(shards[1].rows.tolist())]
-        rows = [rotation(int(w), next(taken[int(w)])) for w in from_second]
-        assert rows == sorted(rows)
-        for k in range(1, len(rows)):
-            common = next((d for d in range(depth) if rows[k][d] != rows[k - 1][d]), depth)
-            assert shared[k] == common
+            return tuple(((own[at:] + own[:at]) * (depth // len(own) + 2))[:depth])
+
+        n = len(shards[0].rows)
+        every = [rotation(int(k >= n), int(p)) for k, p in enumerate(np.concatenate([s.rows for s in shards]))]
+        assert every[:n] == sorted(every[:n]) and every[n:] == sorted(every[n:])
+        both = set(every[:n]) & set(every[n:])
+        assert sorted(rows.tolist()) == [k for k, r in enumerate(every) if r in both]
+        merged = [every[k] for k in rows]
+        assert merged == sorted(merged)
+        number = {r: k for k, r in enumerate(sorted(both))}
+        assert [number[r] for r in merged] == block.tolist()
 
 
 # near-duplicates
