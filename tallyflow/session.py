@@ -23,8 +23,8 @@ def local_session(cores: str | int = 8, shuffle_partitions: int = 8) -> SparkSes
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for intermediate tables: ``spark.checkpoint.dir``, or one in the warehouse where it is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder for intermediate tables: ``spark.checkpoint.dir`` or the one that the caller has set, else one in the warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     return (named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/.scratch").rstrip("/")
 
 
