@@ -8,11 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
-@pytest.fixture(scope="session", autouse=True)
-def scratch(spark, tmp_path_factory):
-    spark.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
-
-
 @pytest.fixture(scope="session")
 def make(spark):
     """Documents from (doc_id, text, lang, source) tuples."""
