@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyflow.operators.features import binary_codes, composites, cyclical, sorted_dictionary, with_index
+from tallyflow.operators.features import composites
+from tallyflow.operators.ordering import numbered
+from tallyflow.session import cut_lineage
 
 # Columns of the full click log, by role.
 CATEGORICAL = (
@@ -36,18 +39,39 @@ class ClickSpec:
     weight: str = "impressions"
 
 
+# Dictionary entries that go to every task; a longer dictionary is joined by shuffle.
+BROADCAST_ENTRIES = 500_000
+
+
+def value_numbers(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value, idx): the distinct texts of all columns, numbered in order, from one pass over the rows."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    long = rows.select(F.explode(cells).alias("x")).select("x.*").where(F.col("value").isNotNull()).distinct()
+    return cut_lineage(numbered(long, ["value"], ["column"]))
+
+
 def prepare(rows: DataFrame, spec: ClickSpec, keep: Sequence[str] = ()) -> DataFrame:
-    """Dense category ids, 0/1 codes, sine and cosine columns, label and weight."""
+    """Dense category ids, 0/1 codes, sine and cosine columns, label and weight.
+
+    All dictionaries and periods come from one pass over the rows and the ends of the two-valued
+    columns from another, however many columns there are.
+    """
     filled = rows.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("unknown")) for c in spec.categorical})
     base = composites(filled, spec.composite)
-    # all statistics come from the base rows, so the plan grows by one branch per column
+    ids = [*spec.categorical, *spec.composite]
+    numbers = value_numbers(base, [*ids, *spec.cyclical])
+    sizes = {r["column"]: r["count"] for r in numbers.groupBy("column").count().collect()}
     out = base
-    for c in spec.binary:
-        out = binary_codes(out, c, c, source=base)
+    if spec.binary:
+        ends = base.agg(*[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c) for c in spec.binary]).first()
+        codes = {c: F.when(F.col(c) == F.lit(ends[c]["lo"]), 0).when(F.col(c) == F.lit(ends[c]["hi"]), 1) for c in spec.binary}
+        out = out.withColumns(codes)
     for c in spec.cyclical:
-        out = cyclical(out, c, source=base)
-    ids = [*spec.categorical, *spec.composite]
+        angle = F.col(c) * (2 * math.pi / max(1, sizes.get(c, 0)))
+        out = out.withColumns({c + "_sin": F.sin(angle), c + "_cos": F.cos(angle)})
     for c in ids:
-        out = with_index(out, c, sorted_dictionary(base, c), "_id", unknown=False).drop(c).withColumnRenamed("_id", c)
+        known = numbers.where(F.col("column") == c).select(F.col("value").alias("_v"), F.col("idx").alias("_i"))
+        known = F.broadcast(known) if sizes.get(c, 0) <= BROADCAST_ENTRIES else known
+        out = out.join(known, F.col(c) == F.col("_v"), "left").withColumn(c, F.col("_i")).drop("_v", "_i")
     waves = [f"{c}_{w}" for c in spec.cyclical for w in ("sin", "cos")]
     return out.select(*keep, *ids, *spec.binary, *waves, spec.label, spec.weight)
