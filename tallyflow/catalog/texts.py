@@ -81,7 +81,8 @@ def _(t):
 
 
 PAIR_SQL = TF_SQL.replace("from documents), w as", "from documents), first as (select text, min(doc_id) as doc_id, count(*) as copies from c group by 1), w as").replace(
-    "as token from c)", "as token from first)").replace("(select count(*) from documents)", "(select count(*) from first)") + """,
+    "as token from c)", "as token from first)").replace(
+    "then count(*) else 0 end as df from tf group by 1", "then sum(copies) else 0 end as df from tf join first using (doc_id) group by 1") + """,
   u as (select doc_id, token, weight / sqrt(sum(weight * weight) over (partition by doc_id)) as weight from vec),
   s as (select a.doc_id as a, b.doc_id as b, sum(a.weight * b.weight) as similarity from u a join u b on a.token = b.token and a.doc_id < b.doc_id group by 1, 2)"""
 
@@ -90,10 +91,20 @@ def one_per_text(t):
     return sm.distinct_texts(t.documents, "doc_id", "text")
 
 
-@case("SIM4_similar_pairs", PAIR_SQL + " select a, b, round(similarity, 6) as similarity from s where similarity >= 0.7")
+# pairs of equal texts are those of one representative
+@case("SIM4_text_members", TF_SQL.split(", w as (")[0] + " select doc_id, min(doc_id) over (partition by text) as representative, count(*) over (partition by text) as copies from c")
 def _(t):
-    vectors = sm.unit(sm.tf_idf(one_per_text(t), "doc_id", "text", cleaned=True), "doc_id")
-    return rounded(sm.similar_pairs(vectors, "doc_id", 0.7), "similarity")
+    return sm.text_members(t.documents, "doc_id", "text")
+
+
+@case("SIM4_similar_pairs", PAIR_SQL + """ select a, b, round(similarity, 6) as similarity, x.copies as a_copies, y.copies as b_copies
+  from s join first x on x.doc_id = a join first y on y.doc_id = b where similarity >= 0.7""")
+def _(t):
+    items = one_per_text(t)
+    vectors = sm.unit(sm.tf_idf(items, "doc_id", "text", cleaned=True, copies="copies"), "doc_id")
+    pairs = rounded(sm.similar_pairs(vectors, "doc_id", 0.7), "similarity")
+    copies = lambda end: items.select(F.col("doc_id").alias(end), F.col("copies").alias(f"{end}_copies"))
+    return pairs.join(copies("a"), "a").join(copies("b"), "b")
 
 
 BENCH_SQL = TF_SQL.replace("from documents), w as", "from (select 'd' || doc_id as doc_id, text from documents union all select 'b' || item_id, text from benchmark)), w as").replace(
