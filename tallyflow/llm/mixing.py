@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyflow.llm.tables import text_or_empty, whole_row
+from tallyflow.llm.tables import staged, text_or_empty, whole_row
 
 PIECE_ROWS = 20_000
 
@@ -67,11 +67,11 @@ def with_copies(
 
     The prefix sum has two levels. Pieces of a source (a size class, or parts of a large one, as
     many as its count asks for) are counted and summed up; inside a piece rows are numbered. No
-    task holds a whole source. Null ids and null sources are values like others, repeated rows
+    task holds a whole source. The input, which should be narrow, is written once for these steps. Null ids and null sources are values like others, repeated rows
     are documents of their own, a source without words takes no words. Columns ``source_size``,
     ``target`` and ``copies`` of the input are replaced; names that begin with ``_`` are for helpers.
     """
-    docs = docs.drop("source_size", "target", "copies")
+    docs = staged(docs.drop("source_size", "target", "copies"))
     bits = F.length(F.bin("size"))
     drop = F.greatest(bits - 4, F.lit(0))
     shifted = F.call_function("shiftright", F.col("size"), drop)
