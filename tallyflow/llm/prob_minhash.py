@@ -24,8 +24,9 @@ SIMILARITY = 0.8
 REGISTERS = 256
 BAND_ROWS = 6
 BANDS = REGISTERS // BAND_ROWS
-#: Registers agree with a standard deviation of 0.025 at 0.8: this is more than five of them below.
-LEAST_AGREEING = 0.66
+#: Centres of a bucket in the second round, and bands that each band is joined with in the third.
+CENTRES = 4
+REFINING = 2
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -95,11 +96,10 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
     return float((1.0 / (above[upto][both] / x[both] + below[upto][both] / y[both])).sum())
 
 
-def signature_column():
-    """A column function: text -> struct<bands:array<bigint>,sketch:binary>; no bands without words."""
+def bands_column():
+    """A column function: text -> array<bigint> of BANDS digests; none without words."""
 
     def sign(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        kind = [pa.field("bands", pa.list_(pa.int64())), pa.field("sketch", pa.binary())]
         for column in batches:
             parts = []
             for start, stop in spans.slices(column):
@@ -110,25 +110,12 @@ def signature_column():
                 for k in range(BAND_ROWS):
                     band = band * np.uint64(spans.BASE) + winners[:, k : BANDS * BAND_ROWS : BAND_ROWS]
                 band = spans.mixed_bits(band)[full].astype(np.int64)
-                sketch = (winners >> np.uint64(40)).astype(np.uint8)
                 ends = np.concatenate([[0], np.cumsum(full * BANDS)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(band.ravel()))
-                parts.append(pa.StructArray.from_arrays([lists, pa.array([s.tobytes() for s in sketch], pa.binary())], fields=kind))
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.struct(kind))
+                parts.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(band.ravel())))
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int64()))
+            spans.release_memory()
 
-    return arrow_udf(sign, "struct<bands:array<bigint>,sketch:binary>", ArrowUDFType.SCALAR_ITER)
-
-
-def agreement_column():
-    """A column function: (sketch, sketch) -> share of equal registers."""
-
-    def agree(a: pa.Array, b: pa.Array) -> pa.Array:
-        if not len(a):
-            return pa.array([], pa.float64())
-        left, right = spans.flat(a)[0], spans.flat(b)[0]
-        return pa.array((left == right).reshape(len(a), REGISTERS).mean(axis=1))
-
-    return arrow_udf(agree, "double", ArrowUDFType.SCALAR)
+    return arrow_udf(sign, "array<bigint>", ArrowUDFType.SCALAR_ITER)
 
 
 def similarity_column():
@@ -147,9 +134,55 @@ def similarity_column():
             keys, at, which = np.unique(ids[start:stop].to_numpy(zero_copy_only=False), return_index=True, return_inverse=True)
             centres = vectors(a[start:stop].take(pa.array(at)))
             found += [probability_jaccard(centres[c], v) for c, v in zip(which, vectors(b[start:stop]), strict=True)]
+        spans.release_memory()
         return pa.array(found, pa.float64())
 
-    return arrow_udf(compare, "double", ArrowUDFType.SCALAR)
+    # not deterministic to the planner, which would else compare again for the filter
+    return arrow_udf(compare, "double", ArrowUDFType.SCALAR).asNondeterministic()
+
+
+def _starred(rows: DataFrame, order: list, centres: int) -> DataFrame:
+    """Pairs (a, b) of each bucket's first texts in ``order`` with its others of different classes."""
+    best = Window.partitionBy("bucket").orderBy(*order)
+    chosen = (
+        rows.withColumn("_rank", F.row_number().over(best))
+        .where(F.col("_rank") <= centres)
+        .select("bucket", F.col("rep").alias("a"), F.col("label").alias("_a_label"))
+    )
+    met = rows.join(chosen, "bucket").where((F.col("rep") != F.col("a")) & (F.col("label") != F.col("_a_label")))
+    return met.select("a", F.col("rep").alias("b")).distinct()
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose shingles are as similar as asked for."""
+    full = pairs.join(texts.withColumnsRenamed({"_id": "b", "_text": "_tb"}), "b").join(
+        texts.withColumnsRenamed({"_id": "a", "_text": "_ta"}), "a"
+    )
+    scored = full.select("a", "b", similarity_column()(F.col("a"), F.col("_ta"), F.col("_tb")).alias("similarity"))
+    return staged(scored.where(F.col("similarity") >= similarity))
+
+
+def _joined_labels(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """Components of new links and of what has been joined before."""
+    if links.isEmpty():
+        return labels
+    before = labels.where("node != label").select(F.col("node").alias("a"), F.col("label").alias("b"))
+    return component_labels(links.select("a", "b").unionAll(before))
+
+
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    known = rows.drop("label").join(labels, F.col("rep") == F.col("node"), "left")
+    return staged(known.withColumn("label", F.coalesce("label", "rep")).drop("node"))
+
+
+def _refined(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Rows of the buckets that still hold several classes, in buckets of that band and one more."""
+    open_buckets = rows.groupBy("bucket").agg(F.min("label").alias("_l"), F.max("label").alias("_m")).where("_l != _m").select("bucket")
+    open_rows = rows.join(open_buckets, "bucket").select("bucket", "rep", "label")
+    bands = texts.select("rep", F.posexplode("bands").alias("_at", "bucket"), "bands")
+    more = F.array(*[F.xxhash64("bucket", F.get("bands", (F.col("_at") + k) % BANDS)) for k in range(1, REFINING + 1)])
+    keyed = open_rows.join(bands.select("rep", "bucket", more.alias("_more")), ["rep", "bucket"])
+    return keyed.select("rep", "label", F.explode("_more").alias("bucket"))
 
 
 def near_duplicates(
@@ -168,78 +201,49 @@ def near_duplicates(
 
     Equal texts are one text from the start: its smallest id stands for it. Texts that share a band
     meet in a bucket. In a bucket, texts are compared with its centre, the text with the most
-    neighbours over all buckets; where texts of a bucket are still of different classes, further
-    centres follow, eight times as many in each round, until no pair of different classes is left
-    untested. So a large group of copies costs one comparison for each member, and no link is lost to a cap.
+    neighbours over all buckets, so a large group of copies costs one comparison for each member.
+    Where a bucket still holds several classes, its next centres follow, and then its texts meet in
+    finer buckets of two bands, in which only very similar texts stay together, with centres by
+    chance. A text has 42 buckets and up to 84 finer ones, so the work grows with the texts and not with
+    the pairs of a bucket; the chance that two texts at 0.8 share no finer bucket is 1 in 400.
     """
     signed = docs.select(
         F.col(id).cast("long").alias("_id"), F.md5(text_or_empty(text)).alias("_digest"), F.col(text).alias("_text")
     )
-    own = staged(signed.select("_id", "_digest", signature_column()(F.col("_text")).alias("_s")).select("_id", "_digest", "_s.*"))
+    own = staged(signed.select("_id", "_digest", bands_column()(F.col("_text")).alias("bands")))
     texts = staged(
         own.groupBy("_digest").agg(
-            F.min("_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
-            F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"),
+            F.min("_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.any_value("bands").alias("bands")
         )
     )
     rows = texts.where(F.col("rep").isNotNull()).select("rep", F.explode("bands").alias("bucket"))
     sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     rows = staged(rows.join(sizes, "bucket"))
     degrees = rows.groupBy("rep").agg(F.sum("size").alias("degree"))
-    rows = staged(rows.select("bucket", "rep").join(degrees, "rep"))
-    members = rows.select(F.col("rep").alias("_rep")).distinct()
-    wanted = staged(signed.select("_id", "_text").join(members, F.col("_id") == F.col("_rep"), "left_semi").dropDuplicates(["_id"]))
-    sketches = texts.select("rep", "sketch")
-
-    links, tested, labels, centres = None, None, None, 1
-    while True:
-        labelled = rows if labels is None else rows.join(labels, F.col("rep") == F.col("node"), "left").select(
-            "bucket", "rep", "degree", F.coalesce("label", "rep").alias("label")
-        )
-        if labels is None:
-            labelled = labelled.withColumn("label", F.col("rep"))
-        best = Window.partitionBy("bucket").orderBy(F.desc("degree"), "rep")
-        chosen = (
-            labelled.withColumn("_rank", F.row_number().over(best))
-            .where(F.col("_rank") <= centres)
-            .select("bucket", F.col("rep").alias("a"), F.col("label").alias("_a_label"))
-        )
-        pairs = (
-            labelled.join(chosen, "bucket")
-            .where((F.col("rep") != F.col("a")) & (F.col("label") != F.col("_a_label")))
-            .select("a", F.col("rep").alias("b"))
-            .distinct()
-        )
-        if tested is not None:
-            both = tested.unionByName(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            pairs = pairs.join(both, ["a", "b"], "left_anti")
-        pairs = staged(pairs)
-        if pairs.isEmpty():
-            break
-        near = pairs.join(sketches.withColumnsRenamed({"rep": "b", "sketch": "_sb"}), "b").join(
-            sketches.withColumnsRenamed({"rep": "a", "sketch": "_sa"}), "a"
-        )
-        near = staged(near.where(agreement_column()(F.col("_sa"), F.col("_sb")) >= LEAST_AGREEING).select("a", "b"))
-        full = near.join(wanted.withColumnsRenamed({"_id": "b", "_text": "_tb"}), "b").join(
-            wanted.withColumnsRenamed({"_id": "a", "_text": "_ta"}), "a"
-        )
-        scored = full.select("a", "b", similarity_column()(F.col("a"), F.col("_ta"), F.col("_tb")).alias("similarity"))
-        found = staged(scored.where(F.col("similarity") >= similarity))
-        links = found if links is None else links.unionByName(found)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        labels = component_labels(links.select("a", "b"))
-        centres *= 8
-
-    if links is None:
-        classes = texts.select("_digest", "copies", F.col("rep").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    else:
-        ends = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node")))
-        degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("_links"))
-        known = labels.join(degree, "node")
-        classes = texts.select("_digest", "copies", "rep").join(known, F.col("rep") == F.col("node"), "left").select(
-            "_digest", "copies", F.coalesce("label", "rep").alias("class_id"), F.coalesce("_links", F.lit(0)).alias("n_links")
-        )
-    classes = staged(classes)
+    rows = staged(rows.select("bucket", "rep").join(degrees, "rep").withColumn("label", F.col("rep")))
+    members = rows.select(F.col("rep").alias("_rep")).distinct().hint("merge")
+    wanted = signed.select("_id", "_text").join(members, F.col("_id") == F.col("_rep"), "left_semi")
+    wanted = staged(wanted.dropDuplicates(["_id"]))
+
+    by_degree = [F.desc("degree"), F.col("rep")]
+    pairs = staged(_starred(rows, by_degree, 1))
+    first = _verified(pairs, wanted, similarity)
+    labels = component_labels(first.select("a", "b"))
+    rows = _labelled(rows, labels)
+    again = _starred(rows, by_degree, CENTRES).join(pairs, ["a", "b"], "left_anti")
+    second = _verified(again, wanted, similarity)
+    labels = _joined_labels(second, labels)
+    finer = _starred(_refined(_labelled(rows, labels), texts), [F.xxhash64("rep"), F.col("rep")], 1)
+    third = _verified(finer.join(pairs, ["a", "b"], "left_anti"), wanted, similarity)
+    labels = _joined_labels(third, labels)
+
+    ends = F.explode(F.array("a", "b")).alias("node")
+    degree = first.unionAll(second).unionAll(third).select(ends).groupBy("node").agg(F.count(F.lit(1)).alias("_links"))
+    known = labels.join(degree, "node")
+    classes = texts.select("_digest", "copies", "rep").join(known, F.col("rep") == F.col("node"), "left")
+    classes = staged(classes.select(
+        "_digest", "copies", F.coalesce("label", "rep").alias("class_id"), F.coalesce("_links", F.lit(0)).alias("n_links")
+    ))
     return own.select("_id", "_digest").join(classes, "_digest").select(F.col("_id").alias(id), "class_id", "copies", "n_links")
 
 
