@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import string
 import sys
-from collections.abc import Collection, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 from pyspark import cloudpickle
@@ -17,6 +18,8 @@ VOCABULARY = "word_bpe_49k.json"
 #: A run of these after letters is a unit of its own to this tokenizer.
 MARKS = string.punctuation
 END = "</w>"
+#: Bytes of texts that are encoded at a time.
+SLICE_BYTES = 1 << 19
 
 
 def default_path() -> str:
@@ -37,40 +40,47 @@ def gathered(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndar
 
 
 class CachedEncoder:
-    """Encodes texts piece by piece, where pieces are what stands between blanks.
+    """Encodes texts piece by piece, where pieces are what stands between white space.
 
     This tokenizer lower-cases, turns all white space into one blank and drops it, and nothing in
     it looks across a blank, so the ids of a text are those of its pieces in a row. Ids of pieces
-    are kept between texts, up to ``most`` pieces or ``most_bytes``; then the store begins anew.
+    are kept between texts in arrays sorted by 64-bit digests, up to ``most`` pieces; then the
+    store begins anew. So memory is bounded, and two of a million pieces fall together once in 10**7 stores.
     """
 
-    def __init__(self, path: str | None = None, most: int = 300_000, most_bytes: int = 32 << 20):
+    def __init__(self, path: str | None = None, most: int = 600_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads cost memory as well
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or default_path())
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.last = np.zeros(max(vocabulary.values()) + 1 + 64, bool)
         self.last[[i for token, i in vocabulary.items() if token.endswith(END)]] = True
-        self.most, self.most_bytes = most, most_bytes
+        self.most = most
         self._reset()
 
     def _reset(self) -> None:
-        self.number: dict[bytes, int] = {}
+        self.keys = np.zeros(0, np.uint64)
+        self.begin = self.size = np.zeros(0, np.int64)
         self.ids = np.zeros(1 << 16, np.uint32)
-        self.begin = np.zeros(1 << 16, np.int64)
-        self.size = np.zeros(1 << 16, np.int64)
-        self.used = self.held = 0
+        self.used = 0
 
-    def _store(self, pieces: Sequence[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
-        at, n = len(self.number), len(pieces)
+    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return at, self.keys[at] == keys
+
+    def _store(self, keys: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
         self.ids = grown(self.ids, self.used + len(ids))
-        self.begin, self.size = grown(self.begin, at + n), grown(self.size, at + n)
         self.ids[self.used : self.used + len(ids)] = ids
-        self.size[at : at + n] = sizes
-        self.begin[at : at + n] = self.used + np.cumsum(sizes) - sizes
+        begin = self.used + np.cumsum(sizes) - sizes
         self.used += len(ids)
-        self.held += sum(map(len, pieces))
-        self.number.update(zip(pieces, range(at, at + n), strict=True))
+        every = np.concatenate([self.keys, keys])
+        order = np.argsort(every, kind="stable")
+        self.keys = every[order]
+        self.begin = np.concatenate([self.begin, begin])[order]
+        self.size = np.concatenate([self.size, sizes])[order]
 
     def _each(self, pieces: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
@@ -92,25 +102,30 @@ class CachedEncoder:
         none = np.zeros(0, np.int64)
         return np.concatenate([none.astype(np.uint32), *ids]), np.concatenate([none, *sizes])
 
-    def _learn(self, pieces: Collection[bytes]) -> None:
-        letters, marked, whole, other = [], [], [], []
+    def _learn(self, pieces: Sequence[bytes]) -> None:
+        """Stores new pieces: letters alone, letters with a tail of marks, and others."""
+        letters, other, marked, whole = {}, {}, [], []
         for piece in pieces:
             text = piece.decode()
             if text.isalpha():
-                letters.append(piece)
+                letters[piece] = None
             elif (stem := text.rstrip(MARKS)) and stem.isalpha():
-                marked += [stem.encode(), piece[len(stem.encode()) :]]
+                cut = len(stem.encode())
+                marked += [piece[:cut], piece[cut:]]
                 whole.append(piece)
             else:
-                other.append(piece)
-        letters += set(marked[::2]).difference(self.number).difference(letters)
-        other += set(marked[1::2]).difference(self.number).difference(other)
-        self._store(letters, *self._together(letters))
-        self._store(other, *self._each(other))
+                other[piece] = None
+        if marked:
+            _, known = self._find(piece_digests(marked))
+            letters |= {p: None for p, k in zip(marked[::2], known[::2], strict=True) if not k}
+            other |= {p: None for p, k in zip(marked[1::2], known[1::2], strict=True) if not k}
+        for new, encode in ((list(letters), self._together), (list(other), self._each)):
+            if new:
+                self._store(piece_digests(new), *encode(new))
         if whole:
-            parts = [self.number[p] for p in marked]
-            size = self.size[parts]
-            self._store(whole, gathered(self.ids, self.begin[parts], size), size[::2] + size[1::2])
+            at, _ = self._find(piece_digests(marked))
+            size = self.size[at]
+            self._store(piece_digests(whole), gathered(self.ids, self.begin[at], size), size[::2] + size[1::2])
 
     def encode_all(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (as ``spans.flat`` gives them) in a row, and where each text begins.
@@ -119,16 +134,22 @@ class CachedEncoder:
         """
         data = spans.LOWER[data]
         starts, ends, ranges = spans.word_spans(data, offsets)
-        _, first, which = np.unique(spans.SpanDigests(data)(starts, ends), return_index=True, return_inverse=True)
-        body = data.tobytes()
-        pieces = [body[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-        unknown = [p for p in pieces if p not in self.number]
-        if unknown:
-            if len(self.number) + 2 * len(unknown) > self.most or self.held > self.most_bytes:
+        keys, first, which = np.unique(spans.SpanDigests(data)(starts, ends), return_index=True, return_inverse=True)
+        _, known = self._find(keys)
+        if not known.all():
+            if len(self.keys) + 2 * int((~known).sum()) > self.most:
                 self._reset()
-                unknown = [p for p in pieces if p not in self.number]
-            self._learn(unknown)
-        codes = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))[which]
-        size = self.size[codes]
+                known[:] = False
+            body, first = data.tobytes(), first[~known]
+            self._learn([body[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
+        at, _ = self._find(keys)
+        at = at[which]
+        size = self.size[at] if len(at) else np.zeros(0, np.int64)
         before = np.concatenate([[0], np.cumsum(size)])
-        return gathered(self.ids, self.begin[codes], size), before[ranges]
+        return gathered(self.ids, self.begin[at] if len(at) else size, size), before[ranges]
+
+
+def piece_digests(pieces: Sequence[bytes]) -> np.ndarray:
+    ends = np.cumsum([len(p) for p in pieces])
+    starts = np.concatenate([[0], ends[:-1]])
+    return spans.SpanDigests(np.frombuffer(b"".join(pieces), np.uint8))(starts, ends)

@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyflow.llm import spans
-from tallyflow.llm.encoding import CachedEncoder
+from tallyflow.llm.encoding import SLICE_BYTES, CachedEncoder
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SEQUENCE = 4096
-MOST_OPEN = 4096
+MOST_OPEN = 1024
 PIECE = "_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -58,6 +58,7 @@ class SumOfSquaresPacker:
         while len(piece.ids) >= self.size:
             whole, piece = piece.cut(self.size)
             yield [whole]
+            piece.ids = piece.ids.copy()  # the whole text isn't kept with it
         s = len(piece.ids)
         if not s:
             return
@@ -160,7 +161,7 @@ def pack_documents(
         end = np.array([end_id], np.uint32)
         for batch in batches:
             keys = batch.column(0).to_pylist()
-            for start, stop in spans.slices(batch.column(1)):
+            for start, stop in spans.slices(batch.column(1), SLICE_BYTES):
                 ids, cuts = encoder.encode_all(*spans.flat(batch.column(1)[start:stop]))
                 for k in range(stop - start):
                     own = np.concatenate([ids[cuts[k] : cuts[k + 1]], end])
@@ -168,9 +169,12 @@ def pack_documents(
                 if rows:
                     yield batch_of(rows)
                     rows = []
+            spans.release_memory()
         filled(packer.close())
         for at in range(0, len(rows), 4096):
             yield batch_of(rows[at : at + 4096])
+        del encoder, packer, rows
+        spans.release_memory()
 
     narrow = docs.select(F.col(id).cast("long").alias("_id"), F.col(text).alias("_text"))
     return narrow.mapInArrow(pack, PIECE).withColumnRenamed("_id", id)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Iterator
 
@@ -12,12 +13,22 @@ from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 BASE = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 _POWERS: dict[str, np.ndarray] = {}
 
 
+def release_memory() -> None:
+    """Gives freed memory back to the machine. Python workers live on between tasks, and what they
+    keep counts against their executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def byte_set(inside: bytes | range | list[int]) -> np.ndarray:
     flags = np.zeros(256, bool)
     flags[list(inside)] = True

@@ -137,7 +137,7 @@ def write_token_store(
                           ("ids", pa.list_(pa.int64())), ("image", pa.binary())])
         for batch in batches:
             keys = batch.column(0).to_pylist()
-            for start, stop in spans.slices(batch.column(1)):
+            for start, stop in spans.slices(batch.column(1), encoding.SLICE_BYTES):
                 ids, cuts = encoder.encode_all(*spans.flat(batch.column(1)[start:stop]))
                 for k in range(stop - start):
                     held.append(ids[cuts[k] : cuts[k + 1]])
@@ -149,8 +149,11 @@ def write_token_store(
                         yield block()
                         number, before, used = number + 1, before + used, 0
                         names, held, ends = [], [], []
+            spans.release_memory()
         if ends:
             yield block()
+        del encoder
+        spans.release_memory()
 
     ordered = docs.select(F.col(id).cast("long").alias("_id"), F.col(text).alias("_text"))
     ordered = ordered.repartitionByRange(F.col("_id").asc_nulls_first()).sortWithinPartitions(
