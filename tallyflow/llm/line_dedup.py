@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyflow.llm.tables import WHITE, lower_ascii, text_or_empty, whole_row
+from tallyflow.llm.tables import WHITE, lower_ascii, staged, text_or_empty, whole_row
 
 
 def _lines(text: str) -> Column:
@@ -37,9 +37,10 @@ def drop_common_lines(
     of the largest id all keep the line. An empty table gives an empty table.
 
     Counting: keys are made distinct inside each row, exploded and pre-aggregated before the one
-    shuffle, so a line of a third of all documents costs one row per task. Positions to drop come
-    from a join with the frequent keys, which the engine may split where one key is hot, and
-    return to the texts as a mask per document, so rebuilding is linear in its lines.
+    shuffle, so a line of a third of all documents costs one row per task. The frequent keys are
+    written out, so that the join that finds the positions to drop is of two plain inputs, which the
+    engine can split where one key is hot. Positions return to the texts as a mask per document, so
+    rebuilding is linear in its lines.
     """
     row = [F.col(id).alias("_id"), F.xxhash64(text_or_empty(text)).alias("_text_hash")]
     keys = F.transform(_lines(text), lambda line: _key(line, min_chars))
@@ -51,6 +52,7 @@ def drop_common_lines(
         .where((F.col("_docs") >= min_docs) & F.col("_last").isNotNull())
         .select("_key", "_last")
     )
+    counted = staged(counted)
     places = docs.select(*row, F.posexplode(keys).alias("_pos", "_key")).where(F.col("_key").isNotNull())
     drops = (
         places.join(counted, "_key")
