@@ -19,7 +19,7 @@ VOCABULARY = "word_bpe_49k.json"
 MARKS = string.punctuation
 END = "</w>"
 #: Bytes of texts that are encoded at a time.
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 20
 
 
 def default_path() -> str:
@@ -48,7 +48,7 @@ class CachedEncoder:
     store begins anew. So memory is bounded, and two of a million pieces fall together once in 10**7 stores.
     """
 
-    def __init__(self, path: str | None = None, most: int = 600_000):
+    def __init__(self, path: str | None = None, most: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads cost memory as well
         from tokenizers import Tokenizer
 
