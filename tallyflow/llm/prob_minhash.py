@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Iterator
 
@@ -24,9 +25,13 @@ SIMILARITY = 0.8
 REGISTERS = 256
 BAND_ROWS = 6
 BANDS = REGISTERS // BAND_ROWS
-#: Centres of a bucket in the second round, and bands that each band is joined with in the third.
+#: Centres of a bucket in the second round; the third compares all pairs that agree in enough registers.
 CENTRES = 4
-REFINING = 2
+#: Share of the pairs at the asked similarity that may agree in fewer registers than the third round asks for.
+MISSED = 1e-6
+#: Texts of a block of a bucket, on average, and the most rows whose pairs are formed for all groups at once.
+BLOCK = 2048
+FEW = 32
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -96,8 +101,22 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
     return float((1.0 / (above[upto][both] / x[both] + below[upto][both] / y[both])).sum())
 
 
+def least_agreeing(similarity: float) -> int:
+    """So many registers agree for all but MISSED of the pairs at ``similarity``; registers agree independently."""
+    if not 0 < similarity < 1:
+        return REGISTERS if similarity >= 1 else 0
+    below = 0.0
+    for k in range(REGISTERS + 1):
+        chance = math.lgamma(REGISTERS + 1) - math.lgamma(k + 1) - math.lgamma(REGISTERS - k + 1)
+        below += math.exp(chance + k * math.log(similarity) + (REGISTERS - k) * math.log(1 - similarity))
+        if below > MISSED:
+            return k
+    return REGISTERS
+
+
 def bands_column():
-    """A column function: text -> array<bigint> of BANDS digests; none without words."""
+    """A column function: text -> BANDS digests, none without words, and a byte of each register."""
+    kind = [pa.field("bands", pa.list_(pa.int64())), pa.field("sketch", pa.binary())]
 
     def sign(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in batches:
@@ -111,11 +130,15 @@ def bands_column():
                     band = band * np.uint64(spans.BASE) + winners[:, k : BANDS * BAND_ROWS : BAND_ROWS]
                 band = spans.mixed_bits(band)[full].astype(np.int64)
                 ends = np.concatenate([[0], np.cumsum(full * BANDS)]).astype(np.int32)
-                parts.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(band.ravel())))
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int64()))
+                bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(band.ravel()))
+                sketch = spans.mixed_bits(winners[full]).astype(np.uint8)
+                ends = np.concatenate([[0], np.cumsum(full * REGISTERS)]).astype(np.int32)
+                sketch = pa.Array.from_buffers(pa.binary(), len(full), [None, pa.py_buffer(ends), pa.py_buffer(sketch.tobytes())])
+                parts.append(pa.StructArray.from_arrays([bands, sketch], fields=kind))
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.struct(kind))
             spans.release_memory()
 
-    return arrow_udf(sign, "array<bigint>", ArrowUDFType.SCALAR_ITER)
+    return arrow_udf(sign, "struct<bands:array<bigint>,sketch:binary>", ArrowUDFType.SCALAR_ITER).asNondeterministic()
 
 
 def similarity_column():
@@ -175,14 +198,99 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return staged(known.withColumn("label", F.coalesce("label", "rep")).drop("node"))
 
 
-def _refined(rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """Rows of the buckets that still hold several classes, in buckets of that band and one more."""
-    open_buckets = rows.groupBy("bucket").agg(F.min("label").alias("_l"), F.max("label").alias("_m")).where("_l != _m").select("bucket")
-    open_rows = rows.join(open_buckets, "bucket").select("bucket", "rep", "label")
-    bands = texts.select("rep", F.posexplode("bands").alias("_at", "bucket"), "bands")
-    more = F.array(*[F.xxhash64("bucket", F.get("bands", (F.col("_at") + k) % BANDS)) for k in range(1, REFINING + 1)])
-    keyed = open_rows.join(bands.select("rep", "bucket", more.alias("_more")), ["rep", "bucket"])
-    return keyed.select("rep", "label", F.explode("_more").alias("bucket"))
+def agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """In how many bytes the sketches (rows) agree."""
+    lanes = (x == y).view(np.uint64).sum(axis=1, dtype=np.uint64)
+    half = np.uint64(0x00FF00FF00FF00FF)
+    lanes = (lanes & half) + ((lanes >> np.uint64(8)) & half)
+    return ((lanes * np.uint64(0x0001000100010001)) >> np.uint64(48)).astype(np.int64)
+
+
+def _group_pairs(group: np.ndarray, own: np.ndarray, label: np.ndarray, cross: np.ndarray, sketch: np.ndarray, least: int):
+    """Places (i, j) of the pairs of a group with different labels that agree enough; of two blocks where ``cross``.
+
+    Rows are in order of their groups. Small groups take their next neighbours together, large ones a row at a time.
+    """
+    starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    sizes = np.diff(np.append(starts, len(group)))
+    ends = np.repeat(starts + sizes, sizes)
+    place = np.arange(len(group))
+
+    def enough(i: np.ndarray, j: np.ndarray):
+        differ = (label[i] != label[j]) & ~(cross[i] & (own[i] == own[j]))
+        i, j = i[differ], j[differ]
+        for at in range(0, len(i), BLOCK):
+            a, b = i[at : at + BLOCK], j[at : at + BLOCK]
+            found = agreeing(sketch[a], sketch[b]) >= least
+            if found.any():
+                yield a[found], b[found]
+
+    small = place[np.repeat(sizes <= FEW, sizes)]
+    for step in range(1, FEW):
+        small = small[small + step < ends[small]]
+        yield from enough(small, small + step)
+    for start, size in zip(starts[sizes > FEW], sizes[sizes > FEW], strict=True):
+        for k in range(start, start + size - 1):
+            others = np.arange(k + 1, start + size)
+            yield from enough(np.full(len(others), k), others)
+
+
+def _agreeing_pairs(least: int):
+    """A function from rows (group, own, cross, rep, label, sketch) in order of their groups to pairs (a, b, agree)."""
+
+    def found(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        group, own, label, cross, rep = (
+            rows.column(c).to_numpy(zero_copy_only=False) for c in ("group", "own", "label", "cross", "rep")
+        )
+        sketch = spans.flat(rows.column("sketch"))[0].reshape(-1, REGISTERS)
+        for i, j in _group_pairs(group, own, label, cross, sketch, least):
+            a, b = np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])
+            agree = agreeing(sketch[i], sketch[j])
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(agree)], ["a", "b", "agree"])
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            group = rows.column("group").to_numpy()
+            last = int(np.searchsorted(group, group[-1]))
+            # the last group may go on in the next batch
+            held = rows.slice(last)
+            if last:
+                yield from found(rows.slice(0, last))
+        if held is not None:
+            yield from found(held)
+
+    return pairs
+
+
+def _alike(rows: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b, agree), a < b, of one bucket and different classes that agree in enough registers.
+
+    Large buckets are cut into blocks by chance, and each two blocks are compared by themselves, so no
+    task has a whole bucket. Only pairs that agree enough become rows.
+    """
+    several = rows.groupBy("bucket").agg(F.min("label").alias("_l"), F.max("label").alias("_m"), F.count(F.lit(1)).alias("_size"))
+    several = several.where("_l != _m").select("bucket", F.ceil(F.col("_size") / BLOCK).cast("int").alias("_blocks"))
+    own = F.pmod(F.xxhash64("rep", "bucket"), F.col("_blocks")).cast("int")
+    met = rows.join(several, "bucket").select("bucket", "rep", "label", own.alias("own"), "_blocks")
+    signed = met.join(texts.where(F.col("rep").isNotNull()).select("rep", "sketch"), "rep")
+    dealt = signed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    group = F.xxhash64("bucket", F.least("own", "_other"), F.greatest("own", "_other"))
+    keyed = dealt.select(group.alias("group"), "own", (F.col("own") != F.col("_other")).alias("cross"), "rep", "label", "sketch")
+    ordered = keyed.repartition("group").sortWithinPartitions("group")
+    return ordered.mapInArrow(_agreeing_pairs(least_agreeing(similarity)), "a long, b long, agree long").distinct()
+
+
+def _other_classes(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose texts are not of one class yet."""
+    known = pairs
+    for end in ("a", "b"):
+        known = known.join(labels.select(F.col("node").alias(end), F.col("label").alias(f"_{end}_label")), end, "left")
+    return known.where(F.coalesce("_a_label", "a") != F.coalesce("_b_label", "b")).select(*pairs.columns)
 
 
 def near_duplicates(
@@ -202,19 +310,20 @@ def near_duplicates(
     Equal texts are one text from the start: its smallest id stands for it. Texts that share a band
     meet in a bucket. In a bucket, texts are compared with its centre, the text with the most
     neighbours over all buckets, so a large group of copies costs one comparison for each member.
-    Where a bucket still holds several classes, its next centres follow, and then its texts meet in
-    finer buckets of two bands, in which only very similar texts stay together, with centres by
-    chance. A text has 42 buckets and up to 84 finer ones, so the work grows with the texts and not with
-    the pairs of a bucket; the chance that two texts at 0.8 share no finer bucket is 1 in 400.
+    Where a bucket still holds several classes, its next centres follow. Then all pairs of a bucket that
+    are of different classes are compared by their registers, and each pair that agrees in enough of
+    them is verified unless its texts were joined before: first each text's likeliest partner, then all
+    that are left. A pair at ``similarity`` is lost if it shares no band, or agrees in too few registers
+    (MISSED); none for the size of its buckets.
     """
     signed = docs.select(
         F.col(id).cast("long").alias("_id"), F.md5(text_or_empty(text)).alias("_digest"), F.col(text).alias("_text")
     )
-    own = staged(signed.select("_id", "_digest", bands_column()(F.col("_text")).alias("bands")))
+    own = staged(signed.select("_id", "_digest", bands_column()(F.col("_text")).alias("_signed")))
     texts = staged(
         own.groupBy("_digest").agg(
-            F.min("_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.any_value("bands").alias("bands")
-        )
+            F.min("_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.any_value("_signed").alias("_signed")
+        ).select("_digest", "rep", "copies", "_signed.*")
     )
     rows = texts.where(F.col("rep").isNotNull()).select("rep", F.explode("bands").alias("bucket"))
     sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -230,15 +339,26 @@ def near_duplicates(
     first = _verified(pairs, wanted, similarity)
     labels = component_labels(first.select("a", "b"))
     rows = _labelled(rows, labels)
-    again = _starred(rows, by_degree, CENTRES).join(pairs, ["a", "b"], "left_anti")
+    again = staged(_starred(rows, by_degree, CENTRES).join(pairs, ["a", "b"], "left_anti"))
     second = _verified(again, wanted, similarity)
     labels = _joined_labels(second, labels)
-    finer = _starred(_refined(_labelled(rows, labels), texts), [F.xxhash64("rep"), F.col("rep")], 1)
-    third = _verified(finer.join(pairs, ["a", "b"], "left_anti"), wanted, similarity)
-    labels = _joined_labels(third, labels)
-
+    compared = pairs.unionAll(again).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    alike = staged(_alike(_labelled(rows, labels), texts, similarity).join(compared, ["a", "b"], "left_anti"))
+    links = first.unionAll(second)
+    if not alike.isEmpty():
+        either = alike.select("a", "b", "agree").unionAll(alike.select(F.col("b").alias("a"), F.col("a").alias("b"), "agree"))
+        best = either.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
+        best = staged(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        third = _verified(best, wanted, similarity)
+        labels = _joined_labels(third, labels)
+        left = _other_classes(alike.select("a", "b").join(best, ["a", "b"], "left_anti"), labels)
+        fourth = _verified(left, wanted, similarity)
+        labels = _joined_labels(fourth, labels)
+        links = links.unionAll(third).unionAll(fourth)
+
+    links = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     ends = F.explode(F.array("a", "b")).alias("node")
-    degree = first.unionAll(second).unionAll(third).select(ends).groupBy("node").agg(F.count(F.lit(1)).alias("_links"))
+    degree = links.select(ends).groupBy("node").agg(F.count(F.lit(1)).alias("_links"))
     known = labels.join(degree, "node")
     classes = texts.select("_digest", "copies", "rep").join(known, F.col("rep") == F.col("node"), "left")
     classes = staged(classes.select(

@@ -13,6 +13,7 @@ from tallyflow.llm import repeats, toxicity
 from tallyflow.llm.bwt_merge import Shard, merge
 from tallyflow.llm.components import component_labels
 from tallyflow.llm.order_minhash import _multipliers, edited, fingerprint_report, fingerprints, likeness
+from tallyflow.llm import prob_minhash
 from tallyflow.llm.prob_minhash import near_duplicates, one_of_each, probability_jaccard, signatures
 from tallyflow.llm.repeats import remove_repeats
 from tallyflow.llm.tables import read_table
@@ -181,6 +182,41 @@ def test_classes(copies):
     assert kept == set(plain_classes(rows).values())
 
 
+def test_links_far_from_the_centres_are_found(make):
+    """Texts of one bucket that are near to one other text each, and to no centre."""
+    shared, rows = [f"s{k}" for k in range(170)], []
+    for k in range(80):
+        own = shared + [f"o{k}x{i}" for i in range(36)]
+        twin = list(own)
+        for place in (172, 180, 188, 196):
+            twin[place] = f"t{k}"
+        rows += [(2 * k, " ".join(own)), (2 * k + 1, " ".join(twin))]
+    sets = [shingles(t) for _, t in rows[:3]]
+    assert plain_similarity(sets[0], sets[1]) >= 0.8 > plain_similarity(sets[0], sets[2])
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates(make(rows)).collect()}
+    assert got == {k: k - k % 2 for k, _ in rows}
+
+
+def test_pairs_of_blocks(monkeypatch):
+    """Every pair of a group that differs in class and block is found, whether the group is small or large."""
+    rng = np.random.default_rng(22)
+    group = np.sort(np.concatenate([rng.integers(0, 30, 100), np.full(90, 40)]))
+    own, label = rng.integers(0, 2, len(group)), rng.integers(0, 4, len(group))
+    cross = group % 2 == 0
+    sketch = rng.integers(0, 3, (len(group), prob_minhash.REGISTERS)).astype(np.uint8)
+    want = {
+        (i, j) for i in range(len(group)) for j in range(i + 1, len(group))
+        if group[i] == group[j] and label[i] != label[j] and not (cross[i] and own[i] == own[j]) and (sketch[i] == sketch[j]).sum() >= 88
+    }
+    got = [(int(i), int(j)) for a, b in prob_minhash._group_pairs(group, own, label, cross, sketch, 88) for i, j in zip(a, b)]
+    assert set(got) == want and len(got) == len(want) and want
+    monkeypatch.setattr(prob_minhash, "FEW", 4)
+    again = prob_minhash._group_pairs(group, own, label, cross, sketch, 88)
+    assert {(int(i), int(j)) for a, b in again for i, j in zip(a, b)} == want
+    same = np.full((1, prob_minhash.REGISTERS), 7, np.uint8)
+    assert prob_minhash.agreeing(same, same)[0] == prob_minhash.REGISTERS
+
+
 def test_classes_of_odd_rows(odd, clashing):
     got = near_duplicates(odd)
     assert got.count() == odd.count()
