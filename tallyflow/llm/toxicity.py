@@ -303,6 +303,8 @@ def learn_lexicon(rows: DataFrame, toxic: str, text: str) -> list[tuple[str, boo
 
     Counted once a text, in Spark. Of the CANDIDATES that toxic texts have most surely, a longer
     beginning or a word is kept only if it is clearly likelier than every kept beginning of it; at most LEXICON terms.
+    Beside these, a word that may be misspelled stays with each beginning in the lexicon that stands for it, as a
+    beginning allows no edits; its odds are at least that one's, so that it comes first where both match.
     """
     words = F.array_distinct(F.split(F.regexp_replace(F.lower(text_or_empty(text)), r"[^\p{L}]+", " "), " "))
     forms = F.transform(
@@ -326,13 +328,23 @@ def learn_lexicon(rows: DataFrame, toxic: str, text: str) -> list[tuple[str, boo
     likely = counted.withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
     top = likely.orderBy(F.desc(F.col("bad") * F.col("odds")), "term").limit(CANDIDATES).collect()
     kept: dict[str, float] = {}
+    beside: dict[str, list[str]] = {}
     for row in sorted(top, key=lambda r: (len(r["term"]), r["term"])):
-        term = row["term"]
-        if all(row["odds"] > kept.get(term[:n], -9.0) + 0.5 for n in STEM_LENGTHS if n < len(term)):
-            kept[term] = float(row["odds"])
+        term, odds_of = row["term"], float(row["odds"])
+        begins = [term[:n] for n in STEM_LENGTHS if n < len(term) and term[:n] in kept]
+        if all(odds_of > kept[stem] + 0.5 for stem in begins):
+            kept[term] = odds_of
+        elif term.endswith("$") and allowed_edits(term[:-1], False):
+            beside[term] = begins
     chosen = {r["term"]: r["bad"] * r["odds"] for r in top if r["term"] in kept}
     best = sorted(chosen, key=lambda t: (-chosen[t], t))[:LEXICON]
-    return sorted((t.rstrip("$"), not t.endswith("$"), kept[t]) for t in best)
+    own = {r["term"]: float(r["odds"]) for r in top}
+    found = {t: kept[t] for t in best}
+    for term, begins in beside.items():
+        likelier = [kept[stem] for stem in begins if stem in best]
+        if likelier:
+            found[term] = max(own[term], *likelier)
+    return sorted((t.rstrip("$"), not t.endswith("$"), odds) for t, odds in found.items())
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", toxic: str = "toxic") -> ToxicityModel:

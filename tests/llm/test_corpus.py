@@ -372,6 +372,26 @@ def test_quotation_is_told_from_abuse():
     assert (context[:, 0] > 0).tolist() == [False, True, False, False, False]
 
 
+def test_misspelled_words_beside_their_beginnings(spark):
+    """Words whose beginning marks toxic texts too are found with a letter swapped, replaced, left out or extra."""
+    rng = np.random.default_rng(31)
+    insults = ["idiot", "worthless", "pathetic"]
+    wrong = ["idoit", "itiot", "wrothless", "worhless", "patethic", "pahtetic"]
+
+    def prose(word=None):
+        words = [f"{'bdfgklmnrs'[k % 10]}{'aeou'[k // 10 % 4]}{'bdfgklmnrs'[k // 40]}{'aeou'[k % 4]}" for k in rng.integers(0, 400, 40)]
+        return " ".join(words if word is None else [*words[:20], word, *words[20:]])
+
+    rows = [(k, prose(insults[k % 3] if k % 2 else None), k % 2) for k in range(240)]
+    labels = spark.createDataFrame([(k, toxic) for k, _, toxic in rows], "doc_id long, toxic int")
+    texts = [(k, text) for k, text, _ in rows] + [(1000 + k, prose(w)) for k, w in enumerate(wrong)] + [(2000 + k, prose()) for k in range(6)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    terms = toxicity.learn_lexicon(docs.join(labels, "doc_id"), "toxic", "text")
+    assert {t for t, stem, _ in terms if not stem} >= set(insults)
+    score = {r["doc_id"]: r["score"] for r in toxicity.toxicity_scores(docs, labels).collect()}
+    assert min(score[1000 + k] for k in range(6)) > 0.5 > max(score[2000 + k] for k in range(6))
+
+
 def test_toxicity_of_odd_rows(spark, odd):
     labels = spark.createDataFrame([(9, 1), (4, 0), (None, 1), (5, None)], "doc_id long, toxic int")
     assert toxicity.toxicity_scores(odd, labels).count() == odd.count()
