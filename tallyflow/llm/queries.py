@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyflow.llm.tables import read_table, scratch_folder
@@ -151,6 +151,46 @@ select doc_id, size, source_size, target, copies * size as taken, copies from (
 """
 
 
+def op13_word_runs(spark: SparkSession, folder: str) -> DataFrame:
+    from tallyflow.llm.word_runs import with_runs
+
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    text = F.when(_digest("doc_id") % 10 == 0, _periodic_tail(F.col("text"), F.floor(_digest("doc_id") / 10))).otherwise(F.col("text"))
+    found = with_runs(docs.select("doc_id", text.alias("text")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("n"), (-r.start).alias("s"), (-r.period).alias("p"))))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n")))
+    rows = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("_best"), listed.alias("_listed"), "collapsed")
+    return rows.select(
+        "doc_id",
+        "n_runs",
+        (-F.col("_best.s")).alias("start"),
+        F.col("_best.n").alias("length"),
+        (-F.col("_best.p")).alias("period"),
+        F.floor(1000 * F.col("_best.n") / -F.col("_best.p")).alias("exponent_milli"),
+        F.sha2(F.array_join("_listed", ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def _digest(id: str) -> Column:
+    """Unsigned crc32 of the decimal id; null for a null id."""
+    return F.crc32(F.col(id).cast("string"))
+
+
+def _periodic_tail(text: Column, g: Column) -> Column:
+    """Each word i >= a becomes word a + (i - a) % p; a = g % n, p = 1 + floor((n - a) / (3 + g % 8))."""
+    words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+
+    # lambdas over arrays of one element bind the words and each number once
+    def joined(s: Column) -> Column:
+        return F.array_join(F.transform(s.w, lambda w, i: F.when(i < s.a, w).otherwise(F.get(s.w, (s.a + (i - s.a) % s.p).cast("int")))), " ")
+
+    sized = F.transform(F.array(F.struct(words.alias("w"), g.alias("g"))), lambda s: F.struct(s.w.alias("w"), s.g.alias("g"), F.size(s.w).alias("n")))
+    begun = F.transform(sized, lambda s: F.struct(s.w.alias("w"), s.g.alias("g"), s.n.alias("n"), (s.g % F.greatest(s.n, F.lit(1))).alias("a")))
+    ready = F.transform(begun, lambda s: F.struct(s.w.alias("w"), s.a.alias("a"), (1 + F.floor((s.n - s.a) / (3 + s.g % 8))).alias("p")))
+    return F.get(F.transform(ready, joined), 0)
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_token_store": (op1_token_store, None),
     "op2_repeats": (op2_repeats, None),
@@ -162,4 +202,5 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_prob_minhash": (op8_prob_minhash, None),
     "op9_mixing": (op9_mixing, OP9_SQL),
     "op10_order_minhash": (op10_order_minhash, None),
+    "op13_word_runs": (op13_word_runs, None),
 }
