@@ -191,6 +191,62 @@ def _periodic_tail(text: Column, g: Column) -> Column:
     return F.get(F.transform(ready, joined), 0)
 
 
+def op11_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
+    from tallyflow.llm.host_reputation import judged
+
+    pages = judged(read_table(spark, folder, "pages").select("page_id", "url"))
+    rates = [F.round(c, 6).alias(c) for c in ("bad_rate", "bad_low")]
+    return pages.select("page_id", "host", "path", "rule", "verdict", *rates)
+
+
+def _weighed(rows: str, name: str) -> str:
+    """SQL of one level: the prior's weight by moments, bounded by the size of what it comes from."""
+    return f"""
+{name}_w as (
+  select *, n * above as e, n * above * (1 - above) as v from {rows}),
+{name} as (
+  select *, (bad + w * above) / (n + w) as rate, n + w as weight from (
+    select *, least(greatest(coalesce(1 / nullif((
+      select greatest(sum((bad - e) * (bad - e) - v), 0) / nullif(sum((n - 1) * v), 0) from {name}_w), 0) - 1, size), 1), size) as w
+    from {name}_w))"""
+
+
+OP11_SQL = f"""
+with split as (
+  select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) end as t from pages),
+page as (
+  select page_id, coalesce(translate(regexp_extract(t, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+         coalesce(regexp_extract(t, '^[^/?#]*([^?#]*)', 1), '') as path from split),
+ruled as (
+  select *, case
+    when (host = 'example.org' or ends_with(host, '.example.org')) and starts_with(path, '/en/1') then 'example.org/en/1'
+    when (host = 'example.org' or ends_with(host, '.example.org')) and starts_with(path, '/es/') then 'example.org/es/'
+    when (host = 'com' or ends_with(host, '.com')) and starts_with(path, '/de/') then 'com/de/'
+    when (host = 'com' or ends_with(host, '.com')) and starts_with(path, '/fr/') then 'com/fr/'
+    when (host = 'org' or ends_with(host, '.org')) and starts_with(path, '/') then 'org/' end as rule
+  from page),
+known as (
+  select *, case when rule in ('example.org/en/1', 'example.org/es/', 'com/de/') then 1 when rule is not null then 0 end as bad from ruled),
+host as (
+  select host, split_part(host, '.', -1) as suffix, array_to_string(string_split(host, '.')[-2:], '.') as domain,
+         count(bad) as n, coalesce(sum(bad), 0) as bad from known group by host),
+suffixes as (
+  select suffix, sum(n) as n, sum(bad) as bad, (select (sum(bad) + 1) / (sum(n) + 2) from host) as above,
+         (select sum(n) + 2.0::double from host) as size from host group by suffix),{_weighed("suffixes", "suffix_rate")},
+domains as (
+  select h.suffix, h.domain, sum(h.n) as n, sum(h.bad) as bad, any_value(s.rate) as above, any_value(s.weight) as size
+  from host h join suffix_rate s using (suffix) group by h.suffix, h.domain),{_weighed("domains", "domain_rate")},
+hosts as (
+  select h.*, d.rate as above, d.weight as size from host h join domain_rate d using (suffix, domain)),{_weighed("hosts", "host_rate")},
+bound as (
+  select host, rate, greatest(rate - sqrt(9.0::double * rate * (1 - rate) / (weight + 1)), 0) as low from host_rate)
+select page_id, host, path, rule, round(rate, 6) as bad_rate, round(low, 6) as bad_low,
+       case when rule in ('example.org/en/1', 'example.org/es/', 'com/de/') then 'block' when rule is not null then 'allow'
+            when round(low, 9) > 0.5 then 'block' else 'allow' end as verdict
+from known join bound using (host)
+"""
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_token_store": (op1_token_store, None),
     "op2_repeats": (op2_repeats, None),
@@ -202,5 +258,6 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_prob_minhash": (op8_prob_minhash, None),
     "op9_mixing": (op9_mixing, OP9_SQL),
     "op10_order_minhash": (op10_order_minhash, None),
+    "op11_host_reputation": (op11_host_reputation, OP11_SQL),
     "op13_word_runs": (op13_word_runs, None),
 }
