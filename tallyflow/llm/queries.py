@@ -151,6 +151,30 @@ select doc_id, size, source_size, target, copies * size as taken, copies from (
 """
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    from tallyflow.llm.prefix_trie import numbered_turns, prefix_trie
+    from tallyflow.llm.tables import staged
+
+    turns = staged(numbered_turns(read_table(spark, folder, "conversations")))
+    counts = staged(turns.groupBy("conv_id").agg(F.max("pos").alias("n")))
+    return prefix_trie(counts.select("conv_id"), _rebuilt(turns, counts))
+
+
+def _rebuilt(turns: DataFrame, counts: DataFrame) -> DataFrame:
+    """Each conversation's first h = crc32(conv_id) % 9 turns replaced by those of conversation c - c % 5."""
+    from tallyflow.llm.tables import staged
+
+    base, head = F.col("conv_id") - F.col("conv_id") % 5, _digest("conv_id") % 9
+    lent = counts.select(F.col("conv_id").alias("base"), F.col("n").alias("base_n"))
+    heads = counts.select("conv_id", base.alias("base"), head.alias("h")).join(lent, "base", "left")
+    heads = staged(heads.select("conv_id", "base", "h", F.coalesce(F.least("h", "base_n"), F.lit(0).cast("long")).alias("taken")))
+    first = turns.where("pos <= 8").select(F.col("conv_id").alias("base"), "pos", "role", "text")
+    borrowed = heads.where("taken > 0").join(first, "base").where("pos <= taken").select("conv_id", "pos", "role", "text")
+    rest = turns.where(F.col("pos") > head).join(heads.select("conv_id", "taken"), "conv_id")
+    own = rest.select("conv_id", (F.col("pos") - head + F.col("taken")).alias("pos"), "role", "text")
+    return staged(borrowed.unionAll(own))
+
+
 def op13_word_runs(spark: SparkSession, folder: str) -> DataFrame:
     from tallyflow.llm.word_runs import with_runs
 
@@ -247,6 +271,49 @@ from known join bound using (host)
 """
 
 
+OP12_SQL = """
+with turn as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), sha256(coalesce(text, ''))) as pos
+  from conversations where conv_id is not null),
+conv as (
+  select conv_id, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 9 as h
+  from (select distinct conv_id from turn)),
+head as (
+  select c.conv_id, t.pos, t.role, t.text from conv c join turn t on t.conv_id = c.conv_id - c.conv_id % 5 and t.pos <= c.h),
+rebuilt as (
+  select * from head
+  union all
+  select c.conv_id, t.pos - c.h + (select count(*) from head h where h.conv_id = c.conv_id), t.role, t.text
+  from conv c join turn t on t.conv_id = c.conv_id and t.pos > c.h),
+place as (
+  select conv_id, pos as depth, strlen(text) as n_bytes,
+         list(strlen(role)::varchar || ':' || role || text || '/' || strlen(text)::varchar) over (partition by conv_id order by pos) as key
+  from rebuilt
+  union all select conv_id, 0, 0, [] from conv),
+node as (
+  select key, depth, min(conv_id) as conv_id, count(*) as n_convs, any_value(n_bytes) as n_bytes from place group by key, depth),
+named as (
+  select p.conv_id as member, p.depth, n.conv_id from place p join node n on p.key = n.key and p.depth = n.depth),
+linked as (
+  select n.*, a.conv_id as parent_conv_id from node n left join named a on a.member = n.conv_id and a.depth = n.depth - 1),
+kids as (select parent_conv_id as conv_id, depth - 1 as depth, count(*) as n_children from linked where depth > 0 group by 1, 2),
+full_node as (
+  select l.*, coalesce(k.n_children, 0) as n_children from linked l left join kids k on l.conv_id = k.conv_id and l.depth = k.depth),
+total as (
+  select a.conv_id, a.depth, sum((n.n_children = 0)::int)::bigint as n_leaves, sum((n.n_convs - 1) * n.n_bytes)::bigint as saved_tokens
+  from full_node n join named a on a.member = n.conv_id and a.depth <= n.depth group by 1, 2),
+ended as (
+  select a.conv_id, a.depth, string_agg(a.member::varchar, ',' order by a.member) as ids
+  from named a join (select conv_id, max(depth) as depth from place group by 1) e on a.member = e.conv_id and a.depth = e.depth group by 1, 2)
+select n.conv_id, n.depth::bigint as depth, n.parent_conv_id, n.n_convs, n.n_children::bigint as n_children, t.n_leaves, t.saved_tokens,
+       sha256(coalesce(e.ids, '')) as ends_sha256
+from full_node n join total t on n.conv_id = t.conv_id and n.depth = t.depth
+left join ended e on n.conv_id = e.conv_id and n.depth = e.depth
+"""
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_token_store": (op1_token_store, None),
     "op2_repeats": (op2_repeats, None),
@@ -259,5 +326,6 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op9_mixing": (op9_mixing, OP9_SQL),
     "op10_order_minhash": (op10_order_minhash, None),
     "op11_host_reputation": (op11_host_reputation, OP11_SQL),
+    "op12_prefix_trie": (op12_prefix_trie, OP12_SQL),
     "op13_word_runs": (op13_word_runs, None),
 }
