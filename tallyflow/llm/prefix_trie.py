@@ -135,7 +135,8 @@ def subtree_totals(nodes: DataFrame, sums: list[str]) -> DataFrame:
         *[F.col(s).cast("long").alias(f"w_{s}") for s in sums], *[zero.alias(f"e_{s}") for s in sums],
     )
     active = staged(start)
-    bits = max(1, int(active.agg(F.max("d")).first()[0] or 0).bit_length())
+    deepest = int(active.agg(F.max("d")).first()[0] or 0)
+    bits = max(1, deepest.bit_length())
     rounds: list[tuple[DataFrame, DataFrame | None]] = []  # the table before each rake, with what the compress before it removed
     removed = None
     while True:
@@ -143,6 +144,8 @@ def subtree_totals(nodes: DataFrame, sums: list[str]) -> DataFrame:
         leaf = (F.col("kids") == 0) & F.col("pc").isNotNull()
         if active.where(F.col("pc").isNotNull()).isEmpty():
             break
+        if len(rounds) > deepest:  # every rake takes a level of leaves at least
+            raise ValueError("the nodes are no tree: a parent is missing")
         given = active.where(leaf).groupBy(F.col("pc").alias("c"), F.col("pd").alias("d")).agg(
             F.count(F.lit(1)).alias("m_kids"), F.bit_xor("c").alias("m_xc"), F.bit_xor("d").alias("m_xd"),
             *[F.sum(F.col(f"w_{s}") + F.col(f"e_{s}")).alias(f"m_{s}") for s in sums],

@@ -167,7 +167,7 @@ def _rebuilt(turns: DataFrame, counts: DataFrame) -> DataFrame:
     base, head = F.col("conv_id") - F.col("conv_id") % 5, _digest("conv_id") % 9
     lent = counts.select(F.col("conv_id").alias("base"), F.col("n").alias("base_n"))
     heads = counts.select("conv_id", base.alias("base"), head.alias("h")).join(lent, "base", "left")
-    heads = staged(heads.select("conv_id", "base", "h", F.coalesce(F.least("h", "base_n"), F.lit(0).cast("long")).alias("taken")))
+    heads = staged(heads.select("conv_id", "base", "h", F.when(F.col("base_n").isNotNull(), F.least("h", "base_n")).otherwise(0).alias("taken")))
     first = turns.where("pos <= 8").select(F.col("conv_id").alias("base"), "pos", "role", "text")
     borrowed = heads.where("taken > 0").join(first, "base").where("pos <= taken").select("conv_id", "pos", "role", "text")
     rest = turns.where(F.col("pos") > head).join(heads.select("conv_id", "taken"), "conv_id")
