@@ -10,6 +10,7 @@ from tallyflow.catalog.basics import scratch
 from tallyflow.catalog.features import click_rows
 from tallyflow.catalog.profiling import installs, rounded
 from tallyflow.operators import evaluation as ev
+from tallyflow.operators import l1_path as lp
 from tallyflow.operators import models as md
 from tallyflow.plans import ablation as ab
 from tallyflow.plans import adviews as av
@@ -53,7 +54,11 @@ def _(t):
 @case("MOD1_l1_path")
 def _(t):
     train, _ = sold_split(t)
-    return history(t, md.l1_path(train, points=4, folds=2)[1])
+    rows = cut_lineage(lp.sparse_rows(train, key=["id"]))
+    path = lp.searched_path(rows, len(md.feature_names(train)))
+    points = [(k, float(c), p, x, int((w != 0).sum())) for k, (c, p, x, w) in enumerate(zip(path.strengths, path.precision, path.log_loss, path.weights))]
+    out = t.spark.createDataFrame(points, "point int, strength double, fold_precision double, fold_log_loss double, kept int")
+    return rounded(out, "strength", "fold_precision", "fold_log_loss", places=4)
 
 
 @case("MOD2_forest_search")
@@ -126,8 +131,9 @@ def named_installs(t):
     return installs(t).withColumn("app", F.concat(F.lit("com."), F.replace("app", F.lit("#"), F.lit("."))))
 
 
-def ablate(t, variants, fit):
-    return ab.ablation(named_installs(t), people(t), "dev", "y", variants=variants, fit=fit, min_devices=50, cutoff=0.75, min_app_variance=0.2)
+def ablate(t, rows):
+    out = ab.ablation(named_installs(t), rows, "dev", "y", min_devices=50, cutoff=0.75, min_app_variance=0.2)
+    return rounded(out, "average_precision", "train_precision", "fold_precision", places=4)
 
 
 def quick(train):
@@ -136,12 +142,12 @@ def quick(train):
 
 @case("MOD9_feature_set_ablation")
 def _(t):
-    return ablate(t, ab.VARIANTS, quick)
+    return ablate(t, people(t))
 
 
 @case("JOB11_segment_modelling")
 def _(t):
-    return ablate(t, ab.VARIANTS[:1], lambda train: md.l1_path(train, points=3, folds=2)[0])
+    return ablate(t, ab.usable_people(people(t), named_installs(t), "dev", "y"))
 
 
 @case("MOD10_weighted_click_model")

@@ -135,25 +135,6 @@ def logistic_search(train: DataFrame, n: int = 8, folds: int = 3, seed: int = 30
     return search(LogisticRegression(standardization=False), grid, train, folds, seed=seed)
 
 
-def l1_path(train: DataFrame, points: int = 50, folds: int = 4, top: float = 5000.0, metric: str = "areaUnderPR", seed: int = 100):
-    """L1 grid search from the smallest useful C to ``top`` times it.
-
-    The smallest useful C is where the first coefficient leaves zero: 2 / max |X'(2y - 1)|.
-    The gradient is one aggregation over the vector column's summary.
-    """
-    from pyspark.ml.stat import Summarizer
-
-    signed = train.withColumn("_w", F.lit(1.0))
-    sums = lambda d: d.agg(Summarizer.sum(F.col("features"), F.col("_w"))).first()[0].toArray()
-    gradient = sums(signed.where("label = 1")) - sums(signed.where("label = 0"))
-    lowest = 2.0 / max(float(abs(gradient).max()), 1e-12)
-    rows = train.count()
-    # the grid is linear from lowest to lowest * top
-    steps = [lowest + (lowest * top - lowest) * i / max(points - 1, 1) for i in range(points)]
-    grid = [{"regParam": 1.0 / (c * rows), "elasticNetParam": 1.0} for c in steps]
-    return search(LogisticRegression(standardization=False), grid, train, folds, metric, seed)
-
-
 def forest_search(train: DataFrame, n: int = 5, folds: int = 3, seed: int = 30):
     grid = sampled_grid({"numTrees": [4, 8, 16, 32], "maxDepth": [2, 4, 6, 8, 10], "minInstancesPerNode": [1, 5, 20]}, n, seed)
     return search(RandomForestClassifier(seed=seed), grid, train, folds, seed=seed)

@@ -1,17 +1,17 @@
-"""Segment model ablation: the same L1 model on nine feature sets."""
+"""Segment model ablation: the same L1 path, searched over all points and folds, on nine feature sets."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyflow.operators import evaluation as ev
 from tallyflow.operators import features as fe
-from tallyflow.operators import models as md
+from tallyflow.operators import l1_path as lp
+from tallyflow.operators.ordering import numbered
 from tallyflow.operators.profile import top_by_property
 from tallyflow.operators.splits import stratified
 from tallyflow.session import cut_lineage
@@ -72,20 +72,23 @@ def feature_rows(
     return rows
 
 
-def vectors(rows: DataFrame, people: DataFrame, key: str, label: str, clean_rows: bool) -> DataFrame:
-    """(key, label, part, features): sparse 0/1 vectors; devices without feature stay unless cleaned."""
-    lists = rows.distinct().groupBy(key).agg(F.collect_list("feature").alias("names"))
-    joined = people.select(key, F.col(label).cast("double").alias("label"), "part").join(lists, key, "left")
-    ready = joined.withColumn("names", F.coalesce("names", F.array().cast("array<string>")))
+def sparse_vectors(rows: DataFrame, people: DataFrame, key: str, label: str, clean_rows: bool, folds: int) -> tuple[DataFrame, DataFrame]:
+    """Sparse 0/1 rows (label, part, fold, idx, val) and the dictionary (feature, j) of the training devices' features.
+
+    Devices without feature stay unless cleaned. Features are numbered by name in a table that is joined, so no map of
+    them is sent about; a feature that only test devices have has no number.
+    """
+    placed = people.select(key, F.col(label).cast("double").alias("label"), "part")
+    rows = cut_lineage(rows.distinct())
+    names = rows.join(placed.where("part = 'train'").select(key), key, "left_semi").select("feature").distinct()
+    dictionary = cut_lineage(numbered(names, ["feature"], out="j"))
+    lists = rows.join(dictionary, "feature").groupBy(key).agg(F.array_sort(F.collect_list(F.col("j").cast("int"))).alias("idx"))
+    joined = placed.join(lists, key, "left")
     if clean_rows:
-        ready = ready.where((F.size("names") > 0) | (F.col("part") == "test"))
-    ready = cut_lineage(ready)
-    # a slot for every feature that occurs; the vectorizer would else stop at its default number
-    slots = ready.where("part = 'train'").select(F.explode("names").alias("f")).agg(F.countDistinct("f")).first()[0]
-    if not slots:
-        raise ValueError("no feature passes the screens of this variant")
-    counts = CountVectorizer(inputCol="names", outputCol="features", binary=True, minDF=1, vocabSize=slots)
-    return counts.fit(ready.where("part = 'train'")).transform(ready).drop("names")
+        joined = joined.where(F.col("idx").isNotNull() | (F.col("part") == "test"))
+    idx = F.coalesce("idx", F.array().cast("array<int>"))
+    ready = joined.select("label", "part", lp.fold_of([key], folds).alias("fold"), idx.alias("idx"), F.transform(idx, lambda _: F.lit(1.0)).alias("val"))
+    return cut_lineage(ready), dictionary
 
 
 def ablation(
@@ -95,16 +98,20 @@ def ablation(
     label: str,
     prop: Sequence[str] = PROPERTIES,
     variants: Sequence[Variant] = VARIANTS,
-    fit: Callable | None = None,
+    fit: Callable[[DataFrame, int], lp.L1Path] | None = None,
+    folds: int = 4,
     min_devices: int = MIN_DEVICES,
     cutoff: float = CUTOFF,
     min_app_variance: float = MIN_APP_VARIANCE,
     min_model_variance: float = MIN_MODEL_VARIANCE,
     test_share: float = 0.3,
 ) -> DataFrame:
-    """(variant, average_precision) on the stratified test devices. ``installs`` holds (key, app)."""
-    fit = fit or (lambda train: md.l1_path(train)[0])
-    placed = cut_lineage(stratified(people, [key], label, test_share))
+    """One row per variant: average precision on the stratified test devices and on the training devices, the mean over the
+    left-out folds at the chosen point, that point, its kept features, and how many passes over the rows all points and
+    folds took together. ``installs`` holds (key, app); devices without label are left out (``usable_people``).
+    """
+    fit = fit or (lambda rows, size: lp.searched_path(rows, size, folds=folds))
+    placed = cut_lineage(stratified(people.where(F.col(label).isNotNull()), [key], label, test_share))
     train_people = placed.where("part = 'train'").drop("part")
     installs = cut_lineage(installs.distinct())
     tops = {
@@ -114,8 +121,21 @@ def ablation(
     results = []
     for v in variants:
         rows = feature_rows(v, installs, placed, train_people, key, prop, tops, min_app_variance, min_model_variance)
-        data = cut_lineage(vectors(rows, placed, key, label, v.clean_rows))
-        model = fit(data.where("part = 'train'"))
-        found = ev.average_precision(md.score_rows(model, data.where("part = 'test'"))).first()
-        results.append((v.name, found["average_precision"]))
-    return people.sparkSession.createDataFrame(results, "variant string, average_precision double")
+        data, dictionary = sparse_vectors(rows, placed, key, label, v.clean_rows, folds)
+        size = dictionary.count()
+        if not size:
+            raise ValueError(f"no feature passes the screens of variant {v.name!r}")
+        train = data.where("part = 'train'").drop("part")
+        path = fit(train, size)
+        found = [ev.average_precision(path.score(d)).first()["average_precision"] for d in (data.where("part = 'test'"), train)]
+        kept = int((path.weights[path.best] != 0).sum())
+        cv = path.precision[path.best] if path.precision else None
+        results.append((v.name, *found, cv, path.best, size, kept, path.passes))
+    schema = "variant string, average_precision double, train_precision double, fold_precision double, point int, features int, kept int, passes int"
+    return people.sparkSession.createDataFrame(results, schema)
+
+
+def usable_people(people: DataFrame, installs: DataFrame, key: str, label: str) -> DataFrame:
+    """Devices that have a label and app data."""
+    known = fe.usable_rows(people, installs.withColumn("_v", F.lit(1)), key, label, "app", "_v").select(key).distinct()
+    return people.join(known, key, "left_semi")

@@ -7,6 +7,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tallyflow.operators import l1_path
 from tallyflow.plans import ablation, clicks, flatten, installs, rates, separation
 from tallyflow.sources import readers, schemas, sinks
 
@@ -184,6 +185,6 @@ def test_ablation_runs_two_variants(spark):
                                    "dev int, carrier_name string, device_model string, device_vendor string, y int")
     apps = [(i, f"com.app{j}") for i in range(80) for j in range(6) if (i + j) % 3 == 0 or (i % 4 == 0 and j == 0)]
     out = ablation.ablation(spark.createDataFrame(apps, "dev int, app string"), people, "dev", "y", variants=ablation.VARIANTS[:2],
-                            fit=lambda d: __import__("pyspark.ml.classification", fromlist=["x"]).LogisticRegression(maxIter=5).fit(d),
-                            min_devices=5, cutoff=0.99)
-    assert all(0 < r["average_precision"] <= 1 for r in out.collect()) and out.count() == 2
+                            fit=lambda rows, size: l1_path.searched_path(rows, size, points=3, folds=2), folds=2, min_devices=5, cutoff=0.99)
+    rows = out.collect()
+    assert len(rows) == 2 and all(0 < r["average_precision"] <= 1 and 0 <= r["kept"] <= r["features"] for r in rows)
