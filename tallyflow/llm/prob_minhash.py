@@ -29,9 +29,8 @@ BANDS = REGISTERS // BAND_ROWS
 CENTRES = 4
 #: Share of the pairs at the asked similarity that may agree in fewer registers than the third round asks for.
 MISSED = 1e-6
-#: Texts of a block of a bucket, on average, and the most rows whose pairs are formed for all groups at once.
-BLOCK = 2048
-FEW = 32
+#: Texts of a block of a bucket, on average.
+BLOCK = 1024
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -206,49 +205,47 @@ def agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return ((lanes * np.uint64(0x0001000100010001)) >> np.uint64(48)).astype(np.int64)
 
 
-def _group_pairs(group: np.ndarray, own: np.ndarray, label: np.ndarray, cross: np.ndarray, sketch: np.ndarray, least: int):
-    """Places (i, j) of the pairs of a group with different labels that agree enough; of two blocks where ``cross``.
+def vector_column():
+    """A column function: text -> its sorted shingle digests and their counts, as bytes."""
+    kind = [pa.field("keys", pa.binary()), pa.field("counts", pa.binary())]
 
-    Rows are in order of their groups. Small groups take their next neighbours together, large ones a row at a time.
+    def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in batches:
+            keys, counts = [], []
+            for start, stop in spans.slices(column):
+                shingles, weights, ranges = weighted_shingles(*spans.flat(column[start:stop]))
+                weights = weights.astype(np.uint32)
+                for a, b in zip(ranges[:-1], ranges[1:], strict=True):
+                    keys.append(shingles[a:b].tobytes())
+                    counts.append(weights[a:b].tobytes())
+            yield pa.StructArray.from_arrays([pa.array(keys, pa.binary()), pa.array(counts, pa.binary())], fields=kind)
+            spans.release_memory()
+
+    return arrow_udf(vectors, "struct<keys:binary,counts:binary>", ArrowUDFType.SCALAR_ITER).asNondeterministic()
+
+
+def candidates(k: int, last: int, label, own, cross, bands, band, sketch, least: int) -> np.ndarray:
+    """Rows in (k, last) that row k of the same group is compared with, those that agree in most registers first.
+
+    Their classes differ, their blocks too where the group is one of two blocks, enough registers agree, and no
+    earlier band does, so that each pair is compared in one bucket only.
     """
-    starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
-    sizes = np.diff(np.append(starts, len(group)))
-    ends = np.repeat(starts + sizes, sizes)
-    place = np.arange(len(group))
-
-    def enough(i: np.ndarray, j: np.ndarray):
-        differ = (label[i] != label[j]) & ~(cross[i] & (own[i] == own[j]))
-        i, j = i[differ], j[differ]
-        for at in range(0, len(i), BLOCK):
-            a, b = i[at : at + BLOCK], j[at : at + BLOCK]
-            found = agreeing(sketch[a], sketch[b]) >= least
-            if found.any():
-                yield a[found], b[found]
-
-    small = place[np.repeat(sizes <= FEW, sizes)]
-    for step in range(1, FEW):
-        small = small[small + step < ends[small]]
-        yield from enough(small, small + step)
-    for start, size in zip(starts[sizes > FEW], sizes[sizes > FEW], strict=True):
-        for k in range(start, start + size - 1):
-            others = np.arange(k + 1, start + size)
-            yield from enough(np.full(len(others), k), others)
-
-
-def _agreeing_pairs(least: int):
-    """A function from rows (group, own, cross, rep, label, sketch) in order of their groups to pairs (a, b, agree)."""
-
-    def found(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        group, own, label, cross, rep = (
-            rows.column(c).to_numpy(zero_copy_only=False) for c in ("group", "own", "label", "cross", "rep")
-        )
-        sketch = spans.flat(rows.column("sketch"))[0].reshape(-1, REGISTERS)
-        for i, j in _group_pairs(group, own, label, cross, sketch, least):
-            a, b = np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])
-            agree = agreeing(sketch[i], sketch[j])
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(agree)], ["a", "b", "agree"])
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    others = np.arange(k + 1, last)
+    others = others[label[others] != label[k]]
+    if cross[k]:
+        others = others[own[others] != own[k]]
+    if not len(others):
+        return others
+    agree = agreeing(sketch[others], sketch[k])
+    others, agree = others[agree >= least], agree[agree >= least]
+    first = (bands[others] == bands[k]).argmax(axis=1) == band[k]
+    return others[first][np.argsort(-agree[first], kind="stable")]
+
+
+def _by_group(found, schema: pa.Schema):
+    """A function over batches in order of ``group`` that calls ``found`` with whole groups."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             if not batch.num_rows:
@@ -260,37 +257,94 @@ def _agreeing_pairs(least: int):
             # the last group may go on in the next batch
             held = rows.slice(last)
             if last:
-                yield from found(rows.slice(0, last))
+                yield pa.RecordBatch.from_pydict(found(rows.slice(0, last)), schema)
         if held is not None:
-            yield from found(held)
+            yield pa.RecordBatch.from_pydict(found(held), schema)
+        spans.release_memory()
+
+    return run
+
+
+def _columns(rows: pa.Table):
+    names = ("group", "rep", "label", "own", "cross", "band")
+    group, rep, label, own, cross, band = (rows.column(c).to_numpy(zero_copy_only=False) for c in names)
+    sketch = spans.flat(rows.column("sketch"))[0].reshape(-1, REGISTERS)
+    bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    return group, rep, label.copy(), own, cross, band, sketch, bands, starts, np.append(starts[1:], len(group))
+
+
+def _met(least: int):
+    """(group, rep) of the rows that agree enough with another row of their group."""
+
+    def found(rows: pa.Table) -> dict:
+        group, rep, label, own, cross, band, sketch, bands, starts, ends = _columns(rows)
+        wanted = np.zeros(len(group), bool)
+        for start, end in zip(starts.tolist(), ends.tolist(), strict=True):
+            for k in range(start, end - 1):
+                with_k = candidates(k, end, label, own, cross, bands, band, sketch, least)
+                if len(with_k):
+                    wanted[k] = wanted[with_k] = True
+        return {"group": group[wanted], "rep": rep[wanted]}
+
+    return _by_group(found, pa.schema([("group", pa.int64()), ("rep", pa.int64())]))
+
+
+def _links(least: int, similarity: float):
+    """Verified links (a, b) of each group that join two of its classes: fewer than its rows."""
 
-    return pairs
+    def found(rows: pa.Table) -> dict:
+        group, rep, label, own, cross, band, sketch, bands, starts, ends = _columns(rows)
+        keys, counts = rows.column("keys"), rows.column("counts")
+        out: list[tuple[int, int]] = []
+        for start, end in zip(starts.tolist(), ends.tolist(), strict=True):
+            vectors: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
+            def vector(k: int):
+                if k not in vectors:
+                    body, weights = keys[k].as_buffer(), counts[k].as_buffer()
+                    vectors[k] = np.frombuffer(body, np.uint64), np.frombuffer(weights, np.uint32).astype(np.float64)
+                return vectors[k]
 
-def _alike(rows: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """All pairs (a, b, agree), a < b, of one bucket and different classes that agree in enough registers.
+            mine = label[start:end]
+            for k in range(start, end - 1):
+                for j in candidates(k, end, label, own, cross, bands, band, sketch, least).tolist():
+                    if label[j] != label[k] and probability_jaccard(vector(k), vector(j)) >= similarity:
+                        out.append((min(rep[k], rep[j]), max(rep[k], rep[j])))
+                        mine[mine == label[j]] = label[k]
+        return {"a": [a for a, _ in out], "b": [b for _, b in out]}
+
+    return _by_group(found, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+
+def _verified_in_blocks(rows: DataFrame, texts: DataFrame, wanted: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b), a < b, that join all texts of one bucket and different classes that are similar enough.
 
     Large buckets are cut into blocks by chance, and each two blocks are compared by themselves, so no
-    task has a whole bucket. Only pairs that agree enough become rows.
+    task has a whole bucket. A first pass over the sketches names the texts that agree enough with another one;
+    only their shingles travel to the second, which verifies pairs where they meet, those whose classes
+    it has joined left out. So a group writes fewer links than it has rows, however many of its pairs agree.
     """
     several = rows.groupBy("bucket").agg(F.min("label").alias("_l"), F.max("label").alias("_m"), F.count(F.lit(1)).alias("_size"))
     several = several.where("_l != _m").select("bucket", F.ceil(F.col("_size") / BLOCK).cast("int").alias("_blocks"))
     own = F.pmod(F.xxhash64("rep", "bucket"), F.col("_blocks")).cast("int")
     met = rows.join(several, "bucket").select("bucket", "rep", "label", own.alias("own"), "_blocks")
-    signed = met.join(texts.where(F.col("rep").isNotNull()).select("rep", "sketch"), "rep")
+    signs = texts.where(F.col("rep").isNotNull()).select("rep", "sketch", "bands")
+    signed = met.join(signs, "rep").withColumn("band", F.array_position("bands", F.col("bucket")) - 1)
     dealt = signed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     group = F.xxhash64("bucket", F.least("own", "_other"), F.greatest("own", "_other"))
-    keyed = dealt.select(group.alias("group"), "own", (F.col("own") != F.col("_other")).alias("cross"), "rep", "label", "sketch")
-    ordered = keyed.repartition("group").sortWithinPartitions("group")
-    return ordered.mapInArrow(_agreeing_pairs(least_agreeing(similarity)), "a long, b long, agree long").distinct()
-
-
-def _other_classes(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs whose texts are not of one class yet."""
-    known = pairs
-    for end in ("a", "b"):
-        known = known.join(labels.select(F.col("node").alias(end), F.col("label").alias(f"_{end}_label")), end, "left")
-    return known.where(F.coalesce("_a_label", "a") != F.coalesce("_b_label", "b")).select(*pairs.columns)
+    keyed = dealt.select(
+        group.alias("group"), "own", (F.col("own") != F.col("_other")).alias("cross"), "rep", "label", "band", "sketch", "bands"
+    )
+    least = least_agreeing(similarity)
+    ordered = keyed.repartition("group").sortWithinPartitions("group", "rep")
+    agreeing_rows = staged(ordered.mapInArrow(_met(least), "group long, rep long"))
+    reps = agreeing_rows.select(F.col("rep").alias("_id")).distinct()
+    vectors = wanted.join(reps, "_id", "left_semi").select(F.col("_id").alias("rep"), vector_column()(F.col("_text")).alias("_v"))
+    vectors = staged(vectors.select("rep", "_v.*"))
+    full = keyed.join(agreeing_rows, ["group", "rep"]).join(vectors, "rep")
+    full = full.repartition("group").sortWithinPartitions("group", "rep")
+    return staged(full.mapInArrow(_links(least, similarity), "a long, b long"))
 
 
 def near_duplicates(
@@ -302,7 +356,7 @@ def near_duplicates(
     them. A link is a verified probability Jaccard of at least ``similarity`` over shingles of five
     words (split at ASCII white space, A-Z lower-cased), weighted by how often they occur; a text
     of one to four words has one shingle of all. ``class_id`` is the smallest id of the class,
-    ``copies`` the number of documents with the same text, ``n_links`` the links found for it.
+    ``copies`` the number of documents with the same text, ``n_links`` the links that joined it.
     Null texts are empty, all empty texts are one class; texts of white space only meet by equality.
     Null ids are left out of candidates but get their own class unless their text has another holder.
     Rows that repeat an id stay rows; an empty table gives an empty one.
@@ -311,9 +365,8 @@ def near_duplicates(
     meet in a bucket. In a bucket, texts are compared with its centre, the text with the most
     neighbours over all buckets, so a large group of copies costs one comparison for each member.
     Where a bucket still holds several classes, its next centres follow. Then all pairs of a bucket that
-    are of different classes are compared by their registers, and each pair that agrees in enough of
-    them is verified unless its texts were joined before: first each text's likeliest partner, then all
-    that are left. A pair at ``similarity`` is lost if it shares no band, or agrees in too few registers
+    are of different classes are compared by their registers, and those that agree in enough of them are
+    verified where they meet, unless their texts were joined before. A pair at ``similarity`` is lost if it shares no band, or agrees in too few registers
     (MISSED); none for the size of its buckets.
     """
     signed = docs.select(
@@ -342,19 +395,9 @@ def near_duplicates(
     again = staged(_starred(rows, by_degree, CENTRES).join(pairs, ["a", "b"], "left_anti"))
     second = _verified(again, wanted, similarity)
     labels = _joined_labels(second, labels)
-    compared = pairs.unionAll(again).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    alike = staged(_alike(_labelled(rows, labels), texts, similarity).join(compared, ["a", "b"], "left_anti"))
-    links = first.unionAll(second)
-    if not alike.isEmpty():
-        either = alike.select("a", "b", "agree").unionAll(alike.select(F.col("b").alias("a"), F.col("a").alias("b"), "agree"))
-        best = either.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
-        best = staged(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        third = _verified(best, wanted, similarity)
-        labels = _joined_labels(third, labels)
-        left = _other_classes(alike.select("a", "b").join(best, ["a", "b"], "left_anti"), labels)
-        fourth = _verified(left, wanted, similarity)
-        labels = _joined_labels(fourth, labels)
-        links = links.unionAll(third).unionAll(fourth)
+    third = _verified_in_blocks(_labelled(rows, labels), texts, wanted, similarity)
+    labels = _joined_labels(third, labels)
+    links = first.unionAll(second).select("a", "b").unionAll(third)
 
     links = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     ends = F.explode(F.array("a", "b")).alias("node")

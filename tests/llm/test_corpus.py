@@ -197,22 +197,22 @@ def test_links_far_from_the_centres_are_found(make):
     assert got == {k: k - k % 2 for k, _ in rows}
 
 
-def test_pairs_of_blocks(monkeypatch):
-    """Every pair of a group that differs in class and block is found, whether the group is small or large."""
+def test_pairs_of_blocks():
+    """Every pair of a group that differs in class and block is met in its first common band alone."""
     rng = np.random.default_rng(22)
-    group = np.sort(np.concatenate([rng.integers(0, 30, 100), np.full(90, 40)]))
-    own, label = rng.integers(0, 2, len(group)), rng.integers(0, 4, len(group))
-    cross = group % 2 == 0
-    sketch = rng.integers(0, 3, (len(group), prob_minhash.REGISTERS)).astype(np.uint8)
-    want = {
-        (i, j) for i in range(len(group)) for j in range(i + 1, len(group))
-        if group[i] == group[j] and label[i] != label[j] and not (cross[i] and own[i] == own[j]) and (sketch[i] == sketch[j]).sum() >= 88
-    }
-    got = [(int(i), int(j)) for a, b in prob_minhash._group_pairs(group, own, label, cross, sketch, 88) for i, j in zip(a, b)]
-    assert set(got) == want and len(got) == len(want) and want
-    monkeypatch.setattr(prob_minhash, "FEW", 4)
-    again = prob_minhash._group_pairs(group, own, label, cross, sketch, 88)
-    assert {(int(i), int(j)) for a, b in again for i, j in zip(a, b)} == want
+    n = 90
+    own, label = rng.integers(0, 2, n), rng.integers(0, 4, n)
+    sketch = rng.integers(0, 3, (n, prob_minhash.REGISTERS)).astype(np.uint8)
+    bands = rng.integers(0, 4, (n, prob_minhash.BANDS))
+    bands[:, 5] = 1
+    for cross in (np.zeros(n, bool), np.ones(n, bool)):
+        want = {
+            (i, j) for i in range(n) for j in range(i + 1, n)
+            if label[i] != label[j] and not (cross[i] and own[i] == own[j]) and (sketch[i] == sketch[j]).sum() >= 88
+            and not (bands[i, :5] == bands[j, :5]).any()
+        }
+        got = [(k, j) for k in range(n) for j in prob_minhash.candidates(k, n, label, own, cross, bands, np.full(n, 5), sketch, 88).tolist()]
+        assert set(got) == want and len(got) == len(want) and want
     same = np.full((1, prob_minhash.REGISTERS), 7, np.uint8)
     assert prob_minhash.agreeing(same, same)[0] == prob_minhash.REGISTERS
 
