@@ -16,7 +16,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SLICE_BYTES = 1 << 19
 BASE = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
-_POWERS: dict[str, np.ndarray] = {}
+PRIME = (1 << 31) - 1
+BASES = (1_540_483_477, 461_845_907)
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def release_memory() -> None:
@@ -93,26 +95,51 @@ def mixed_bits(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(name: str, base: int, n: int) -> np.ndarray:
-    have = _POWERS.get(name)
+def _powers(base: int, n: int) -> np.ndarray:
+    """base ** i modulo PRIME for i up to n at least, kept between batches."""
+    have = _POWERS.get(base)
     if have is None or len(have) <= n:
-        have = np.full(1 << max(16, int(n).bit_length()), base, np.uint64)
-        have[0] = 1
-        _POWERS[name] = have = np.multiply.accumulate(have)
+        size = 1 << max(16, int(n).bit_length())
+        have = np.ones(size, np.uint64)
+        done = 1
+        while done < size:
+            have[done : 2 * done] = have[:done] * np.uint64(pow(base, done, PRIME)) % np.uint64(PRIME)
+            done *= 2
+        _POWERS[base] = have
     return have
 
 
+def _folded(x: np.ndarray) -> np.ndarray:
+    """The same number modulo PRIME below 2^31 + 2, for numbers below 2^63; without a division."""
+    prime, bits = np.uint64(PRIME), np.uint64(31)
+    x = (x & prime) + (x >> bits)
+    return (x & prime) + (x >> bits)
+
+
 class SpanDigests:
-    """64-bit digests of any spans of one byte array, from prefix sums of a polynomial."""
+    """Digests of any spans of one byte array: two polynomials modulo the prime 2^31 - 1, from prefix sums.
+
+    A polynomial modulo a power of two gives one digest to some regular strings, such as the
+    Thue-Morse word and its mirror image, whatever its base; modulo a prime it does not.
+    """
 
     def __init__(self, data: np.ndarray):
         n = len(data)
-        self.back = _powers("back", pow(BASE, -1, 1 << 64), n)
-        self.prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers("up", BASE, n)[:n], out=self.prefix[1:])
+        values = data.astype(np.uint64) + np.uint64(1)
+        self.lanes = []
+        for base in BASES:
+            terms = values * _powers(base, n)[:n]
+            if n > 1 << 24:  # else the sum of n terms below 2^39 stays below 2^63
+                terms %= np.uint64(PRIME)
+            prefix = np.zeros(n + 1, np.uint64)
+            np.cumsum(terms, out=prefix[1:])
+            self.lanes.append((prefix, _powers(pow(base, -1, PRIME), n)))
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mixed_bits((self.prefix[ends] - self.prefix[starts]) * self.back[starts])
+        lanes = (_folded(_folded(prefix[ends] - prefix[starts]) * back[starts]) for prefix, back in self.lanes)
+        one, two = (np.minimum(x, x - np.uint64(PRIME)) for x in lanes)  # the smaller one did not wrap around
+        sizes = (ends - starts).astype(np.uint64)
+        return mixed_bits((one << np.uint64(32) | two) ^ mixed_bits(sizes))
 
 
 def per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:

@@ -37,6 +37,41 @@ def plain_ids(tokenizer, text):
     return tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
+def mirror_words(size=4096):
+    """The Thue-Morse word of two letters and its mirror image, which polynomials modulo 2^64 take for one."""
+    word = "a"
+    while len(word) < size:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_regular_words_have_digests_of_their_own(make, tokenizer):
+    import pyarrow as pa
+
+    for size in (1024, 4096, 16_384):
+        one, two = mirror_words(size)
+        digests = spans.SpanDigests(np.frombuffer((one + two).encode(), np.uint8))(np.array([0, size]), np.array([size, 2 * size]))
+        assert digests[0] != digests[1]
+    one, two = mirror_words()
+    ids, cuts = CachedEncoder().encode_all(*spans.flat(pa.array([one, two])))
+    assert [ids[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:])] == [plain_ids(tokenizer, one), plain_ids(tokenizer, two)]
+    row = quality_report(make([(1, f"{one}\n{two}\n{one}", "en", "a")])).collect()[0]
+    assert row["n_dup_lines"] == 1
+
+
+def test_digests_do_not_depend_on_the_place():
+    rng = np.random.default_rng(1)
+    data = rng.integers(0, 256, 5000).astype(np.uint8)
+    starts = rng.integers(0, 4900, 300)
+    ends = starts + rng.integers(0, 100, 300)
+    got = spans.SpanDigests(data)(starts, ends)
+    again = spans.SpanDigests(data[1:])(np.maximum(starts, 1) - 1, np.maximum(ends, 1) - 1)
+    assert (got == again)[starts > 0].all()
+    by = {}
+    for g, a, b in zip(got.tolist(), starts, ends):
+        assert by.setdefault(g, data[a:b].tobytes()) == data[a:b].tobytes()
+
+
 # quality
 
 
