@@ -151,6 +151,16 @@ def _(t):
     return sm.close_strings(names(t), "s", 2)
 
 
+@case("JN16_distance_three", CLOSE_SQL.replace("<= 2", "<= 3"))
+def _(t):
+    return sm.close_strings(names(t), "s", 3)
+
+
+@case("CLU1_exemplar_buckets")
+def _(t):
+    return cu.cluster_numbers(cu.string_exemplars(t.part.select("p_type"), "p_type", 6))
+
+
 @case("CLU1_string_buckets")
 def _(t):
     return cu.cluster_numbers(cu.components(names(t), sm.close_strings(names(t), "s", 1)))
@@ -159,7 +169,7 @@ def _(t):
 @case("CLU2_k_means_sweep")
 def _(t):
     rows = t.part.select(F.col("p_size").cast("double").alias("x"), (F.col("p_retailprice") / 50).alias("y"))
-    return rounded(cu.k_means_sweep(rows, ["x", "y"], list(range(2, 13))), "calinski_harabasz", places=3)
+    return rounded(cu.k_means_sweep(rows, ["x", "y"], al.TRIED_GROUPS), "calinski_harabasz", places=3)
 
 
 def halves(t):
@@ -175,7 +185,25 @@ def _(t):
     return nb.knn_regression(train, test, "vec_id", "embedding", "label")
 
 
+def alerts(t):
+    host = F.concat(F.lit("srv"), F.col("user_id").cast("string"), F.lit(".com"))
+    return t.events.select(F.col("ts").alias("time"), host.alias("host"), F.col("event_type").alias("type"))
+
+
 @case("JOB12_alert_grouping")
 def _(t):
-    alerts = t.events.select(F.col("ts").alias("time"), F.concat(F.lit("srv"), F.col("user_id").cast("string"), F.lit(".com")).alias("host"), F.col("event_type").alias("type"))
-    return al.grouped(alerts, k=5).groupBy("type", "prediction").agg(F.count(F.lit(1)).alias("n"))
+    return al.grouped(alerts(t), distance=4).groupBy("type", "combined_cluster_id", "prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
+@case("JOB12_group_sweep")
+def _(t):
+    return rounded(al.group_sweep(alerts(t), distance=4), "calinski_harabasz", places=3)
+
+
+@case("JOB12_frequent_runs", """with a as (select cast(ts as date) as d, hour(ts) as h, regexp_replace('srv' || user_id || '.com', '[0-9]+', '', 'g') as host, event_type as type, min(ts) as t from events group by 1, 2, 3, 4),
+  n as (select host || '_' || type as x, row_number() over (order by d, h, t, host || '_' || type) as i from a),
+  r as (select n1.x || ' > ' || n2.x || ' > ' || n3.x || ' > ' || n4.x || ' > ' || n5.x || ' > ' || n6.x as gram from n n1 join n n2 on n2.i = n1.i + 1 join n n3 on n3.i = n1.i + 2
+    join n n4 on n4.i = n1.i + 3 join n n5 on n5.i = n1.i + 4 join n n6 on n6.i = n1.i + 5)
+  select gram, count(*) as cnt from r group by 1 order by cnt desc, gram limit 10""")
+def _(t):
+    return al.frequent_runs(alerts(t))

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from tallyflow.functions.dates import calendar_parts
 from tallyflow.functions.text import has_any_com, keyword_flags, without_digits
-from tallyflow.operators.clustering import cluster_numbers, components, k_means
+from tallyflow.operators.clustering import cluster_numbers, k_means, k_means_sweep, string_exemplars
 from tallyflow.operators.profile import first_time, gram_counts, top_k
-from tallyflow.operators.similarity import close_strings
+from tallyflow.session import cut_lineage
 
 # Alert keywords and the tried group numbers.
 KEYWORDS = ("ping", "load", "sql", "memcach", "storage", "cpu")
@@ -43,13 +43,26 @@ def frequent_runs(alerts: DataFrame, n: int = 6, k: int = 10) -> DataFrame:
 
 
 def with_buckets(rows: DataFrame, column: str, out: str, distance: int = 2) -> DataFrame:
-    """Rows with the number of their string bucket: names linked by small edit distances."""
-    clusters = cluster_numbers(components(rows.select(column), close_strings(rows, column, distance)))
+    """Rows with the number of their string bucket: names of one exemplar."""
+    clusters = cluster_numbers(string_exemplars(rows.select(column), column, distance))
     return rows.join(clusters.select(F.col("vertex").alias(column), F.col("cluster_id").alias(out)), column)
 
 
-def grouped(alerts: DataFrame, k: int = 60, seed: int = 1) -> DataFrame:
-    """Alerts with host bucket, type bucket and group."""
-    rows = with_buckets(enriched(alerts), "host_no_numbers", "host_cluster_id")
-    rows = with_buckets(rows, "type", "alert_cluster_id")
-    return k_means(rows, ["host_cluster_id", "alert_cluster_id", "timestamp"], k, seed)
+def bucketed(alerts: DataFrame, distance: int = 2) -> DataFrame:
+    """Enriched alerts with their host, type and combined buckets."""
+    rows = with_buckets(enriched(alerts), "host_no_numbers", "host_cluster_id", distance)
+    rows = with_buckets(rows, "type", "alert_cluster_id", distance)
+    return cut_lineage(with_buckets(rows, "host_type_combined", "combined_cluster_id", distance))
+
+
+GROUPED_BY = ["host_cluster_id", "alert_cluster_id", "timestamp"]
+
+
+def grouped(alerts: DataFrame, k: int = 60, seed: int = 1, distance: int = 2) -> DataFrame:
+    """Alerts with host, type and combined bucket, and with their group of ``k``."""
+    return k_means(bucketed(alerts, distance), GROUPED_BY, k, seed)
+
+
+def group_sweep(alerts: DataFrame, ks=TRIED_GROUPS, seed: int = 1, distance: int = 2) -> DataFrame:
+    """(tried, k, calinski_harabasz) of each tried number of groups."""
+    return k_means_sweep(bucketed(alerts, distance), GROUPED_BY, ks, seed)
