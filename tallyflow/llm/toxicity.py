@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import sys
-from collections import deque
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -55,63 +54,76 @@ def allowed_edits(term: str, stem: bool) -> int:
     return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
 
 
-@dataclass
 class Automaton:
-    """Tables of the deterministic automaton: the next state by class, and the terms (or -1) that a
-    word has as its beginning, or is, when it comes to a state."""
-
-    alphabet: str
-    step: np.ndarray
-    stem: np.ndarray
-    word: np.ndarray
-    fuzzy: np.ndarray
-
-
-def build_automaton(terms: Sequence[tuple[str, bool, float]]) -> Automaton:
     """Levenshtein automata of all terms, run together along the trie of the lexicon.
 
     A state is a set of (trie node, edits so far, letter owed by a swap). A letter moves along a
     branch, or with one more edit stands for another letter, is extra, was left out, or is swapped
-    with the next. Only nodes above a term that allows so many edits are followed, so the subsets
-    stay few.
+    with the next. Only nodes above a term that allows so many edits are followed.
+
+    The driver builds the trie alone. Sets become numbered states when a word first comes to them, so a task
+    works out the steps that its own words take, each once; state 0 is the empty set, 1 the start. ``stem``
+    and ``word`` are the terms (or -1) that a word has as its beginning, or is, when it comes to a state.
     """
-    alphabet = "".join(sorted({c for term, _, _ in terms for c in term}))
-    classes = len(alphabet) + 2
-    children: list[dict[int, int]] = [{}]
-    ends: list[list[tuple[int, int]]] = [[]]
-    most = [0]
-    for number, (term, stem, _) in enumerate(terms):
-        node, edits = 0, allowed_edits(term, stem)
-        most[0] = max(most[0], edits)
-        for letter in term:
-            code = alphabet.index(letter) + 2
-            if code not in children[node]:
-                children.append({})
-                ends.append([])
-                most.append(0)
-                children[node][code] = len(children) - 1
-            node = children[node][code]
-            most[node] = max(most[node], edits)
-        ends[node].append((edits, number))
-
-    def closed(found: dict[tuple[int, int], int]) -> frozenset:
+
+    def __init__(self, terms: Sequence[tuple[str, bool, float]]):
+        self.terms = list(terms)
+        self.alphabet = "".join(sorted({c for term, _, _ in terms for c in term}))
+        self.children: list[dict[int, int]] = [{}]
+        self.ends: list[list[tuple[int, int]]] = [[]]
+        self.most = [0]
+        for number, (term, stem, _) in enumerate(terms):
+            node, edits = 0, allowed_edits(term, stem)
+            self.most[0] = max(self.most[0], edits)
+            for letter in term:
+                code = self.alphabet.index(letter) + 2
+                if code not in self.children[node]:
+                    self.children.append({})
+                    self.ends.append([])
+                    self.most.append(0)
+                    self.children[node][code] = len(self.children) - 1
+                node = self.children[node][code]
+                self.most[node] = max(self.most[node], edits)
+            self.ends[node].append((edits, number))
+        self.numbers: dict[frozenset, int] = {}
+        self.states: list[frozenset] = []
+        self.step = np.zeros((0, len(self.alphabet) + 2), np.int32)
+        self.stem, self.word, self.fuzzy = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+        self._numbered(frozenset())
+        self._numbered(self._closed({(0, 0): 0}))
+        self.step[0] = 0
+
+    def _numbered(self, state: frozenset) -> int:
+        at = self.numbers.get(state)
+        if at is None:
+            at = self.numbers[state] = len(self.states)
+            self.states.append(state)
+            if at >= len(self.step):
+                more = max(64, at)
+                self.step = np.concatenate([self.step, np.full((more, self.step.shape[1]), -1, np.int32)])
+                self.stem, self.word = (np.concatenate([x, np.full(more, -1)]) for x in (self.stem, self.word))
+                self.fuzzy = np.concatenate([self.fuzzy, np.zeros(more, bool)])
+            self.stem[at], self.word[at], self.fuzzy[at] = self._verdict(state)
+        return at
+
+    def _closed(self, found: dict[tuple[int, int], int]) -> frozenset:
         """With left-out letters; for each node and owed letter the fewest edits."""
         todo = list(found.items())
         while todo:
             (node, owed), e = todo.pop()
             if owed or found[node, owed] < e:
                 continue
-            for child in children[node].values():
-                if e < most[child] and e + 1 < found.get((child, 0), 9):
+            for child in self.children[node].values():
+                if e < self.most[child] and e + 1 < found.get((child, 0), 9):
                     found[child, 0] = e + 1
                     todo.append(((child, 0), e + 1))
         return frozenset((n, o, e) for (n, o), e in found.items())
 
-    def moved(state: frozenset, code: int) -> frozenset:
+    def _moved(self, state: frozenset, code: int) -> frozenset:
         found: dict[tuple[int, int], int] = {}
 
         def put(node: int, owed: int, e: int) -> None:
-            if e <= most[node] and e < found.get((node, owed), 9):
+            if e <= self.most[node] and e < found.get((node, owed), 9):
                 found[node, owed] = e
 
         for node, owed, e in state:
@@ -119,45 +131,47 @@ def build_automaton(terms: Sequence[tuple[str, bool, float]]) -> Automaton:
                 if owed == code:
                     put(node, 0, e)
                 continue
-            for letter, child in children[node].items():
-                put(child, 0, e + (letter != code))
-                after = children[child].get(code)
-                if after is not None and letter != code:
-                    put(after, letter, e + 1)
-            put(node, 0, e + 1)
-        return closed(found)
-
-    def verdict(state: frozenset) -> tuple[int, int, bool]:
+            if e < self.most[node]:
+                for letter, child in self.children[node].items():
+                    put(child, 0, e + (letter != code))
+                    after = self.children[child].get(code)
+                    if after is not None and letter != code:
+                        put(after, letter, e + 1)
+                put(node, 0, e + 1)
+            elif code in self.children[node]:
+                put(self.children[node][code], 0, e)
+        return self._closed(found)
+
+    def _verdict(self, state: frozenset) -> tuple[int, int, bool]:
         """The likeliest stem and whole word here, and whether the word is misspelled."""
         stem, word, rank = -1, -1, (False, -1.0)
         for node, owed, e in state:
-            for edits, number in ends[node]:
+            for edits, number in self.ends[node]:
                 if owed or e > edits:
                     continue
-                if terms[number][1]:
-                    stem = number if stem < 0 or terms[number][2] > terms[stem][2] else stem
-                elif (e == 0, terms[number][2]) > rank:
-                    word, rank = number, (e == 0, terms[number][2])
+                odds = self.terms[number][2]
+                if self.terms[number][1]:
+                    stem = number if stem < 0 or odds > self.terms[stem][2] else stem
+                elif (e == 0, odds) > rank:
+                    word, rank = number, (e == 0, odds)
         return stem, word, word >= 0 and not rank[0]
 
-    start = closed({(0, 0): 0})
-    numbers = {frozenset(): 0, start: 1}
-    queue, rows, results = deque([start]), {0: [0] * classes}, {0: (-1, -1, False)}
-    while queue:
-        state = queue.popleft()
-        at = numbers[state]
-        results[at] = verdict(state)
-        row = []
-        for code in range(classes):
-            after = moved(state, code)
-            if after not in numbers:
-                numbers[after] = len(numbers)
-                queue.append(after)
-            row.append(numbers[after])
-        rows[at] = row
-    n = len(numbers)
-    stem, word, fuzzy = zip(*[results[k] for k in range(n)], strict=True)
-    return Automaton(alphabet, np.array([rows[k] for k in range(n)], np.int32), np.array(stem), np.array(word), np.array(fuzzy))
+    def after(self, states: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The next states; steps that no word has taken yet are worked out."""
+        now = self.step[states, codes]
+        new = np.flatnonzero(now < 0)
+        if len(new):
+            width = self.step.shape[1]
+            for pair in np.unique(states[new].astype(np.int64) * width + codes[new]).tolist():
+                state, code = divmod(pair, width)
+                to = self._numbered(self._moved(self.states[state], code))
+                self.step[state, code] = to
+            now = self.step[states, codes]
+        return now
+
+
+def build_automaton(terms: Sequence[tuple[str, bool, float]]) -> Automaton:
+    return Automaton(terms)
 
 
 def find_terms(automaton: Automaton, odds: np.ndarray, classes: np.ndarray, starts: np.ndarray, ends: np.ndarray):
@@ -168,7 +182,7 @@ def find_terms(automaton: Automaton, odds: np.ndarray, classes: np.ndarray, star
     active = np.arange(len(starts))
     place = starts.copy()
     while len(active):
-        now = automaton.step[state[active], classes[place[active]]]
+        now = automaton.after(state[active], classes[place[active]])
         state[active] = now
         place[active] += 1
         stem = automaton.stem[now]
