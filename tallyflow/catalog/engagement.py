@@ -220,6 +220,15 @@ def _(t):
     return flat.select(*FLAT_COLUMNS, action_text().alias("actions"))
 
 
+@case("LATE1_merged_days", FLAT_SQL)
+def _(t):
+    # three runs; facets of a message come up to the whole month apart
+    events, path = event_log(t), scratch(t) + "/late"
+    for first, last in ((START, date(2024, 1, 9)), (date(2024, 1, 10), date(2024, 1, 19)), (date(2024, 1, 20), END)):
+        flat = fl.update_days(events, path, first, last, delay_days=40)
+    return flat.select(*FLAT_COLUMNS, action_text().alias("actions"))
+
+
 # installed apps: a customer is a device, its ordered parts are its packages
 def devices(t):
     one = F.struct(

@@ -342,6 +342,76 @@ def flatten_increment(events: DataFrame, path: str, as_of, start=None) -> tuple
     return first, last
 
 
+def facet_states(log: DataFrame) -> DataFrame:
+    """Mergeable facets per message: the earliest row of each kind with its rank, the greatest depth, all clicks.
+
+    States of parts of a log merge to the state of the whole (``merged_states``): earliest rows by their rank, clicks
+    as one list. A message needs no sent row to have a state.
+    """
+    stamp = epoch_millis(F.col("p.timestamp"))
+    kind = lambda k: F.col("event") == k
+    first = lambda cond, *values: F.min(F.when(cond, F.struct("rank_key", F.struct(*values).alias("v"))))
+    locale = lambda key: F.coalesce(F.col("p").getField(key), F.lit(""))
+    return log.groupBy(F.col("p.messageid").alias("message_id")).agg(
+        first(is_sent(), *sent_columns()).alias("s_sent"),
+        first(
+            kind(RECEIVED), locale("agentlocale").alias("agent_locale"), locale("devicelocale").alias("device_locale"), stamp.alias("at")
+        ).alias("s_received"),
+        first(kind(DISMISS), stamp.alias("at")).alias("s_dismiss"),
+        first(is_view(), stamp.alias("at")).alias("s_view"),
+        first(kind(TIME_ON_PAGE), seconds_on_page().alias("seconds")).alias("s_page"),
+        first(kind(FEEDBACK_MODULE), stamp.alias("at")).alias("s_module"),
+        first(is_feedback_click(), F.col("p.feedbackvalue").try_cast("boolean").alias("value")).alias("s_feedback"),
+        F.max(F.when(kind(PAGE_SCROLL), whole_depth())).alias("scroll_depth"),
+        F.collect_list(F.when(kind(CLICK) & F.col("p.actionid").isNotNull(), _click())).alias("clicks"),
+    )
+
+
+def merged_states(states: DataFrame) -> DataFrame:
+    """One state per message from any number of them."""
+    earliest = [c for c in states.columns if c.startswith("s_")]
+    return states.groupBy("message_id").agg(
+        *[F.min(c).alias(c) for c in earliest], F.max("scroll_depth").alias("scroll_depth"), F.flatten(F.collect_list("clicks")).alias("clicks")
+    )
+
+
+def flat_rows(states: DataFrame) -> DataFrame:
+    """The rows of ``flatten_events`` from states, and ``sent_day``, the log day of the sent row."""
+    seen = lambda c: F.col(c).isNotNull().cast("int")
+    values = {
+        "agent_locale": F.col("s_received.v.agent_locale"), "device_locale": F.col("s_received.v.device_locale"),
+        "received_timestamp": F.col("s_received.v.at"), "received": seen("s_received"),
+        "dismiss": seen("s_dismiss"), "dismiss_timestamp": F.col("s_dismiss.v.at"),
+        "view": seen("s_view"), "view_timestamp": F.col("s_view.v.at"),
+        "time_on_page": F.col("s_page.v.seconds"), "scroll_depth": F.col("scroll_depth"),
+        "feedback_module_impression": seen("s_module"), "feedback_module_impression_timestamp": F.col("s_module.v.at"),
+        "feedback_value": F.col("s_feedback.v.value"), "actions": _in_order(F.col("clicks")),
+    }
+    day = F.to_date("s_sent.rank_key.time").alias("sent_day")
+    return states.where(F.col("s_sent").isNotNull()).select("message_id", "s_sent.v.*", *[values[c].alias(c) for c in FACET_COLUMNS], day)
+
+
+def update_days(events: DataFrame, path: str, first, last, delay_days: int) -> DataFrame:
+    """Adds the log days ``first`` to ``last`` to the table in ``path`` and merges late facets into the days that they concern.
+
+    The states of the new days are written to ``path/states``, by run, also those of messages without a sent row.
+    Then the days from ``delay_days`` before ``first`` on are built anew from the states of the runs that can hold their
+    facets, up to ``delay_days`` before or after the sent row, and replaced in ``path/flat`` (by sent_day). Older
+    days stay as they are. The log is read for the new days only. A run that broke off may be repeated: it
+    replaces its states and days. Returns the whole table.
+    """
+    spark = events.sparkSession
+    log = parse_log(events.where(F.col("time") < F.lit(last + timedelta(days=1))), first, last + timedelta(days=1))
+    states = facet_states(log)
+    states.write.mode("overwrite").parquet(f"{path}/states/last={last.isoformat()}/first={first.isoformat()}")
+    since = first - timedelta(days=delay_days)
+    kept = spark.read.schema(states.schema).option("basePath", f"{path}/states").parquet(f"{path}/states")
+    kept = kept.where(F.col("last") >= F.lit((since - timedelta(days=delay_days)).isoformat())).drop("last", "first")
+    rows = flat_rows(merged_states(kept)).where((F.col("sent_day") >= F.lit(since)) & (F.col("sent_day") <= F.lit(last)))
+    write_partitioned(rows, f"{path}/flat", "sent_day", mode="overwrite")
+    return spark.read.schema(rows.schema).parquet(f"{path}/flat")
+
+
 FACET_COLUMNS = (
     "agent_locale", "device_locale", "received_timestamp", "received", "dismiss", "dismiss_timestamp",
     "view", "view_timestamp", "time_on_page", "scroll_depth", "feedback_module_impression",

@@ -75,6 +75,26 @@ def test_the_log_is_read_once(spark):
     assert len(re.findall(r"Scan ExistingRDD", text.getvalue())) == 1
 
 
+def test_late_facets_are_merged_into_older_days(spark, tmp_path):
+    def at(day, row):
+        return (*row[:1], row[1] + timedelta(days=day), *row[2:])
+
+    first = [event("sent", 0, "a"), event("received", 1, "a"), event("click", 2, "a", actionid="x"), event("view", 3, "b"), event("sent", 4, "c")]
+    second = [event("sent", 0, "b"), event("timeonpage", 1, "a", timeonpage="7"), event("click", 2, "a", actionid="x"), event("click", 1, "a", actionid="y"), event("sent", 9, "c")]
+    days = [log(spark, [at(0, r) for r in first]), log(spark, [at(1, r) for r in second])]
+    start = days[0].agg({"time": "min"}).first()[0].date()
+    path, both = str(tmp_path / "days"), days[0].unionByName(days[1])
+    for n in (0, 1, 1):  # the last run is repeated
+        flat = flatten.update_days(days[n], path, start + timedelta(days=n), start + timedelta(days=n), delay_days=1)
+    want = flatten.flatten_events(both, start, start + timedelta(days=2))
+    names = [c for c in want.columns if c != "sent_day"]
+    assert sorted(map(str, flat.select(names).collect())) == sorted(map(str, want.select(names).collect()))
+    rows = {r["message_id"]: r for r in flat.collect()}
+    assert [x["action"] for x in rows["a"]["actions"]] == ["x", "y", "x"] or len(rows["a"]["actions"]) == 3
+    assert rows["a"]["time_on_page"] == 7.0 and rows["b"]["view"] == 1 and len(rows) == 3
+    assert rows["a"]["sent_day"] == start and rows["b"]["sent_day"] == start + timedelta(days=1)
+
+
 def test_increment_goes_on_after_the_newest_day(spark, tmp_path):
     events, path = log(spark, LOG), str(tmp_path / "flat")
     with pytest.raises(ValueError):
