@@ -182,7 +182,17 @@ def published_rows(model: DataFrame, hierarchy: Sequence[str]) -> DataFrame:
 
 
 def with_probability(rows: DataFrame, model: DataFrame, hierarchy: Sequence[str], out: str = "probability") -> DataFrame:
-    """Probability of the deepest known key prefix; the root answers last."""
+    """Probability of the deepest known key prefix; the root answers last.
+
+    The levels are joined to the different key tuples only; the rows take part in one join.
+    """
+    keys = _looked_up(rows.select(*hierarchy).distinct(), model, hierarchy, "_p")
+    keys = keys.select(*[F.col(k).alias("_k_" + k) for k in hierarchy], F.col("_p").alias("_p"))
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col("_k_" + k)) for k in hierarchy])
+    return rows.join(keys, on, "left").select(*rows.columns, F.col("_p").alias(out))
+
+
+def _looked_up(rows: DataFrame, model: DataFrame, hierarchy: Sequence[str], out: str) -> DataFrame:
     found, looked = [], rows
     for depth in range(len(hierarchy), 0, -1):
         keys = hierarchy[:depth]
@@ -218,7 +228,7 @@ def model_metrics(rows: DataFrame, model: DataFrame, hierarchy: Sequence[str]) -
     one row in every join.
     """
     grouped = rows.groupBy(*hierarchy, "success").agg(F.count(F.lit(1)).alias("n"))
-    scored = with_probability(grouped, model, hierarchy)
+    scored = _looked_up(grouped, model, hierarchy, "probability")
     mean = lambda e: F.try_divide(F.sum(e * F.col("n")), F.sum("n"))
     p, y = F.col("probability"), F.col("success")
     return scored.agg(
