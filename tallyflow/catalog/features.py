@@ -197,3 +197,19 @@ def click_rows(t):
         *CLICK_KEYS, "p_type", "p_brand", "l_linestatus", F.weekday("l_shipdate").alias("dow"),
         (F.col("l_returnflag") == "R").cast("int").alias("clicks"), F.col("l_quantity").alias("impressions"),
     )
+
+
+@case("JOB10_category_widths", """with base as (select p_type, p_type || '_' || p_brand as type_brand from lineitem join part on l_partkey = p_partkey),
+  n as (select 'p_type' as "column", count(distinct p_type) as categories from base union all select 'type_brand', count(distinct type_brand) from base)
+  select *, case when categories <= 10 then 3 when categories <= 100 then 5 else 10 end as width from n""")
+def _(t):
+    return ck.category_widths(click_rows(t), CLICK_SPEC)
+
+
+@case("JOB10_part_rates", f"""with base as (select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as id, cast(l_returnflag = 'R' as integer) as clicks, l_quantity as w
+    from lineitem join part on l_partkey = p_partkey), parted as (select *, {SHARE.format(k='id')} as u from base)
+  select case when u < 0.6 then 'train' when u < 0.8 then 'validation' else 'test' end as part, count(*) as n, round(sum(clicks * w) / sum(w), 9) as rate
+  from parted group by 1""")
+def _(t):
+    rows = click_rows(t).withColumn("id", F.concat_ws("-", *CLICK_KEYS))
+    return rounded(ck.part_rates(rows, CLICK_SPEC, ["id"]), "rate", places=9)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyflow.catalog import case
 from tallyflow.catalog.basics import scratch
-from tallyflow.catalog.features import click_rows
+from tallyflow.catalog.features import CLICK_KEYS, click_rows
 from tallyflow.catalog.profiling import installs, rounded
 from tallyflow.operators import evaluation as ev
 from tallyflow.operators import l1_path as lp
@@ -15,6 +15,7 @@ from tallyflow.operators import models as md
 from tallyflow.plans import ablation as ab
 from tallyflow.plans import adviews as av
 from tallyflow.plans import churn as ch
+from tallyflow.plans import clicks as ck
 from tallyflow.plans import prices as pr
 from tallyflow.plans import tweets as tw
 from tallyflow.session import cut_lineage
@@ -152,9 +153,9 @@ def _(t):
 
 @case("MOD10_weighted_click_model")
 def _(t):
-    rows = click_rows(t)
-    model = md.hashed_click_model(rows, ["p_type", "p_brand", "l_linestatus"], "clicks", "impressions", buckets=256)
-    scored = md.probability(model.transform(rows))
+    rows = cut_lineage(ck.parted(click_rows(t).withColumn("id", F.concat_ws("-", *CLICK_KEYS)), ["id"]))
+    model = md.hashed_click_model(rows.where("part = 'train'"), ["p_type", "p_brand", "l_linestatus"], "clicks", "impressions", buckets=256)
+    scored = md.probability(model.transform(rows.where("part = 'test'")))
     pairs = ev.scored(scored, F.col("score"), F.col("clicks"), F.col("impressions"))
     return ev.roc_auc(pairs).withColumn("calibration", ev.calibration(pairs).scalar())
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyflow.operators.features import composites
 from tallyflow.operators.ordering import numbered
+from tallyflow.operators.splits import with_part
 from tallyflow.session import cut_lineage
 
 # Columns of the full click log, by role.
@@ -27,6 +28,10 @@ COMPOSITE = {
 }
 BINARY = ("is_interstitial", "is_mobile_web_optimized", "is_app")
 CYCLICAL = ("user_day_of_week", "user_hour")
+# Embedding width up to so many categories, and beyond; parts of the rows.
+WIDTHS = ((10, 3), (100, 5))
+WIDEST = 10
+PARTS = {"train": 0.6, "validation": 0.2, "test": 0.2}
 
 
 @dataclass
@@ -50,14 +55,42 @@ def value_numbers(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     return cut_lineage(numbered(long, ["value"], ["column"]))
 
 
+def with_composites(rows: DataFrame, spec: ClickSpec) -> DataFrame:
+    """Categories as text, nulls as ``unknown``, and the composite ones."""
+    filled = rows.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("unknown")) for c in spec.categorical})
+    return composites(filled, spec.composite)
+
+
+def category_widths(rows: DataFrame, spec: ClickSpec) -> DataFrame:
+    """(column, categories, width): distinct values of each category and its embedding's width."""
+    found = value_numbers(with_composites(rows, spec), [*spec.categorical, *spec.composite])
+    counts = found.groupBy("column").agg(F.count(F.lit(1)).alias("categories"))
+    width = F.lit(WIDEST)
+    for most, size in reversed(WIDTHS):
+        width = F.when(F.col("categories") <= most, size).otherwise(width)
+    return counts.withColumn("width", width)
+
+
+def parted(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows with their ``part``: train, validation or test, by the digest of ``key``."""
+    return with_part(rows, key, list(PARTS), list(PARTS.values()))
+
+
+def part_rates(rows: DataFrame, spec: ClickSpec, key: Sequence[str]) -> DataFrame:
+    """(part, n, rate): rows and the weighted click rate of each part."""
+    w = F.col(spec.weight)
+    return parted(rows, key).groupBy("part").agg(
+        F.count(F.lit(1)).alias("n"), F.try_divide(F.sum(F.col(spec.label) * w), F.sum(w)).alias("rate")
+    )
+
+
 def prepare(rows: DataFrame, spec: ClickSpec, keep: Sequence[str] = ()) -> DataFrame:
     """Dense category ids, 0/1 codes, sine and cosine columns, label and weight.
 
     All dictionaries and periods come from one pass over the rows and the ends of the two-valued
     columns from another, however many columns there are.
     """
-    filled = rows.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("unknown")) for c in spec.categorical})
-    base = composites(filled, spec.composite)
+    base = with_composites(rows, spec)
     ids = [*spec.categorical, *spec.composite]
     numbers = value_numbers(base, [*ids, *spec.cyclical])
     sizes = {r["column"]: r["count"] for r in numbers.groupBy("column").count().collect()}
