@@ -21,11 +21,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Features that begin in the working set, features whose curvature is one matrix, numbers held per slice of rows.
 SEED_FEATURES, BLOCK_FEATURES, SLICE = 1000, 1000, 1 << 21
-#: Gradient that may remain, as a share of the strongest penalty; most steps; most updates of an inner
+#: Gradient that may remain, as a share of the strongest penalty; gain of a step, as a share
+#: of the loss, below which a problem is done; most steps; most updates of an inner
 #: problem, and sweeps between two looks at what is solved.
-TOLERANCE, MOST_STEPS, MOST_UPDATES, SWEEPS = 2e-6, 500, 2_000, 4
-#: Least curvature of a row, a fiftieth of the greatest; steps after which the curvature is summed anew.
-LEAST_CURVATURE, RENEWED = 0.005, (0, 2, 5, 9, 14, 20, 30, 50, 80, 120, 200, 300)
+TOLERANCE, LEAST_GAIN, MOST_STEPS, MOST_UPDATES, SWEEPS = 2e-6, 1e-9, 60, 2_000, 4
+#: Least curvature of a row, a share of the greatest, 1/4; steps from one sum of the curvature to the next.
+LEAST_CURVATURE, RENEWED = 0.0005, 3
 
 
 @dataclass
@@ -225,9 +226,10 @@ def fit_path(
     ``rows`` holds (label 0 or 1, fold, idx, val): sparse rows over ``size`` features, fold below ``folds``.
     All (C, fold) problems are columns of one weight matrix. A step is one pass over the rows: the matrix product gives all
     margins, another one all gradients. The curvature matrix of a fold, at the mean p (1 - p) of its problems, is summed
-    every few steps (RENEWED); it makes the step's quadratic problem, which the driver solves by coordinates. A step
+    every RENEWED steps over the problems still open; it makes the step's quadratic problem, which the driver solves by coordinates. A step
     that the next pass finds above its quadratic value is taken back and the problem's curvature doubled, in the end to
-    1/4 for every row, which bounds the loss. A problem whose optimality conditions hold leaves the passes.
+    1/4 for every row, which bounds the loss. After MOST_STEPS a problem stays as it is. A problem whose optimality conditions hold, or that a step improved by
+    less than LEAST_GAIN of its loss (flat valleys of equal features), leaves the passes.
 
     Points advance side by side, so none waits for its neighbour. Features enter by the size of their
     gradient at no weights; when all problems are solved, one pass sums the gradients of the features left
@@ -275,6 +277,7 @@ def fit_path(
             passes, steps = passes + 1, steps + 1
             now = loss + (limit[:, live] * np.abs(trial[:, live])).sum(axis=0)
             good = now <= bound[live] + 1e-9 * np.abs(now)
+            still = good & (value[live] - now < LEAST_GAIN * (1.0 + np.abs(now)))
             taken, back = live[good], live[~good]
             weights[:, taken], gradient[:, taken], value[taken] = trial[:, taken], slopes[:, good], now[good]
             scale[back] = np.minimum(2 * scale[back], 0.25 / LEAST_CURVATURE)
@@ -282,10 +285,10 @@ def fit_path(
                 weights[:, live] != 0, np.abs(gradient[:, live] + limit[:, live] * np.sign(weights[:, live])),
                 np.maximum(np.abs(gradient[:, live]) - limit[:, live], 0.0),
             ).max(axis=0)
-            live = live[rest > slack]
+            live = live[(rest > slack) & ~still]
             if not len(live):
                 break
-            if step in RENEWED:
+            if step % RENEWED == 0:
                 flat = _curvatures(rows, groups, place, weights[:, live], left_out[live], folds, blocks)
                 scale[:], passes = 1.0, passes + 1
             for f in range(folds + 1):
