@@ -208,3 +208,14 @@ def test_ablation_runs_two_variants(spark):
                             fit=lambda rows, size: l1_path.searched_path(rows, size, points=3, folds=2), folds=2, min_devices=5, cutoff=0.99)
     rows = out.collect()
     assert len(rows) == 2 and all(0 < r["average_precision"] <= 1 and 0 <= r["kept"] <= r["features"] for r in rows)
+
+
+def test_ablation_without_any_feature_is_the_intercept_alone(spark):
+    people = spark.createDataFrame([(i, f"c{i % 2}", f"m{i % 3}", "v", int(i % 4 == 0)) for i in range(80)],
+                                   "dev int, carrier_name string, device_model string, device_vendor string, y int")
+    apps = spark.createDataFrame([(i, "com.app") for i in range(80)], "dev int, app string")
+    only = ablation.Variant("common apps only", common_apps=True, models=False)
+    row = ablation.ablation(apps, people, "dev", "y", variants=[only], folds=2, min_devices=5, cutoff=0.99,
+                            fit=lambda rows, size: l1_path.searched_path(rows, size, points=3, folds=2)).first()
+    assert (row["features"], row["kept"], row["point"]) == (0, 0, 0)
+    assert row["average_precision"] == pytest.approx(0.25) and row["train_precision"] == pytest.approx(0.25)
