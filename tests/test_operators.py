@@ -241,3 +241,22 @@ def test_splits_do_not_depend_on_partitioning(spark):
     assert a == b and sum(p == "test" for _, p in a) == 300
     train, test = spl.random_split(df, ["id"], [0.7, 0.3])
     assert train.count() + test.count() == 1000 and spl.sample_rows(df, ["id"], 123).count() == 123
+
+
+def test_similar_pairs_makes_no_candidate_rows(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    # two dense and many rare tokens, slices and product blocks that end inside an item
+    monkeypatch.setattr(sm, "COMMON_TOKENS", 2)
+    monkeypatch.setattr(sm, "SLICE_ITEMS", 3)
+    monkeypatch.setattr(sm, "MOST_PRODUCTS", 7)
+    full = rng.random((60, 25)) * (rng.random((60, 25)) < 0.3)
+    full[:, 0] = 0.5
+    full[40:50] = full[40] + 0.01 * rng.random((10, 25))
+    full /= np.linalg.norm(full, axis=1)[:, None]
+    rows = [(i, f"t{j}", float(full[i, j])) for i in range(60) for j in range(25) if full[i, j]]
+    out = sm.similar_pairs(spark.createDataFrame(rows, "id int, token string, weight double"), "id", 0.5)
+    product = full @ full.T
+    want = {(i, j) for i in range(60) for j in range(i + 1, 60) if product[i, j] >= 0.5}
+    got = {(r["a"], r["b"]): r["similarity"] for r in out.collect()}
+    assert got.keys() == want and all(abs(got[k] - product[k]) < 1e-12 for k in want)
+    assert "Join" not in out._jdf.queryExecution().toString()
