@@ -18,6 +18,7 @@ from tallyflow.llm.quality import (
     ORDER,
     fit_kneser_ney,
     keep_good,
+    fit_tables,
     quality_report,
 )
 from tallyflow.llm.token_store import EliasFano, pack_block, read_token_store, unpack_block, write_token_store
@@ -132,6 +133,34 @@ def test_kneser_ney_is_a_distribution():
     assert np.exp(empty.log_probability(np.arange(4))) == pytest.approx(1 / CLASSES)
 
 
+def test_tables_of_the_model_equal_its_plain_form(spark):
+    rng = np.random.default_rng(2)
+    rows, want = [], {}
+    for lang in (7, 8):
+        text = rng.choice(np.arange(1, 9), 3000, p=[0.3, 0.25, 0.15, 0.1, 0.08, 0.06, 0.04, 0.02])
+        grams = Counter(tuple(int(c) for c in text[k : k + ORDER]) for k in range(len(text) - ORDER + 1))
+        codes = np.array([sum(c << 5 * (ORDER - 1 - k) for k, c in enumerate(g)) for g in grams])
+        plain = fit_kneser_ney(codes, np.array(list(grams.values())), alphabet=len({g[-1] for g in grams}))
+        for (g, n), log in zip(grams.items(), plain.log_probability(codes)):
+            want[lang, g[0], g[1] << 42 | g[2] << 21 | g[3]] = log
+            rows.append((lang, g[0], g[1] << 42 | g[2] << 21 | g[3], n))
+    counts = spark.createDataFrame(rows, "_l long, _high long, _low long, _n long")
+    got = {(r["_l"], r["_high"], r["_low"]): r["_log"] for r in fit_tables(counts).collect()}
+    assert got == pytest.approx(want, abs=1e-4)
+
+
+def test_letters_of_other_scripts_are_told_apart(make):
+    rng = np.random.default_rng(3)
+    letters = [chr(c) for c in range(0x430, 0x450)]
+    words = ["".join(rng.choice(letters, 6)) for _ in range(60)]
+    prose = [" ".join(rng.choice(words, 80)) for _ in range(40)]
+    junk = re.sub(r"\S", lambda m: str(rng.choice(letters)), prose[0])
+    report = {r["doc_id"]: r for r in quality_report(make([(k, t, "ru") for k, t in enumerate([*prose, junk])])).collect()}
+    assert not report[40]["kept"]
+    assert all(report[k]["kept"] for k in range(40) if not report[k]["base_failed"])
+    assert not any(report[k]["base_failed"] for k in (0, 40))
+
+
 # licences
 
 
