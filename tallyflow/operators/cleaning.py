@@ -135,8 +135,9 @@ def minority_by_share(df: DataFrame, columns: Sequence[str], share: float = 0.00
 
 
 def above_threshold(df: DataFrame, column: str, threshold: int) -> DataFrame:
-    """Rows whose value of ``column`` occurs more than ``threshold`` times."""
-    return greater_than(with_group_count(df, [column], "_n"), "_n", threshold).drop("_n")
+    """Rows whose value of ``column`` occurs more than ``threshold`` times; only these values meet the rows."""
+    sizes = df.groupBy(F.col(column).alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
+    return df.join(greater_than(sizes, "_n", threshold), df[column].eqNullSafe(sizes["_g"]), "left_semi")
 
 
 def greater_than(df: DataFrame, column: str, minimum: float) -> DataFrame:

@@ -38,9 +38,15 @@ def name_totals(rows: DataFrame, binary: bool = False) -> DataFrame:
 
 
 def pivot_names(rows: DataFrame, names: Sequence[str], binary: bool = False, key: str = "deviceId") -> DataFrame:
-    """One 0-filled column per declared name."""
+    """One 0-filled column per declared name.
+
+    A key moves as the map of the names that it has, and is widened afterwards, row by row.
+    """
     total = F.max("value") if binary else F.sum("value")
-    return rows.groupBy(key).pivot("name", list(names)).agg(total).na.fill(0)
+    totals = rows.groupBy(key, "name").agg(total.alias("value"))
+    known = F.when(F.col("name").isin(*names), F.struct("name", "value"))
+    maps = totals.groupBy(key).agg(F.map_from_entries(F.collect_list(known)).alias("_values"))
+    return maps.select(key, *[F.element_at("_values", F.lit(n)).alias(n) for n in names]).na.fill(0)
 
 
 def declared_names(rows: DataFrame, limit: int = 10_000) -> list[str]:
