@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyflow.operators.similarity import close_strings
-from tallyflow.session import cut_lineage
+from tallyflow.session import cut_lineage, spread
 
 #: Rounds of messages between two looks at the exemplars.
 CHECKED_ROUNDS = 5
 
+#: Most rows of a task of k-means, on average.
+TASK_ROWS = 100_000
+
 
 def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """(vertex, cluster): connected components, named by their smallest vertex.
@@ -118,9 +121,13 @@ def cluster_numbers(clusters: DataFrame) -> DataFrame:
     return clusters.join(ids, "cluster")
 
 
-def variance_ratio(assigned: DataFrame, columns: Sequence[str], cluster: str = "prediction") -> DataFrame:
+def column_means(rows: DataFrame, columns: Sequence[str]) -> dict:
+    return rows.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in columns]).first().asDict()
+
+
+def variance_ratio(assigned: DataFrame, columns: Sequence[str], cluster: str = "prediction", means: dict | None = None) -> DataFrame:
     """Calinski-Harabasz index of an assignment, from per-cluster sums of the columns less their means."""
-    means = assigned.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in columns]).first().asDict()
+    means = means or column_means(assigned, columns)
     assigned = assigned.select(cluster, *[(F.col(c).cast("double") - F.lit(means[c])).alias(c) for c in columns])
     sums = assigned.groupBy(cluster).agg(
         F.count(F.lit(1)).alias("n"),
@@ -143,20 +150,18 @@ def assemble(df: DataFrame, columns: Sequence[str], out: str = "features") -> Da
 
 def k_means(df: DataFrame, columns: Sequence[str], k: int, seed: int = 1) -> DataFrame:
     """Rows with their group number ``prediction``."""
-    vectors = assemble(df, columns)
+    vectors = assemble(spread(df, TASK_ROWS), columns)
     return KMeans(k=k, seed=seed).fit(vectors).transform(vectors).drop("features")
 
 
 def k_means_sweep(df: DataFrame, columns: Sequence[str], ks: Sequence[int], seed: int = 1) -> DataFrame:
     """(tried, k, calinski_harabasz), one row per tried k."""
-    vectors = assemble(df, columns).persist()
-    rows = []
-    try:
-        for k in ks:
-            assigned = KMeans(k=k, seed=seed).fit(vectors).transform(vectors)
-            found = variance_ratio(assigned, columns).first()
-            rows.append((k, found["k"], found["calinski_harabasz"]))
-    finally:
-        vectors.unpersist()
+    # not cached here: a fit keeps its points by itself, as points, and reads cached rows anew in every pass
+    vectors = assemble(spread(df, TASK_ROWS), columns)
+    means, rows = column_means(vectors, columns), []
+    for k in ks:
+        assigned = KMeans(k=k, seed=seed).fit(vectors).transform(vectors)
+        found = variance_ratio(assigned, columns, means=means).first()
+        rows.append((k, found["k"], found["calinski_harabasz"]))
     spark: SparkSession = df.sparkSession
     return spark.createDataFrame(rows, "tried int, k bigint, calinski_harabasz double")
