@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyflow.functions.dates import date_text, epoch_millis
 from tallyflow.functions.text import to_float, to_int
+from tallyflow.session import staged
 from tallyflow.sources.readers import latest_partition
 from tallyflow.sources.schemas import conform, payload_field
 from tallyflow.sources.sinks import write_partitioned
@@ -420,10 +421,13 @@ FACET_COLUMNS = (
 
 
 def flatten_by_joins(events: DataFrame, start, end) -> DataFrame:
-    """The same rows by eight left joins; kept as the plain form the aggregate is tested against."""
+    """The same rows by eight left joins; kept as the plain form the aggregate is tested against.
+
+    The log is parsed once; each of the nine loaders reads its columns of the parsed table.
+    """
     from tallyflow.operators.cleaning import first_per_key
 
-    log = parse_log(events, start, end)
+    log = staged(parse_log(events, start, end))
     one = lambda df, key: first_per_key(df, [key], ["rank_key"]).drop("rank_key")
     out = one(sent_events(log), "message_id")
     steps = (

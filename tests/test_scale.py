@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
+from datetime import date, datetime
+
 from pyspark.sql import functions as F
 
 from tallyflow.llm.mixing import word_count
 from tallyflow.operators import clustering as cu
 from tallyflow.operators import models as md
 from tallyflow.operators import similarity as sm
+from tallyflow.plans import flatten
 from tallyflow.plans import installs as ins
 from tallyflow.session import spread
 
@@ -67,6 +71,21 @@ def test_metrics_score_the_rows_once(spark):
     assert out.columns == ["mse", "rmse", "log_loss", "auc", "average_precision", "calibration", "accuracy"]
 
 
+def test_the_joins_parse_the_log_once(spark):
+    def event(kind, minute, message, **payload):
+        body = {"istest": False, "deviceid": "d", "daysfromeulaapproval": 5, "timestamp": f"2024-01-02 10:{minute:02d}:00", "messageid": message, **payload}
+        return "contentitem_" + kind, datetime(2024, 1, 2, 10, minute), json.dumps({"properties": body})
+
+    rows = [
+        event("sent", 0, "a"), event("sent", 0, "a"), event("sent", 1, "b"), event("sent", 1, None), event("view", 3, "a"), event("view", 2, "a"),
+        event("click", 4, "a", actionid="share"), event("click", 4, "a", actionid="share"), event("dismiss", 5, "c"),
+    ]
+    out = flatten.flatten_by_joins(spark.createDataFrame(rows, "event string, time timestamp_ntz, properties string"), date(2024, 1, 1), date(2024, 2, 1))
+    assert "from_json(StructField" not in plan(out) and "ExistingRDD" not in plan(out)
+    got = {r.message_id: (r.view, r.view_timestamp, r.dismiss, r.actions and len(r.actions)) for r in out.collect()}
+    assert got == {"a": (1, 1704189720000, 0, 2), "b": (0, None, 0, None)}
+
+
 def test_words_are_counted_without_an_array_of_them(spark):
     texts = [None, "", " ", "a", " a\tb\n", "\U0001f600 x\x85y  ", " " * 1000, "a " * 1000]
     rows = spark.createDataFrame([(t,) for t in texts], "text string").select(word_count())
