@@ -707,8 +707,8 @@ def _(t):
 
 @case("SEP4_all_metrics", SEPARATION_SQL + f" union all select * from (with {SEEN_SQL.replace('time_on_page', 'scroll_depth').replace('l_quantity as scroll_depth, l_extendedprice as scroll_depth', 'l_extendedprice as scroll_depth')} {PAIRS_SQL} select d1, d2, group_no, 'scroll_depth' as metric, message_type, sum, count, round(sum / count, 6) as engagement_ratio from sep)")
 def _(t):
-    both = seen_rows(t, metrics=("time_on_page", "scroll_depth"))
-    out = sp.separation_test(both, "time_on_page").unionByName(sp.separation_test(both, "scroll_depth"))
+    metrics = ("time_on_page", "scroll_depth")
+    out = sp.separation_tests(seen_rows(t, metrics=metrics), metrics)
     return out.withColumn("engagement_ratio", F.round("engagement_ratio", 6))
 
 

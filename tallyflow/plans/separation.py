@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyflow.functions.mapping import positive_or_zero
 from tallyflow.operators.ordering import exact_quantiles
-from tallyflow.session import cut_lineage
+from tallyflow.session import cut_lineage, staged
 from tallyflow.sources.readers import sql_job
 
 # Percentiles of the engagement metrics.
@@ -44,16 +47,17 @@ def with_percentiles(rows: DataFrame, metrics: list[str], doc: str = "message_ty
     """Every row with its document's percentiles of each metric.
 
     Percentiles are aggregated per document and joined back; a window would hold all rows
-    of a popular document in one task.
+    of a popular document in one task. Exact ones read the rows several times a metric, so
+    rows and percentiles are staged; a few percentiles then meet the rows without a shuffle.
     """
-    out = rows
+    out = rows = staged(rows) if exact else rows
     for metric in metrics:
         names = {level: f"{level}_{metric}" for level in LEVELS}
         if exact:
             long = exact_quantiles(rows, metric, list(LEVELS.values()), [doc])
-            stats = long.groupBy(doc).agg(
+            stats = staged(long.groupBy(doc).agg(
                 *[F.max(F.when(F.col("p") == p, F.col("q"))).alias(names[level]) for level, p in LEVELS.items()]
-            )
+            ))
         else:
             stats = rows.groupBy(doc).agg(
                 *[F.percentile_approx(metric, p).alias(names[level]) for level, p in LEVELS.items()]
@@ -64,9 +68,14 @@ def with_percentiles(rows: DataFrame, metrics: list[str], doc: str = "message_ty
 
 def per_user_and_document(rows: DataFrame, metric: str, user: str = "device_id", doc: str = "message_type") -> DataFrame:
     """(user, doc, n, engaged): rows seen, and rows strictly above the document's median."""
-    above = F.when(F.col(metric) > F.col("median_" + metric), 1).otherwise(0)
+    return engagements(rows, [metric], user, doc).withColumnRenamed("engaged_" + metric, "engaged")
+
+
+def engagements(rows: DataFrame, metrics: Sequence[str], user: str = "device_id", doc: str = "message_type") -> DataFrame:
+    """(user, doc, n, engaged_<metric>...): the same counts of several metrics, in one aggregation."""
+    above = lambda m: F.when(F.col(m) > F.col("median_" + m), 1).otherwise(0)
     return rows.groupBy(F.col(user).alias("user"), F.col(doc).alias("doc")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(above).alias("engaged")
+        F.count(F.lit(1)).alias("n"), *[F.sum(above(m)).alias("engaged_" + m) for m in metrics]
     )
 
 
@@ -120,7 +129,19 @@ def separation_test(rows: DataFrame, metric: str, user: str = "device_id", doc:
     first merged by what they saw and liked, so equal users are counted once. The rows
     are aggregated to (user, document) once and checkpointed.
     """
-    seen = cut_lineage(per_user_and_document(rows, metric, user, doc))
+    return separation_tests(rows, [metric], user, doc, max_documents)
+
+
+def separation_tests(rows: DataFrame, metrics: Sequence[str], user: str = "device_id", doc: str = "message_type", max_documents: int = 5_000) -> DataFrame:
+    """The separation tests of several metrics; the rows are read and aggregated once for all of them."""
+    counts = cut_lineage(engagements(rows, metrics, user, doc))
+    tests = [
+        _separation(counts.select("user", "doc", "n", F.col("engaged_" + m).alias("engaged")), m, max_documents) for m in metrics
+    ]
+    return reduce(DataFrame.unionByName, tests)
+
+
+def _separation(seen: DataFrame, metric: str, max_documents: int) -> DataFrame:
     # documents per user are bounded by the document list
     one = F.struct("doc", "n", "engaged")
     profiles = (

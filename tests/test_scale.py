@@ -11,7 +11,7 @@ from tallyflow.llm.mixing import word_count
 from tallyflow.operators import clustering as cu
 from tallyflow.operators import models as md
 from tallyflow.operators import similarity as sm
-from tallyflow.plans import flatten
+from tallyflow.plans import flatten, separation
 from tallyflow.plans import installs as ins
 from tallyflow.session import spread
 
@@ -86,6 +86,23 @@ def test_the_joins_parse_the_log_once(spark):
     assert got == {"a": (1, 1704189720000, 0, 2), "b": (0, None, 0, None)}
 
 
+def test_percentiles_meet_the_rows_without_a_shuffle(spark):
+    rows = spark.createDataFrame([(1, "x", 1.0, 5.0), (2, "x", 3.0, None), (2, None, 2.0, 1.0), (None, "y", 4.0, 4.0)], "device_id int, message_type string, a double, b double")
+    out = separation.with_percentiles(rows, ["a", "b"])
+    assert "Exchange hashpartitioning" not in plan(out) and "ExistingRDD" not in plan(out)
+    got = {(r.device_id, r.message_type, r.a, r.median_a, r.median_b) for r in out.collect()}
+    assert got == {(1, "x", 1.0, 2.0, 5.0), (2, "x", 3.0, 2.0, 5.0), (2, None, 2.0, 2.0, 1.0), (None, "y", 4.0, 4.0, 4.0)}
+
+
+def test_several_metrics_are_separated_from_one_aggregation(spark):
+    rows = [(u, f"d{(u * k) % 4}", float((u * 7 + k * 3) % 10), float((u + k * 5) % 7)) for u in range(20) for k in range(1, 6)]
+    data = separation.with_percentiles(spark.createDataFrame(rows, "device_id int, message_type string, a double, b double"), ["a", "b"])
+    out = separation.separation_tests(data, ["a", "b"])
+    assert "device_id" not in plan(out)
+    single = [separation.separation_test(data, m).collect() for m in ("a", "b")]
+    assert sorted(map(tuple, out.collect())) == sorted(tuple(r) for rows in single for r in rows) != []
+
+
 def test_words_are_counted_without_an_array_of_them(spark):
     texts = [None, "", " ", "a", " a\tb\n", "\U0001f600 x\x85y  ", " " * 1000, "a " * 1000]
     rows = spark.createDataFrame([(t,) for t in texts], "text string").select(word_count())
