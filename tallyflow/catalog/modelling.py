@@ -23,6 +23,8 @@ from tallyflow.sources import sinks as sk
 
 # most rows of a task of a fit, on average
 TASK_ROWS = 500_000
+# the same for the regressors: bagged points and residuals take about 1.1 KB a row, which a task reads again from memory
+PRICE_ROWS = 100_000
 CATS, NUMS = ["l_linestatus", "l_linenumber"], ["l_quantity", "l_discount", "l_tax"]
 
 
@@ -86,7 +88,7 @@ def _(t):
 def priced(t):
     train, test = pr.split_features(t.orders.withColumn("region", F.lit("Albany")), "o_orderdate", "o_orderkey", "o_totalprice",
                                     ["o_orderpriority", "o_orderstatus", "month", "day_of_week"], ["o_custkey"], "region")
-    return spread(train, TASK_ROWS), spread(test, TASK_ROWS)
+    return spread(train, PRICE_ROWS), spread(test, PRICE_ROWS)
 
 
 @case("MOD5_regressors")

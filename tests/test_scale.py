@@ -28,6 +28,16 @@ def test_rows_in_few_partitions_are_spread(spark):
     assert spread(one, 10).rdd.getNumPartitions() == 1
 
 
+def test_one_large_partition_among_many_is_spread(spark):
+    # as many partitions as the rows ask for, but one task would read 20 of 24 rows
+    dealt = spark.sparkContext.parallelize(range(5), 5).flatMap(lambda i: [(k,) for k in range(20)] if i == 0 else [(20 + i,)])
+    out = spread(spark.createDataFrame(dealt, "id int"), 5)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) <= 8 and out.rdd.getNumPartitions() == 5
+    assert sorted(r[0] for r in out.collect()) == [*range(20), *range(21, 25)]
+    assert spread(spark.range(0), 5).count() == 0
+
+
 def test_k_means_runs_in_as_many_tasks_as_its_rows_ask_for(spark, monkeypatch):
     monkeypatch.setattr(cu, "TASK_ROWS", 10)
     rows = spark.range(40).coalesce(1).select((F.col("id") % 2 * 100 + F.col("id") / 100).alias("x"))
