@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import json
+import math
+from collections import Counter
 from datetime import date, datetime
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tallyflow.llm.mixing import word_count
@@ -118,3 +121,40 @@ def test_words_are_counted_without_an_array_of_them(spark):
     rows = spark.createDataFrame([(t,) for t in texts], "text string").select(word_count())
     assert [r[0] for r in rows.collect()] == [0, 0, 0, 1, 2, 2, 0, 1000]
     assert "regexp_extract_all" not in plan(rows)
+
+
+def test_groups_meet_without_a_shuffle_of_vectors(spark, monkeypatch):
+    monkeypatch.setattr(sm, "GROUP_ITEMS", 4)
+    monkeypatch.setattr(sm, "GROUP_WEIGHTS", 30)
+    rng = np.random.default_rng(5)
+    full = rng.random((33, 12)) * (rng.random((33, 12)) < 0.6)
+    full[:, 0] = 0.3
+    full /= np.linalg.norm(full, axis=1)[:, None]
+    rows = [(f"k{i:02d}", f"t{j}", float(full[i, j])) for i in range(33) for j in range(12) if full[i, j]]
+    vectors = spark.createDataFrame(rows, "id string, token string, weight double")
+    # a key with two counts of copies, one without any
+    copies = spark.createDataFrame([(f"k{i:02d}", i) for i in range(32)] + [("k03", 70)], "id string, n int")
+    out = sm.similar_pairs(vectors.repartition(12), "id", 0.8, copies)
+    assert "Exchange" not in plan(out) and out.columns == ["a", "b", "similarity", "a_copies", "b_copies"]
+    counts = {i: [i] if i != 3 else [3, 70] for i in range(32)}
+    product = full @ full.T
+    want = sorted((f"k{i:02d}", f"k{j:02d}", c, d) for i in range(32) for j in range(i + 1, 32) if product[i, j] >= 0.8 for c in counts[i] for d in counts[j])
+    assert sorted((r.a, r.b, r.a_copies, r.b_copies) for r in out.collect()) == want != []
+    assert sm.similar_pairs(vectors.where("false"), "id", 0.8).collect() == []
+
+
+def test_vectors_do_not_move_to_their_idf(spark, monkeypatch):
+    texts = ["aa bb cc dd", "aa bb cc ee", "aa bb ff x", "aa gg gg x", "", None, "aa bb cc hh ii"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    found = []
+    # all tokens known, some, and none of them
+    for known in (100, 3, 1):
+        monkeypatch.setattr(sm, "KNOWN_TOKENS", known)
+        out = sm.tf_idf(rows, "id", "t")
+        assert "hashpartitioning(token" not in plan(out) and ("element_at" in plan(out)) == (known != 100)
+        found.append({(r.id, r.token): round(r.weight, 9) for r in out.collect()})
+    counts = {i: Counter(t.split()) for i, t in enumerate(texts) if t}
+    df = Counter(w for c in counts.values() for w in c)
+    idf = {w: math.log((1 + len(texts)) / (1 + (n if len(w) > 1 else 0))) + 1 for w, n in df.items()}
+    want = {(i, w): round(n / sum(c.values()) * idf[w], 9) for i, c in counts.items() for w, n in c.items()}
+    assert found == [want, want, want]
