@@ -158,3 +158,25 @@ def test_vectors_do_not_move_to_their_idf(spark, monkeypatch):
     idf = {w: math.log((1 + len(texts)) / (1 + (n if len(w) > 1 else 0))) + 1 for w, n in df.items()}
     want = {(i, w): round(n / sum(c.values()) * idf[w], 9) for i, c in counts.items() for w, n in c.items()}
     assert found == [want, want, want]
+
+
+def test_nearest_items_are_found_where_their_vectors_lie(spark, monkeypatch):
+    base = spark.range(40).select("id", F.explode(F.sequence(F.lit(0), F.col("id") % 5 + 1)).alias("j"))
+    token = F.concat(F.lit("t"), ((F.col("id") * F.col("j")) % 7).cast("string"))
+    vectors = base.select(F.col("id").cast("string").alias("item"), token.alias("token"), (F.col("j") + 1.0).alias("w")).groupBy("item", "token").agg(F.sum("w").alias("weight"))
+    queries = spark.createDataFrame([("3",), ("11",), ("none",), ("0",), ("3",)], "q string")
+    own = {}
+    for r in vectors.collect():
+        own.setdefault(r["item"], {})[r["token"]] = r["weight"]
+    want = set()
+    for q in ("3", "11", "0"):
+        near = {i: sum(w * own[q].get(t, 0.0) for t, w in v.items()) for i, v in own.items() if v.keys() & own[q].keys()}
+        want |= {(q, i, s, n) for n, (i, s) in enumerate(sorted(near.items(), key=lambda x: (-x[1], x[0]))[:4], 1)}
+    for rows, products in ((1_000_000, 1 << 22), (3, 40)):
+        monkeypatch.setattr(sm, "QUERY_ROWS", rows)
+        monkeypatch.setattr(sm, "MOST_PRODUCTS", products)
+        out = sm.most_similar(vectors, queries, "item", 4)
+        # one block of queries: no vector is written
+        assert ("Range" in plan(out)) == (rows > 3)
+        assert {(r["query"], r["item"], r["similarity"], r["rank"]) for r in out.collect()} == want
+    assert sm.most_similar(vectors, queries.where("q = 'none'"), "item", 4).collect() == []
