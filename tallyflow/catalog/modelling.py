@@ -34,8 +34,12 @@ def sold(t):
     return rows.withColumns({"y": (likely >= 2).cast("int"), "l_linenumber": F.col("l_linenumber").cast("string")})
 
 
+def sold_features(t):
+    return av.split_features(sold(t), "id", "y", CATS, NUMS)
+
+
 def sold_split(t):
-    train, test = av.split_features(sold(t), "id", "y", CATS, NUMS)
+    train, test = sold_features(t)
     return spread(train, TASK_ROWS), spread(test, TASK_ROWS)
 
 
@@ -58,8 +62,8 @@ def _(t):
 
 @case("MOD1_l1_path")
 def _(t):
-    train, _ = sold_split(t)
-    rows = cut_lineage(lp.sparse_rows(train, key=["id"]))
+    train, _ = sold_features(t)
+    rows = lp.counted(lp.sparse_rows(train, key=["id"]))
     path = lp.searched_path(rows, len(md.feature_names(train)))
     points = [(k, float(c), p, x, int((w != 0).sum())) for k, (c, p, x, w) in enumerate(zip(path.strengths, path.precision, path.log_loss, path.weights))]
     out = t.spark.createDataFrame(points, "point int, strength double, fold_precision double, fold_log_loss double, kept int")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyflow.operators.ordering import hash_key, running_totals
-from tallyflow.session import cut_lineage
+from tallyflow.session import cut_lineage, spread
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -27,6 +27,8 @@ SEED_FEATURES, BLOCK_FEATURES, SLICE = 1000, 1000, 1 << 21
 TOLERANCE, LEAST_GAIN, MOST_STEPS, MOST_UPDATES, SWEEPS = 2e-6, 1e-9, 60, 2_000, 4
 #: Least curvature of a row, a share of the greatest, 1/4; steps from one sum of the curvature to the next.
 LEAST_CURVATURE, RENEWED = 0.0005, 3
+#: Rows of a task of a pass, which holds the margins of all problems for each of them.
+TASK_ROWS = 20_000
 
 
 @dataclass
@@ -47,7 +49,7 @@ class L1Path:
 
     def score(self, rows: DataFrame) -> DataFrame:
         """(score, label, weight) of sparse rows under the best point of all rows."""
-        return _scores(rows, self.weights[[self.best]], self.intercepts[[self.best]], None).select("score", "label", F.lit(1.0).alias("weight"))
+        return _scores(rows, self.weights[[self.best]], self.intercepts[[self.best]], None).select("score", "label", F.col("n").alias("weight"))
 
 
 def sparse_rows(prepared: DataFrame, features: str = "features", label: str = "label", key: Sequence[str] | None = None, folds: int = 4) -> DataFrame:
@@ -60,12 +62,25 @@ def sparse_rows(prepared: DataFrame, features: str = "features", label: str = "l
     return rows.select("label", "fold", F.transform("_e", lambda e: e.i).alias("idx"), F.transform("_e", lambda e: e.v).alias("val"))
 
 
+def counted(rows: DataFrame) -> DataFrame:
+    """Sparse rows, those of equal label, fold and values as one with their number ``n``, in tasks of about TASK_ROWS.
+
+    All sums of the path over the rows are sums over these, each times its ``n``.
+    """
+    return spread(rows.groupBy("label", "fold", "idx", "val").agg(F.count(F.lit(1)).cast("double").alias("n")), TASK_ROWS)
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows with ``n``; plain ones stand for themselves."""
+    return rows if "n" in rows.columns else rows.withColumn("n", F.lit(1.0))
+
+
 def fold_of(key: Sequence[str], folds: int):
     return (F.conv(F.substring(hash_key(*key), 1, 8), 16, 10).cast("long") % folds).cast("int")
 
 
 def _slices(batches: Iterator[pa.RecordBatch], place: np.ndarray, width: int, problems: int):
-    """(X, label, fold, others) of slices of rows: a dense part for the placed features, (row, feature, value) of the rest."""
+    """(X, label, fold, n, others) of slices of rows: a dense part for the placed features, (row, feature, value) of the rest."""
     count = max(1, SLICE // max(width, problems, 1))
     for batch in batches:
         for at in range(0, batch.num_rows, count):
@@ -81,13 +96,13 @@ def _slices(batches: Iterator[pa.RecordBatch], place: np.ndarray, width: int, pr
             inside = to >= 0
             x[row[inside], to[inside]] = val[inside]
             rest = row[~inside], idx[~inside], val[~inside]
-            yield x, part.column("label").to_numpy(), part.column("fold").to_numpy(), rest
+            yield x, part.column("label").to_numpy(), part.column("fold").to_numpy(), part.column("n").to_numpy(), rest
 
 
-def _residuals(x, label, fold, weights, left_out):
-    """Loss per problem and d loss / d margin, zero in the rows that a problem leaves out."""
+def _residuals(x, label, fold, n, weights, left_out):
+    """Loss per problem and d loss / d margin, ``n`` times for each row, zero in the rows that a problem leaves out."""
     z = x @ weights
-    inside = fold[:, None] != left_out[None, :]
+    inside = (fold[:, None] != left_out[None, :]) * n[:, None]
     positive = label[:, None]
     loss = (np.logaddexp(0.0, z) - positive * z) * inside
     return loss.sum(axis=0), (1.0 / (1.0 + np.exp(-z)) - positive) * inside
@@ -124,8 +139,8 @@ def _gradients(rows, groups, place, weights, left_out) -> tuple[np.ndarray, np.n
 
     def work(batches, total):
         loss, gradient = total[:problems], total[problems:].reshape(width, problems)
-        for x, label, fold, _ in _slices(batches, place, width, problems):
-            own, residual = _residuals(x, label, fold, weights, left_out)
+        for x, label, fold, n, _ in _slices(batches, place, width, problems):
+            own, residual = _residuals(x, label, fold, n, weights, left_out)
             loss += own
             gradient += x.T @ residual
 
@@ -142,14 +157,14 @@ def _curvatures(rows, groups, place, weights, left_out, folds, blocks) -> np.nda
     width, problems = weights.shape
 
     def work(batches, total):
-        for x, _, fold, _ in _slices(batches, place, width, problems):
+        for x, _, fold, n, _ in _slices(batches, place, width, problems):
             p = 1.0 / (1.0 + np.exp(-(x @ weights)))
             h = p * (1 - p)
             for f in range(folds + 1):
                 own = left_out == f
                 if not own.any():
                     continue
-                height = np.sqrt(np.maximum(h[:, own].mean(axis=1), LEAST_CURVATURE) * (fold != f))
+                height = np.sqrt(np.maximum(h[:, own].mean(axis=1), LEAST_CURVATURE) * (fold != f) * n)
                 bent = x * height[:, None]
                 at = f * sum(sizes)
                 for b, size in zip(blocks, sizes, strict=True):
@@ -165,9 +180,9 @@ def _violators(rows, place, weights, left_out, penalty) -> list[int]:
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
-        for x, label, fold, (row, idx, val) in _slices(batches, place, width, problems):
+        for x, label, fold, n, (row, idx, val) in _slices(batches, place, width, problems):
             if len(idx):
-                _, residual = _residuals(x, label, fold, weights, left_out)
+                _, residual = _residuals(x, label, fold, n, weights, left_out)
                 order = np.argsort(idx, kind="stable")
                 row, idx, val = row[order], idx[order], val[order]
                 firsts = np.flatnonzero(np.concatenate([[True], idx[1:] != idx[:-1]]))
@@ -223,7 +238,7 @@ def fit_path(
 ) -> L1Path:
     """Weights that minimise the summed log loss + |w| / C, for every C and every left-out fold, and for all rows.
 
-    ``rows`` holds (label 0 or 1, fold, idx, val): sparse rows over ``size`` features, fold below ``folds``.
+    ``rows`` holds (label 0 or 1, fold, idx, val): sparse rows over ``size`` features, fold below ``folds``; with ``n``, a row counts so often.
     All (C, fold) problems are columns of one weight matrix. A step is one pass over the rows: the matrix product gives all
     margins, another one all gradients. The curvature matrix of a fold, at the mean p (1 - p) of its problems, is summed
     every RENEWED steps over the problems still open; it makes the step's quadratic problem, which the driver solves by coordinates. A step
@@ -237,18 +252,19 @@ def fit_path(
     weights so far are kept. So the driver holds weights and curvature of features that matter. Beyond ``block``
     features the curvature is kept in diagonal blocks, whose number times their sum is a bound too.
     """
+    rows = _numbered(rows)
     strengths = np.asarray(strengths, float)
     points = len(strengths)
     left_out = np.repeat(np.arange(folds + 1), points)  # the last: no fold is left out
     penalty = np.tile(1.0 / strengths, folds + 1)
-    first = rows.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos")).collect()
+    first = rows.groupBy("fold").agg(F.sum("n").alias("n"), F.sum(F.col("label") * F.col("n")).alias("pos")).collect()
     n, positive = np.zeros(folds), np.zeros(folds)
     for r in first:
         n[r["fold"]], positive[r["fold"]] = r["n"], r["pos"]
     n, positive = np.append(n.sum() - n, n.sum()), np.append(positive.sum() - positive, positive.sum())
     share = np.clip((positive + 1e-9) / (n + 2e-9), 1e-6, 1 - 1e-6)
-    centred = F.col("e.val") * (F.col("label") - float(share[-1]))
-    found = rows.select("label", F.explode(F.arrays_zip("idx", "val")).alias("e")).groupBy(F.col("e.idx").alias("j")).agg(F.abs(F.sum(centred)).alias("g"))
+    centred = F.col("e.val") * (F.col("label") - float(share[-1])) * F.col("n")
+    found = rows.select("label", "n", F.explode(F.arrays_zip("idx", "val")).alias("e")).groupBy(F.col("e.idx").alias("j")).agg(F.abs(F.sum(centred)).alias("g"))
     active = sorted(r["j"] for r in found.orderBy(F.desc("g"), "j").limit(seed_features).collect())
     passes, steps = 2, 0
     known: dict[int, np.ndarray] = {}
@@ -319,7 +335,7 @@ def fit_path(
 
 
 def _scores(rows: DataFrame, weights: np.ndarray, intercepts: np.ndarray, own_fold: int | None) -> DataFrame:
-    """(point, score, label) of the rows, or of those of one fold, under each point."""
+    """(point, score, label, n) of the rows, or of those of one fold, under each point."""
     used = np.flatnonzero((weights != 0).any(axis=0))
     place = np.full(max(weights.shape[1], 1), -1, np.int64)
     place[used] = np.arange(1, len(used) + 1)
@@ -327,15 +343,16 @@ def _scores(rows: DataFrame, weights: np.ndarray, intercepts: np.ndarray, own_fo
     points = len(intercepts)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x, label, _, _ in _slices(batches, place, len(table), points):
+        for x, label, _, n, _ in _slices(batches, place, len(table), points):
             score = 1.0 / (1.0 + np.exp(-(x @ table)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.tile(np.arange(points, dtype=np.int32), len(x))), pa.array(score.ravel()), pa.array(np.repeat(label, points))],
-                ["point", "score", "label"],
+                [pa.array(np.tile(np.arange(points, dtype=np.int32), len(x))), pa.array(score.ravel()), pa.array(np.repeat(label, points)), pa.array(np.repeat(n, points))],
+                ["point", "score", "label", "n"],
             )
 
+    rows = _numbered(rows)
     chosen = rows if own_fold is None else rows.where(F.col("fold") == own_fold)
-    return chosen.mapInArrow(scored, "point int, score double, label double")
+    return chosen.mapInArrow(scored, "point int, score double, label double, n double")
 
 
 def with_fold_scores(path: L1Path, rows: DataFrame) -> L1Path:
@@ -349,8 +366,9 @@ def with_fold_scores(path: L1Path, rows: DataFrame) -> L1Path:
         scored = _scores(rows, path.fold_weights[f], path.fold_intercepts[f], f).withColumn("fold", F.lit(f))
         each = scored if each is None else each.unionAll(scored)
     loss = -(F.col("label") * F.log(F.greatest("score", F.lit(1e-15))) + (1 - F.col("label")) * F.log(F.greatest(1 - F.col("score"), F.lit(1e-15))))
+    n = F.col("n")
     counts = cut_lineage(
-        each.groupBy("fold", "point", "score").agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"), F.sum(loss).alias("loss"))
+        each.groupBy("fold", "point", "score").agg(F.sum(n * F.col("label")).alias("pos"), F.sum(n * (1 - F.col("label"))).alias("neg"), F.sum(n * loss).alias("loss"))
     )
     totals = counts.groupBy(F.col("fold").alias("_f"), F.col("point").alias("_p")).agg(
         F.sum("pos").alias("all"), F.sum(F.col("pos") + F.col("neg")).alias("n"), F.sum("loss").alias("loss_sum")
@@ -370,8 +388,8 @@ def with_fold_scores(path: L1Path, rows: DataFrame) -> L1Path:
 
 def strengths_of(rows: DataFrame, points: int = 50, top: float = 5000.0) -> list[float]:
     """C from the smallest useful one, 2 / max |X'(2y - 1)|, to ``top`` times it in equal steps."""
-    signed = F.col("e.val") * (2 * F.col("label") - 1)
-    sums = rows.select("label", F.explode(F.arrays_zip("idx", "val")).alias("e")).groupBy("e.idx").agg(F.abs(F.sum(signed)).alias("g"))
+    signed = F.col("e.val") * (2 * F.col("label") - 1) * F.col("n")
+    sums = _numbered(rows).select("label", "n", F.explode(F.arrays_zip("idx", "val")).alias("e")).groupBy("e.idx").agg(F.abs(F.sum(signed)).alias("g"))
     lowest = 2.0 / max(sums.agg(F.max("g")).first()[0] or 0.0, 1e-12)
     return [lowest + (lowest * top - lowest) * i / max(points - 1, 1) for i in range(points)]
 

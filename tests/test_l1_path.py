@@ -74,3 +74,19 @@ def test_fold_scores(fitted):
     assert path.precision[path.best] == max(path.precision)
     scored = path.score(rows).collect()
     assert len(scored) == len(y) and all(0 < r["score"] < 1 for r in scored)
+
+
+def test_equal_rows_count_as_often_as_they_come(spark, monkeypatch):
+    monkeypatch.setattr(lp, "TASK_ROWS", 5)
+    rng = np.random.default_rng(4)
+    x = (rng.random((400, 3)) < 0.5).astype(float)
+    y = (rng.random(400) < 1 / (1 + np.exp(1 - x @ [2.0, -1.0, 0.5]))).astype(float)
+    lists = [(float(y[i]), int(i % 3), np.flatnonzero(x[i]).tolist(), [1.0] * int(x[i].sum())) for i in range(400)]
+    rows = cut_lineage(spark.createDataFrame(lists, "label double, fold int, idx array<int>, val array<double>"))
+    own = lp.counted(rows)
+    assert own.count() <= 48 and own.agg({"n": "sum"}).first()[0] == 400 and own.rdd.getNumPartitions() > 4
+    one, two = (lp.searched_path(r, 3, points=4, folds=3, top=50.0) for r in (rows, own))
+    assert one.strengths == pytest.approx(two.strengths)
+    assert np.abs(one.weights - two.weights).max() < 1e-6 and np.abs(one.fold_weights - two.fold_weights).max() < 1e-6
+    assert one.precision == pytest.approx(two.precision) and one.log_loss == pytest.approx(two.log_loss)
+    assert two.score(own).agg({"weight": "sum"}).first()[0] == 400
