@@ -180,3 +180,41 @@ def test_nearest_items_are_found_where_their_vectors_lie(spark, monkeypatch):
         assert ("Range" in plan(out)) == (rows > 3)
         assert {(r["query"], r["item"], r["similarity"], r["rank"]) for r in out.collect()} == want
     assert sm.most_similar(vectors, queries.where("q = 'none'"), "item", 4).collect() == []
+
+
+def vector_rows(spark, n=300):
+    rng = np.random.default_rng(2)
+    rows = [(i, float(rng.random() < 0.2 + 0.1 * (a + b)), float(a), float(b)) for i in range(n) for a, b in [rng.integers(0, 4, 2)]]
+    return md.assembler(["a", "b"]).transform(spark.createDataFrame(rows, "id int, label double, a double, b double")).select("id", "label", "features")
+
+
+def test_equal_rows_weigh_as_many_as_they_are(spark, monkeypatch):
+    monkeypatch.setattr(md, "COUNTED_ROWS", 20)
+    rows = vector_rows(spark)
+    own = md.counted(rows)
+    assert own.count() <= 32 and own.agg({"n": "sum"}).first()[0] == 300
+    boosted = md.GBTClassifier(maxIter=4, maxDepth=3, minWeightFractionPerNode=0.1, seed=30)
+    one, two = boosted.fit(rows), boosted.copy().setWeightCol("n").fit(own)
+    scores = [{r.features: r.score for r in md.probability(m.transform(rows)).collect()} for m in (one, two)]
+    assert scores[0].keys() == scores[1].keys() and all(abs(scores[0][k] - scores[1][k]) < 1e-9 for k in scores[0])
+    plain, weighed = (md.classification_metrics(md.score_rows(one, r)).first() for r in (rows, own))
+    assert all(abs(a - b) < 1e-9 for a, b in zip(plain, weighed, strict=True))
+    folds = md.counted(rows, "id", 3).groupBy("fold").agg(F.sum("n")).collect()
+    assert sorted(r[0] for r in folds) == [0, 1, 2] and sum(r[1] for r in folds) == 300
+
+
+def test_boosting_search_draws_all_of_the_reference(spark, monkeypatch):
+    asked = {}
+
+    def found(estimator, grid, train, folds, **options):
+        asked.update(grid=grid, folds=folds, columns=train.columns)
+        return estimator, []
+
+    monkeypatch.setattr(md, "search", found)
+    md.boosting_search(vector_rows(spark), "id")
+    assert len(asked["grid"]) == 20 and asked["folds"] == 3 and asked["columns"] == ["label", "features", "fold", "n"]
+    assert max(g["maxIter"] for g in asked["grid"]) == 200 and max(g["maxDepth"] for g in asked["grid"]) > 20
+    assert {g["featureSubsetStrategy"] for g in asked["grid"]} == {"1"}
+    monkeypatch.undo()
+    best, history = md.search(md.GBTClassifier(maxIter=2), [{"maxDepth": 1}, {"maxDepth": 2}], md.counted(vector_rows(spark), "id", 2), 2)
+    assert len(history) == 2 and best.getWeightCol() == "n"
