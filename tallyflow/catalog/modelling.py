@@ -21,8 +21,7 @@ from tallyflow.plans import tweets as tw
 from tallyflow.session import cut_lineage, spread
 from tallyflow.sources import sinks as sk
 
-# most rows of a task of a fit, on average
-TASK_ROWS = 500_000
+TASK_ROWS = md.TASK_ROWS
 # the same for the regressors: bagged points and residuals take about 1.1 KB a row, which a task reads again from memory
 PRICE_ROWS = 100_000
 CATS, NUMS = ["l_linestatus", "l_linenumber"], ["l_quantity", "l_discount", "l_tax"]
@@ -72,8 +71,8 @@ def _(t):
 
 @case("MOD2_forest_search")
 def _(t):
-    train, test = sold_split(t)
-    return metrics(md.forest_search(train, n=2, folds=2)[0], test)
+    train, test = sold_features(t)
+    return metrics(md.forest_search(train, "id", n=2, folds=2)[0], md.counted(test))
 
 
 @case("MOD3_boosting_search")

@@ -8,11 +8,16 @@ from __future__ import annotations
 
 
 import random
+import sys
 from collections.abc import Callable, Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -25,13 +30,19 @@ from pyspark.ml.regression import (
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import PythonEvalType, inheritable_thread_target
 
 from tallyflow.operators import evaluation as ev
 from tallyflow.session import cut_lineage, spread
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # More distinct values than this do not go through an in-memory index; hash them instead.
 MAX_CATEGORIES = 10_000
 
+# Most rows of a task of a fit, on average.
+TASK_ROWS = 500_000
+
 # Counted rows of a task of a fit, and fits of a search that run beside each other: on few rows their jobs are short.
 COUNTED_ROWS, PARALLEL_FITS = 100_000, 8
 
@@ -143,7 +154,7 @@ def search(
         evaluator = RegressionEvaluator(metricName=metric)
     own = {}
     if "n" in train.columns:
-        estimator, evaluator, own = estimator.copy().setWeightCol("n"), evaluator.setWeightCol("n"), {"foldCol": "fold"}
+        estimator, evaluator, own = estimator.copy({estimator.weightCol: "n"}), evaluator.setWeightCol("n"), {"foldCol": "fold"}
     cv = CrossValidator(
         estimator=estimator, estimatorParamMaps=param_maps(estimator, grid), evaluator=evaluator,
         numFolds=folds, seed=seed, parallelism=parallelism, **own,
@@ -159,9 +170,61 @@ def logistic_search(train: DataFrame, n: int = 8, folds: int = 3, seed: int = 30
     return search(LogisticRegression(standardization=False), grid, train, folds, seed=seed)
 
 
-def forest_search(train: DataFrame, n: int = 5, folds: int = 3, seed: int = 30):
+class BaggedForest(RandomForestClassifier):
+    """A random forest that draws the rows of a tree, with replacement, from counted rows too.
+
+    A row of number n comes Poisson(n) times to a tree, as n rows come Poisson(1) times each. Every tree is a fit of its own on
+    these draws as weights; rows without ``n`` are fitted together, as by Spark.
+    """
+
+    def _fit(self, dataset: DataFrame):
+        if "n" not in dataset.columns:
+            return super()._fit(dataset)
+        trees, seed = self.getNumTrees(), self.getSeed()
+        rows = cut_lineage(dataset.select("label", "features", _draws(trees, seed)("n", F.monotonically_increasing_id()).alias("w")))
+        drawn = rows.agg(*[F.sum(F.col("w")[k]).alias(str(k)) for k in range(trees)]).first()
+        subset = "sqrt" if self.getFeatureSubsetStrategy() == "auto" and trees > 1 else self.getFeatureSubsetStrategy()
+
+        def tree(k: int):
+            one = RandomForestClassifier(
+                numTrees=1, bootstrap=False, featureSubsetStrategy=subset, weightCol="weight", seed=seed + k, maxDepth=self.getMaxDepth(),
+                maxBins=self.getMaxBins(), impurity=self.getImpurity(), minInfoGain=self.getMinInfoGain(),
+                # so many drawn rows are the least of a leaf
+                minWeightFractionPerNode=min(max(self.getMinInstancesPerNode() / max(drawn[k] or 0, 1), self.getMinWeightFractionPerNode()), 0.4999),
+            )
+            return one.fit(rows.select("label", "features", F.col("w")[k].alias("weight")).where("weight > 0"))
+
+        with ThreadPool(PARALLEL_FITS) as pool:
+            fitted = pool.map(inheritable_thread_target(dataset.sparkSession)(tree), range(trees))
+        context = dataset.sparkSession.sparkContext
+        kinds = context._jvm.org.apache.spark.ml.classification
+        made = context._gateway.new_array(kinds.DecisionTreeClassificationModel, trees)
+        for k, model in enumerate(fitted):
+            made[k] = model._java_obj.trees()[0]
+        model = RandomForestClassificationModel(kinds.RandomForestClassificationModel(self.uid, made, fitted[0].numFeatures, max(m.numClasses for m in fitted)))
+        model = self._copyValues(model._resetUid(self.uid))
+        model._transfer_params_to_java()
+        return model
+
+
+def _draws(trees: int, seed: int):
+    """For each row the numbers of its draws by ``trees`` trees, of its number and its place."""
+
+    def drawn(n: pa.Array, place: pa.Array) -> pa.Array:
+        found = np.random.default_rng([seed, place[0].as_py()]).poisson(n.to_numpy()[:, None], (len(n), trees)) if len(n) else np.zeros((0, trees))
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * trees, pa.int32()), pa.array(found.ravel().astype(float)))
+
+    return F.arrow_udf(drawn, "array<double>", PythonEvalType.SQL_SCALAR_ARROW_UDF)
+
+
+def forest_search(train: DataFrame, key: str, n: int = 5, folds: int = 3, seed: int = 30):
+    """Random search over forests, on counted rows where they are a third of the rows or fewer."""
+    rows = counted(train, key, folds)
+    sizes = rows.agg(F.count("n"), F.sum("n")).first()
+    if sizes[0] * 3 > (sizes[1] or 0):
+        rows = spread(train, TASK_ROWS)
     grid = sampled_grid({"numTrees": [4, 8, 16, 32], "maxDepth": [2, 4, 6, 8, 10], "minInstancesPerNode": [1, 5, 20]}, n, seed)
-    return search(RandomForestClassifier(seed=seed), grid, train, folds, seed=seed)
+    return search(BaggedForest(seed=seed), grid, rows, folds, seed=seed)
 
 
 def boosting_search(train: DataFrame, key: str, n: int = 20, folds: int = 3, seed: int = 30):

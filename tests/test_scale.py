@@ -218,3 +218,27 @@ def test_boosting_search_draws_all_of_the_reference(spark, monkeypatch):
     monkeypatch.undo()
     best, history = md.search(md.GBTClassifier(maxIter=2), [{"maxDepth": 1}, {"maxDepth": 2}], md.counted(vector_rows(spark), "id", 2), 2)
     assert len(history) == 2 and best.getWeightCol() == "n"
+
+
+def test_forests_draw_their_rows_from_counted_ones(spark, monkeypatch):
+    # any number of draws is a weight: with one draw for each row, every tree is that of all rows
+    rows = vector_rows(spark)
+    whole = md.RandomForestClassifier(numTrees=1, maxDepth=2, bootstrap=False, featureSubsetStrategy="all", minInstancesPerNode=5, seed=30).fit(rows)
+    monkeypatch.setattr(md, "_draws", lambda trees, seed: lambda n, place: F.array_repeat(n, trees))
+    forest = md.BaggedForest(numTrees=3, maxDepth=2, featureSubsetStrategy="all", minInstancesPerNode=5, seed=30)
+    own = forest.fit(md.counted(rows))
+    assert own.getNumTrees == 3 and own.numClasses == 2 and own.numFeatures == 2
+    scores = [{r.features: r.score for r in md.probability(m.transform(rows)).collect()} for m in (whole, own)]
+    assert all(abs(scores[0][k] - scores[1][k]) < 1e-9 for k in scores[0])
+    monkeypatch.undo()
+    drawn = [r[0] for r in spark.range(4000, numPartitions=2).select(md._draws(5, 1)(F.lit(3.0), "id")).collect()]
+    flat = np.array(drawn)
+    assert flat.shape == (4000, 5) and abs(flat.mean() - 3) < 0.1 and abs(flat.var() - 3) < 0.2
+    # 300 rows are 32 counted ones at most a fold
+    seen = []
+    search = md.search
+    monkeypatch.setattr(md, "search", lambda e, g, r, *a, **b: seen.append(r.columns) or search(e, g, r, *a, **b))
+    best, history = md.forest_search(rows, "id", n=1, folds=2)
+    assert seen == [["label", "features", "fold", "n"]] and len(history) == 1 and len(best.trees) == best.getNumTrees > 1
+    md.forest_search(rows.limit(20), "id", n=1, folds=2)
+    assert "n" not in seen[1]
